@@ -24,14 +24,18 @@ from pyspark.sql import DataFrame, functions as F
 from .textkernel import Words, slices, window_hashes, words_of
 
 WINDOW = 20
-MINIMISER = 4
+MINIMISER = 3
 #: Packed bytes that a bucket gets on average; one task holds one bucket at a time.
-BUCKET_BYTES = 4 << 20
+BUCKET_BYTES = 2 << 20
+#: Packed bytes that a task holds before it sends them on.
+HELD_BYTES = 24 << 20
 #: Packed strings a task remembers before it starts anew.
-REMEMBERED = 100_000
+REMEMBERED = 50_000
 _NO_ID = np.iinfo(np.int64).max
 
-_SENT = "bucket int, doc array<long>, version array<long>, start array<int>, n array<int>, size array<int>, packed binary"
+#: What a task sends to a bucket: its documents, and two packed strings, of each super-k-mer's (step to its document,
+#: start, windows, bytes) and of their words.
+_SENT = "bucket int, docs array<long>, versions array<long>, places binary, packed binary"
 _RUNS = "doc long, version long, start int, n int"
 
 
@@ -55,23 +59,42 @@ def _spans(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return first, np.flatnonzero(ends) + 1 - first, low[first]
 
 
+def _sent(held: list[tuple], docs: list[np.ndarray], versions: list[np.ndarray]) -> pa.RecordBatch:
+    """One row for each bucket that the held super-k-mers go to."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    bucket, owner, start, n = (np.concatenate([h[i] for h in held]) for i in range(4))
+    strings = [x for h in held for x in h[4]]
+    doc, version = np.concatenate(docs), np.concatenate(versions)
+    size = np.fromiter(map(len, strings), np.int32, len(strings))
+    order = np.argsort(bucket, kind="stable")
+    rows: dict[str, list] = {c: [] for c in ("bucket", "docs", "versions", "places", "packed")}
+    for of_one in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        picks, local = np.unique(owner[of_one], return_inverse=True)
+        rows["bucket"].append(bucket[of_one[0]])
+        rows["docs"].append(doc[picks])
+        rows["versions"].append(version[picks])
+        rows["places"].append(squeeze(np.stack([np.diff(local, prepend=0), start[of_one], n[of_one], size[of_one]]).astype("<i4").tobytes()))
+        rows["packed"].append(squeeze(b"".join([strings[i] for i in of_one.tolist()])))
+    kinds = (pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows.values(), kinds, strict=True)], names=list(rows))
+
+
 def _pack(n_buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
-        squeeze = zstandard.ZstdCompressor(level=1)
-        schema = pa.schema([("bucket", pa.int32()), *((c, pa.list_(pa.int64())) for c in ("doc", "version")), *((c, pa.list_(pa.int32())) for c in ("start", "n", "size")), ("packed", pa.binary())])
+        held, docs, versions, n_docs, size = [], [], [], 0, 0
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(part.column("text"))
                 first, n, low = _spans(words, words.hashes())
                 if not len(first):
                     continue
-                doc = part.column("doc").to_numpy(zero_copy_only=False)[words.doc[first]]
-                version = part.column("version").to_numpy(zero_copy_only=False)[words.doc[first]]
-                start = first - words.first[words.doc[first]]
+                doc, version = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "version"))
+                own = words.doc[first]
+                start = first - words.first[own]
                 raw = words.buf.tobytes()
                 strings = [raw[a:b] for a, b in zip(words.start[first].tolist(), (words.end[first + n + WINDOW - 2] + 1).tolist(), strict=True)]
-                for i, at in enumerate(zip(doc.tolist(), version.tolist(), start.tolist(), strict=True)):
+                for i, at in enumerate(zip(doc[own].tolist(), version[own].tolist(), start.tolist(), strict=True)):
                     was = seen.get(strings[i])
                     if was is not None and was < at:
                         strings[i] = b""
@@ -79,13 +102,15 @@ def _pack(n_buckets: int):
                         seen[strings[i]] = at
                 if len(seen) > REMEMBERED:
                     seen = {}
-                bucket = (low % np.uint64(n_buckets)).astype(np.int32)
-                order = np.argsort(bucket, kind="stable")
-                cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]])
-                size = np.fromiter(map(len, strings), np.int32, len(strings))
-                lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x[order].astype(t), k)) for x, t, k in ((doc, np.int64, pa.int64()), (version, np.int64, pa.int64()), (start, np.int32, pa.int32()), (n, np.int32, pa.int32()), (size, np.int32, pa.int32()))]
-                blobs = [squeeze.compress(b"".join(strings[i] for i in order[a:b].tolist())) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][cuts[:-1]], pa.int32()), *lists, pa.array(blobs, pa.binary())], schema=schema)
+                held.append(((low % np.uint64(n_buckets)).astype(np.int32), n_docs + own, start, n, strings))
+                docs.append(doc)
+                versions.append(version)
+                n_docs, size = n_docs + len(doc), size + sum(map(len, strings))
+                if size > HELD_BYTES:
+                    yield _sent(held, docs, versions)
+                    held, docs, versions, n_docs, size = [], [], [], 0, 0
+        if held:
+            yield _sent(held, docs, versions)
 
     return run
 
@@ -130,8 +155,17 @@ def repeated_windows(buf: bytes, size: np.ndarray) -> np.ndarray:
 
 def _find(table: pa.Table) -> pa.Table:
     """Runs of repeated windows in one bucket."""
-    cols = {c: table.column(c).combine_chunks().flatten().to_numpy(zero_copy_only=False) for c in ("doc", "version", "start", "n", "size")}
-    blob = b"".join(zstandard.decompress(x) if x else b"" for x in table.column("packed").to_pylist())
+    columns: dict[str, list] = {c: [] for c in ("doc", "version", "start", "n", "size")}
+    strings = []
+    for row in table.select(["docs", "versions", "places", "packed"]).to_pylist():
+        step, *rest = np.frombuffer(zstandard.decompress(row["places"]), "<i4").reshape(4, -1)
+        owner = np.cumsum(step)
+        for c, x in zip(columns, (np.array(row["docs"])[owner], np.array(row["versions"])[owner], *rest), strict=True):
+            columns[c].append(x)
+        strings.append(zstandard.decompress(row["packed"]))
+    cols = {c: np.concatenate(x) for c, x in columns.items()}
+    blob = b"".join(strings)
+    del strings
     offset = np.concatenate([[0], np.cumsum(cols["size"], dtype=np.int64)])
     order = np.lexsort((cols["start"], cols["version"], cols["doc"]))
     order = order[cols["size"][order] > 0]
