@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at a time; a single longer document is handled alone and whole.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 #: Bytes that separate words: 0x20 and 0x09-0x0D.
 IS_SPACE = np.zeros(256, bool)
