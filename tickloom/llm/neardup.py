@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .storage import written
+from .storage import small_batches, written
 from .textkernel import Words, mixed, slices, window_hashes, words_of
 
 SIDE, ROWS = 9, 2
@@ -112,7 +112,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     copies (a repeated doc_id gives a row for each). Rows with a null doc_id take no part in links and
     are kept, with a null component_id. Other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long"), "text")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
     signed = written(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_a long, set_b long, halves array<long>"), "minhash")
     named = signed.where("n_shingles > 0 and doc_id is not null")
     reps = written(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves")), "representatives")

@@ -20,6 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from .storage import small_batches
 from .textkernel import flat, slices, spread
 
 #: Words with more symbols are merged one by one with a queue: a round costs as much as the word is long.
@@ -243,9 +244,9 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
     Every whole text is encoded as the sentencepiece library does without sampling. Null counts as
     empty, an empty text has the two outer ids. Repeated rows repeat; other columns are ignored.
     """
-    return docs.select("doc_id", "text").mapInArrow(_encode(model_path), "doc_id long, n_tokens long, ids binary")
+    return small_batches(docs).select("doc_id", "text").mapInArrow(_encode(model_path), "doc_id long, n_tokens long, ids binary")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; null or empty ids give an empty text."""
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(_decode(model_path), "doc_id long, n_tokens long, ids binary, decoded string")
+    return small_batches(encoded).select("doc_id", "n_tokens", "ids").mapInArrow(_decode(model_path), "doc_id long, n_tokens long, ids binary, decoded string")

@@ -28,3 +28,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Most rows of an Arrow batch of texts: batches of the default 10,000 rows take hundreds of MB beside the heap.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batches to BATCH_ROWS rows if they are larger."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return df

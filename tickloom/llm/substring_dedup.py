@@ -21,6 +21,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from .storage import small_batches
 from .textkernel import Words, slices, window_hashes, words_of
 
 WINDOW = 20
@@ -220,7 +221,7 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     Rows with one doc_id and one text are the same document and get the same result; rows with one
     doc_id and different texts are ordered by a hash of the text. Other columns are ignored.
     """
-    keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID))).cast("long").alias("doc"), F.xxhash64("text").alias("version"), "text")
+    keyed = small_batches(docs).select("doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID))).cast("long").alias("doc"), F.xxhash64("text").alias("version"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(1, -(-int(total) * 3 // BUCKET_BYTES))
     sent = keyed.select("doc", "version", "text").mapInArrow(_pack(n_buckets), _SENT)
