@@ -32,6 +32,10 @@ def _sats(value: Column) -> Column:
     return (F.coalesce(value, F.lit(0).cast("decimal(20,8)")) * SATOSHIS).cast("long")
 
 
+def _between(low: int, to: float):
+    return lambda x: (x["created"] >= low) if to == float("inf") else (x["created"] >= low) & (x["created"] < round(to * SATOSHIS))
+
+
 def block_records(documents: DataFrame) -> DataFrame:
     """One record for each block document (BLOCK_DOCUMENT).
 
@@ -68,7 +72,7 @@ def block_records(documents: DataFrame) -> DataFrame:
     amounts: list[Column] = []
     below = 0.0
     for name, to in AMOUNT_CLASSES:
-        inside = F.filter("p", lambda x, a=below, b=to: (x["created"] >= round(a * SATOSHIS)) & ((x["created"] < round(b * SATOSHIS)) if b != float("inf") else F.lit(True)))
+        inside = F.filter("p", _between(round(below * SATOSHIS), to))
         amounts += [F.size(inside).cast("int").alias(f"tx_count_{name}btc"), satoshis_to_btc(_sum(of(inside, "created"))).cast("float").alias(f"volume_{name}btc")]
         below = to
     height = F.col("block_height")
