@@ -207,7 +207,7 @@ _BLOCK = ["block_height", "tx_count", "total_input_btc", "total_output_btc", "to
 
 @query("""WITH t AS (SELECT l_orderkey, CAST(round(CAST(round(l_extendedprice / 1000, 5) AS DECIMAL(20,8)) * 100000000) AS BIGINT) AS paid, l_linenumber * 1000000 AS fee, CAST(l_quantity AS INTEGER) AS vsize, l_returnflag AS f FROM lineitem),
 x AS (SELECT *, paid - fee AS created, CASE WHEN vsize > 0 THEN fee / vsize END AS rate FROM t)
-SELECT l_orderkey AS block_height, CAST(count(*) + 1 AS INTEGER) AS tx_count, round(sum(paid) / 1e8, 6) AS total_input_btc, round((sum(created) + 625000000) / 1e8, 6) AS total_output_btc, round((sum(paid) - sum(created)) / 1e8, 6) AS total_fees_btc,
+SELECT CAST(l_orderkey AS INTEGER) AS block_height, CAST(count(*) + 1 AS INTEGER) AS tx_count, round(sum(paid) / 1e8, 6) AS total_input_btc, round((sum(created) + 625000000) / 1e8, 6) AS total_output_btc, round((sum(paid) - sum(created)) / 1e8, 6) AS total_fees_btc,
  round(CAST(CAST(coalesce(min(rate), 0) AS FLOAT) AS DOUBLE), 6) AS fee_rate_min_sat_vbyte,
  round(CAST(CAST(coalesce(list_sort(list(rate) FILTER (rate IS NOT NULL))[CAST(floor(count(rate) * 50 / 100) AS BIGINT) + 1], 0) AS FLOAT) AS DOUBLE), 6) AS fee_rate_p50_sat_vbyte,
  round(CAST(CAST(coalesce(list_sort(list(rate) FILTER (rate IS NOT NULL))[CAST(floor(count(rate) * 90 / 100) AS BIGINT) + 1], 0) AS FLOAT) AS DOUBLE), 6) AS fee_rate_p90_sat_vbyte,
