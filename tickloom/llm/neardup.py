@@ -116,7 +116,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     signed = written(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_a long, set_b long, halves array<long>"), "minhash")
     named = signed.where("n_shingles > 0 and doc_id is not null")
     reps = written(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves")), "representatives")
-    first = reps.select("id", "n", "halves", F.posexplode(F.slice("halves", 1, SIDE)).alias("i", "g"))
+    # a representative becomes SIDE ** 2 rows: small partitions keep the sums by key small
+    spread = reps.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+    first = spread.select("id", "n", "halves", F.posexplode(F.slice("halves", 1, SIDE)).alias("i", "g"))
     paired = first.select("id", "n", "i", "g", F.posexplode(F.slice("halves", SIDE + 1, SIDE)).alias("j", "h"))
     keys = paired.select("id", "n", F.xxhash64("i", "g", "j", "h").alias("key"))
     shared = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.min_by("n", "id").alias("pivot_n")).where("pivot < last")

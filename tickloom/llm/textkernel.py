@@ -125,6 +125,7 @@ def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iter
         to = max(at + 1, int(np.searchsorted(total, total[at] + limit, "right")) - 1)
         yield batch.slice(at, to - at)
         at = to
+    pa.default_memory_pool().release_unused()
 
 
 def spread(offsets: np.ndarray, values: np.ndarray, picks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
