@@ -8,8 +8,9 @@ probability below 2 * (1 - s ** ROWS) ** SIDE: 2e-4 at 0.8 for the values here,
 
 Work follows the links, not the pairs. Documents with one set of shingles are one representative. In
 each key's bucket every member is paired with the smallest member (a star), the pairs are verified on
-full sets, and links form components. Only buckets that still span several components are looked at
-again, for pairs across components, until none is left unverified.
+full sets, and links form components. Documents that chains of shared keys connect are a family. Where a
+family still has several components, its documents are compared in pairs of bounded blocks inside tasks, which
+give back the links that join components, never the pairs.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ from .textkernel import Words, mixed, slices, window_hashes, words_of
 
 SIDE, ROWS = 9, 2
 SHINGLE, PERCENT = 5, 80
+#: Documents and shingles of a block at most (a longer document shares its block with one other), and columns of
+#: the matrix that is multiplied at a time.
+BLOCK_ROWS, BLOCK_SHINGLES, MATRIX_COLUMNS = 128, 200_000, 4_096
 #: Ids (16 bytes each) that are sent to all tasks to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
@@ -126,25 +130,86 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes alone rule the rest out
     stars = members.where(F.col("id") != F.col("pivot")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     texts = _texts_of(rows, reps, members)
-    check = lambda pairs: written(_with_texts(pairs, texts).mapInArrow(_verify(shingle, percent), "a long, b long, linked boolean"), "verified")
-    tried = check(stars)
-    while True:
-        links = tried.where("linked").select("a", "b")
-        found = written(components(links), "components")
-        named_members = members.select("key", "id", "n").join(found, "id", "left").select("key", "id", "n", F.coalesce("component_id", "id").alias("c"))
-        open_keys = named_members.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-        open_members = named_members.join(open_keys, "key")
-        x, y = (open_members.select("key", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "c"))) for s in "xy")
-        across = x.join(y, "key").where("id_x < id_y and c_x <> c_y").where(fits(F.col("n_x"), F.col("n_y"))).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")).distinct()
-        untried = written(across.join(tried.select("a", "b"), ["a", "b"], "left_anti"), "untried")
-        if not untried.limit(1).count():
-            break
-        tried = written(tried.unionByName(check(untried)), "verified")
+    tried = written(_with_texts(stars, texts).mapInArrow(_verify(shingle, percent), "a long, b long, linked boolean"), "verified")
+    links = tried.where("linked").select("a", "b")
+    found = written(components(links), "components")
+    families = written(components(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "families").withColumnRenamed("component_id", "family")
+    known = reps.select("id", "n").join(families, "id").join(found, "id", "left").select("id", "n", "family", F.coalesce("component_id", "id").alias("c"))
+    split = known.groupBy("family").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("family")
+    across = _across(written(known.join(split, "family"), "open-families"), texts, shingle, percent)
+    found = written(components(links.unionByName(across)), "components")
     by_set = reps.join(found, "id", "left").select("set_a", "set_b", F.coalesce("component_id", "id").alias("found"))
     empty = F.col("n_shingles") == 0
     return signed.join(by_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", F.when(empty | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("found")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _compare(n: int, percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Links between the components of a pair of blocks, as few as join them."""
+        values, off = shingle_sets(words_of(table.column("text"), lower=True), n)
+        ids, comp, side = (table.column(c).to_numpy() for c in ("id", "c", "side"))
+        size = np.diff(off)
+        owner = np.repeat(np.arange(len(ids)), size)
+        order = np.argsort(values, kind="stable")
+        values, owner = values[order], owner[order]
+        new = np.concatenate([[True], values[1:] != values[:-1]])
+        column = np.cumsum(new) - 1
+        shared = np.bincount(column)[column] > 1
+        owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
+        common = np.zeros((len(ids), len(ids)), np.float32)
+        for begin in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
+            lo, hi = np.searchsorted(column, [begin, begin + MATRIX_COLUMNS])
+            has = np.zeros((len(ids), MATRIX_COLUMNS), np.float32)
+            has[owner[lo:hi], column[lo:hi] - begin] = 1
+            common += has @ has.T
+        common = common.astype(np.int64)
+        linked = (100 * common >= percent * (size[:, None] + size[None, :] - common)) & (comp[:, None] != comp[None, :]) & ((side[:, None] != side[None, :]) | (side[:, None] == 2))
+        top = {c: c for c in comp.tolist()}
+
+        def root(c: int) -> int:
+            while top[c] != c:
+                c = top[c] = top[top[c]]
+            return c
+
+        out = []
+        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(linked))), strict=True):
+            x, y = root(int(comp[i])), root(int(comp[j]))
+            if x != y:
+                top[x] = y
+                out.append((int(ids[i]), int(ids[j])))
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    return run
+
+
+def _across(known: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links between the components of a family (documents that chains of shared keys connect).
+
+    All documents of a family whose sizes allow a link are compared, in pairs of blocks: a task holds the texts of two
+    blocks, at most BLOCK_SHINGLES shingles each, and gives back only the links that join components. Blocks hold one
+    band of sizes, in which, or in the next, all possible partners are; a large component has blocks of its own, which are
+    not compared with each other.
+    """
+    band = F.floor(F.ln(F.col("n").cast("double")) / float(np.log(101 / percent))).cast("int")
+    rows = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(2), F.floor(BLOCK_SHINGLES / F.max("n")))).cast("int")
+    dealt = known.withColumn("band", band)
+    large = dealt.groupBy("family", "band", "c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= BLOCK_ROWS).select("family", "band", "c", F.col("c").alias("own"))
+    dealt = dealt.join(large, ["family", "band", "c"], "left").withColumn("own", F.coalesce("own", F.lit(-1)))
+    counts = dealt.groupBy("family", "band", "own").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
+    dealt = written(dealt.join(counts, ["family", "band", "own"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int")), "blocks")
+    blocks = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", "band", "own", "part")
+    x, y = (blocks.select("family", *(F.col(c).alias(f"{c}_{s}") for c in ("band", "own", "part"))) for s in "xy")
+    same_band = (F.col("band_x") == F.col("band_y")) & (F.struct("own_x", "part_x") <= F.struct("own_y", "part_y"))
+    wanted = (same_band | (F.col("band_x") + 1 == F.col("band_y"))) & ((F.col("own_x") == -1) | (F.col("own_x") != F.col("own_y")))
+    pairs = x.join(y, "family").where(wanted)
+    name = F.xxhash64("family", "band_x", "own_x", "part_x", "band_y", "own_y", "part_y").alias("pair")
+    itself = F.expr("band_x = band_y and own_x = own_y and part_x = part_y")
+    end = lambda s, side: F.struct(*(F.col(f"{c}_{s}").alias(c) for c in ("band", "own", "part")), side.alias("side"))
+    ends = pairs.select("family", name, F.explode(F.when(itself, F.array(end("x", F.lit(2)))).otherwise(F.array(end("x", F.lit(0)), end("y", F.lit(1))))).alias("e")).select("family", "pair", "e.*")
+    held = dealt.join(ends, ["family", "band", "own", "part"]).select("pair", "id", "c", "side").join(texts, "id")
+    return written(held.select("pair", "id", "c", "side", "text").groupBy("pair").applyInArrow(_compare(n, percent), "a long, b long"), "across")
+
+
 def _texts_of(rows: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
     """``id, text`` of the representatives that share a bucket, one row each, written once."""
     ids = members.select("id").distinct()
