@@ -146,9 +146,9 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
 def _compare(n: int, percent: int):
     def run(table: pa.Table) -> pa.Table:
         """Links between the components of a pair of blocks, as few as join them."""
-        values, off = shingle_sets(words_of(table.column("text"), lower=True), n)
+        sets = [shingle_sets(words_of(part.column("text"), lower=True), n) for batch in table.to_batches() for part in slices(batch, "text")]
+        values, size = np.concatenate([v for v, _ in sets]), np.concatenate([np.diff(off) for _, off in sets])
         ids, comp, side = (table.column(c).to_numpy() for c in ("id", "c", "side"))
-        size = np.diff(off)
         owner = np.repeat(np.arange(len(ids)), size)
         order = np.argsort(values, kind="stable")
         values, owner = values[order], owner[order]

@@ -20,13 +20,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Most rows of an Arrow batch of texts: batches of the default 10,000 rows take hundreds of MB beside the heap.
-BATCH_ROWS = 1_000
+#: Most rows and bytes of an Arrow batch of texts: batches of the default 10,000 rows take hundreds of MB beside the heap.
+BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, after lowering the session's Arrow batches to BATCH_ROWS rows if they are larger."""
-    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    """``df``, after lowering the session's Arrow batches to BATCH_ROWS rows and BATCH_BYTES if they are larger."""
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        now = conf.get(key).rstrip("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(key, str(most))
     return df

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Text bytes handled at a time; a single longer document is handled alone and whole.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 #: Bytes that separate words: 0x20 and 0x09-0x0D.
 IS_SPACE = np.zeros(256, bool)
@@ -31,7 +31,7 @@ def powers(base: int, n: int) -> np.ndarray:
     """``base**0 .. base**(n-1)`` modulo 2**64, kept for the next batch."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 16), base, _U)
+        steps = np.full(max(n, CHUNK_BYTES), base, _U)
         steps[0] = 1
         have = _powers[base] = np.cumprod(steps)
     return have[:n]
