@@ -49,6 +49,13 @@ def test_substring_dedup(docs):
         assert (got[i].n_words, got[i].n_removed, got[i].kept_text) == (len(w), sum(gone), " ".join(x for x, g in zip(w, gone) if not g))
 
 
+def test_repeated_rows_are_one_document(spark):
+    text = " ".join("r%d" % i for i in range(30))
+    rows = [(4, text), (4, text), (None, text + " x"), (None, text + " x"), (5, text + " end")]
+    got = substring_dedup.drop_repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r.doc_id or 99, r.n_words, r.n_removed) for r in got) == [(4, 30, 0), (4, 30, 0), (5, 31, 30), (99, 31, 30), (99, 31, 30)]
+
+
 def test_hash_collisions_are_settled_on_words(monkeypatch):
     real = substring_dedup.window_hashes
     monkeypatch.setattr(substring_dedup, "window_hashes", lambda h, n: real(h, n) & np.uint64(1))

@@ -170,6 +170,9 @@ def _find(table: pa.Table) -> pa.Table:
     offset = np.concatenate([[0], np.cumsum(cols["size"], dtype=np.int64)])
     order = np.lexsort((cols["start"], cols["version"], cols["doc"]))
     order = order[cols["size"][order] > 0]
+    new = np.ones(len(order), bool)  # a row that is there again is the same document, not an earlier one
+    new[1:] = np.any([np.diff(cols[c][order]) != 0 for c in ("doc", "version", "start")], axis=0) if len(order) else []
+    order = order[new]
     buf = b"".join([blob[offset[i] : offset[i + 1]] for i in order.tolist()])
     runs = {c: [cols[c][cols["size"] == 0]] for c in ("doc", "version", "start", "n")}  # sent before by the same task
     if len(order):
