@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, chat, mixing, neardup, pieces, pii, quality, secrets, sharding, spans, substring_dedup
+from . import ann, chat, checks, mixing, neardup, pieces, pii, quality, secrets, sharding, spans, substring_dedup
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_perspective_rotation": chat.ORACLE_SQL}
+    return {"op2_substring_dedup": checks.REPEATED_PASSAGES, "op6_perspective_rotation": chat.ORACLE_SQL, "op7_tensored_minhash": checks.near_duplicates(4, 80)}
