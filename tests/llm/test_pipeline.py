@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
+from tickloom.llm import mixing
 from tickloom.llm.queries import tokenizer_path
 from tickloom.llm.storage import written
 
@@ -106,3 +107,16 @@ def test_token_ids_equal_the_library(states, spark, folder):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.n_tokens == len(want)
         assert r.decoded_sha256 == hashlib.sha256(sp.decode(want).encode()).hexdigest()
     assert {r.doc_id: r for r in corpus_pipeline.run(spark, folder).collect()} == states[5] and set(states[5]) == set(states[4])
+
+
+def test_positions_are_the_mixture_over_several_files(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select(corpus_pipeline.COLUMNS)
+    want = {r.doc_id: r.mix_position for r in mixing.mix_sources(docs).collect()}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        mixed = written(corpus_pipeline.source_mixture(spark, docs, folder), "several")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(mixed.inputFiles()) > 1
+    got = {r.doc_id: r.position for r in corpus_pipeline.token_ids(spark, mixed, folder).collect()}
+    assert got == want and sorted(got.values()) == list(range(len(want)))

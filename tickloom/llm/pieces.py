@@ -180,7 +180,7 @@ def _word_bounds(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([np.flatnonzero(begin), off[:-1][off[:-1] < n]]))
 
 
-def _encode(path: str):
+def _encode(path: str, carry: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         known: dict[bytes, np.ndarray] = {}
@@ -219,34 +219,38 @@ def _encode(path: str):
                 out[inner[:-1]], out[inner[1:] - 1] = model.bos, model.eos
                 blob = out.tobytes()
                 packed = [blob[4 * a : 4 * b] for a, b in zip(inner[:-1].tolist(), inner[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(per_doc + 2, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", "n_tokens", "ids"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *map(part.column, carry), pa.array(per_doc + 2, pa.int64()), pa.array(packed, pa.binary())], names=["doc_id", *carry, "n_tokens", "ids"])
                 del ends
 
     return run
 
 
-def _decode(path: str):
+def _decode(path: str, carry: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         for batch in batches:
             for part in slices(batch, "ids"):
                 raw, off = flat(part.column("ids"))
                 texts = model.decode(np.frombuffer(raw.tobytes(), "<u4").astype(np.int64), off // 4)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_tokens"), part.column("ids"), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], names=["doc_id", "n_tokens", "ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*map(part.column, ("doc_id", *carry, "n_tokens", "ids")), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], names=["doc_id", *carry, "n_tokens", "ids", "decoded"])
 
     return run
 
 
-def encode(docs: DataFrame, model_path: str) -> DataFrame:
+def _carried(df: DataFrame, carry: tuple[str, ...]) -> str:
+    return "".join(f"{c} {df.schema[c].dataType.simpleString()}, " for c in carry)
+
+
+def encode(docs: DataFrame, model_path: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_tokens, ids`` for each row of ``docs`` (doc_id, text): ids with begin and end id, as
-    little-endian unsigned 32-bit integers.
+    little-endian unsigned 32-bit integers. The columns ``carry`` of ``docs`` stay, after doc_id.
 
     Every whole text is encoded as the sentencepiece library does without sampling. Null counts as
     empty, an empty text has the two outer ids. Repeated rows repeat; other columns are ignored.
     """
-    return small_batches(docs).select("doc_id", "text").mapInArrow(_encode(model_path), "doc_id long, n_tokens long, ids binary")
+    return small_batches(docs).select("doc_id", *carry, "text").mapInArrow(_encode(model_path, carry), f"doc_id long, {_carried(docs, carry)}n_tokens long, ids binary")
 
 
-def decode(encoded: DataFrame, model_path: str) -> DataFrame:
+def decode(encoded: DataFrame, model_path: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; null or empty ids give an empty text."""
-    return small_batches(encoded).select("doc_id", "n_tokens", "ids").mapInArrow(_decode(model_path), "doc_id long, n_tokens long, ids binary, decoded string")
+    return small_batches(encoded).select("doc_id", *carry, "n_tokens", "ids").mapInArrow(_decode(model_path, carry), f"doc_id long, {_carried(encoded, carry)}n_tokens long, ids binary, decoded string")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.shared import shared_folder
 
@@ -20,6 +20,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def placed(df: DataFrame, name: str) -> DataFrame:
+    """``df``, a sorted table as read from its Parquet files, with ``name``: each row's place (0, 1, ...) in it.
+
+    Spark reads files in the order of their sizes, so the place is taken from the files: their names have the number of
+    the sorted partition and, for partitions cut into several files, of the file.
+    """
+    rows = df.select("*", F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
+    number = lambda regex: F.regexp_extract("__file", regex, 1).cast("long")
+    before = Window.partitionBy("one").orderBy(number(r"^part-(\d+)"), number(r"-c(\d+)\."), "__file").rowsBetween(Window.unboundedPreceding, -1)  # one row for each file
+    counts = rows.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).withColumn("one", F.lit(1))
+    offsets = counts.select("__file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"))
+    return rows.join(F.broadcast(offsets), "__file").withColumn(name, F.col("__before") + F.col("__row")).select(*df.columns, name)
+
+
 #: Most rows and bytes of an Arrow batch of texts: batches of the default 10,000 rows take hundreds of MB beside the heap.
 BATCH_ROWS, BATCH_BYTES = 1_000, 4 << 20
 
