@@ -1,7 +1,9 @@
 """Native operators, mixing and search."""
 
 import math
+import random
 import re
+import string
 from collections import Counter
 
 import numpy as np
@@ -44,6 +46,22 @@ def test_secrets(spark):
     assert clean[1] == "[secret]\" and [secret]" and clean[2] is None and clean[7] == texts[7]
 
 
+def test_secrets_of_other_alphabets_in_company_and_with_slashes(spark):
+    rng, lower, upper, digits = random.Random(4), string.ascii_lowercase, string.ascii_uppercase, string.digits
+    key = lambda alphabet, n: "".join(rng.choices(alphabet, k=n))
+    token, base64 = "aB3dE5gH7jK9mN1pQ2rS4tUv", lower + upper + digits + "+/"
+    secret = [key(base64, 344) for _ in range(60)] + [key(a, 40) for a in (lower + digits, upper + "234567", lower + upper, lower, upper) for _ in range(40)]
+    secret += [f"sample_key={token}", f"12345678/{token}", f"/home/ann/keys/{token}", "0123456789abcdef" * 2 + "XyZ" + token]
+    harmless = ["/usr/local/share/doc/packages/MyProject2/SourceFiles3", "id=550e8400-e29b-41d4-a716-446655440000", "AbstractSingletonProxyFactoryBean", "internationalization2024", "MAX_BUFFER_SIZE_1024_BYTES", "thanbleshaningtionnt", "2024-01-02/2024-03-04/17", f"/a/b/example{token}/c"]
+    df = spark.createDataFrame([(i, f"see {t} there", "clash", 0) for i, t in enumerate(secret + harmless)], DOCS)
+    got = found(secrets.find_secrets(df), secrets.KINDS)
+    hits = [got[i][1].endswith(f"entropy:4:{4 + len(t)}") for i, t in enumerate(secret[:-1])]
+    for begin, end in [(0, 60)] + [(b, b + 40) for b in range(60, 260, 40)]:
+        assert sum(hits[begin:end]) >= 0.95 * (end - begin), (begin, sum(hits[begin:end]))
+    assert all(hits[260:]) and got[len(secret) - 1] == ("hex:4:36", "hex:4:36,entropy:36:63")
+    assert [got[len(secret) + i][1] for i in range(len(harmless))] == [""] * len(harmless)
+
+
 def test_incremental_entropy(spark):
     alphabet, window, *_ = secrets.CLASSES["hex"]
     for value in ("deadbeef" * 5, "0123456789abcdef" * 2, "0" * 30, "abc"):

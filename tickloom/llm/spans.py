@@ -44,6 +44,25 @@ def apart(found: Column, base: Column) -> Column:
     return F.filter(found, lambda s: ~F.exists(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
 
 
+def uncovered(found: Column, base: Column, least: int) -> Column:
+    """What ``base`` leaves of the spans of ``found``: the parts of ``least`` characters or more outside all base spans."""
+    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+
+    def parts(s: Column) -> Column:
+        def part(start: Column, end: Column) -> Column:
+            own = F.struct(start.alias("start"), s["kind"].alias("kind"), end.alias("end"), F.substring(s["value"], start - s["start"] + 1, end - start).alias("value"))
+            return F.when(end - start >= least, F.array(own)).otherwise(none)
+
+        def step(state: Column, b: Column) -> Column:
+            return F.struct(F.greatest(state["at"], b["end"]).alias("at"), F.concat(state["out"], part(state["at"], b["start"])).alias("out"))
+
+        inside = F.array_sort(F.filter(base, lambda b: (s["start"] < b["end"]) & (b["start"] < s["end"])))
+        zero = F.struct(s["start"].alias("at"), none.alias("out"))
+        return F.when(F.size(inside) == 0, F.array(s)).otherwise(F.aggregate(inside, zero, step, lambda x: F.concat(x["out"], part(x["at"], s["end"]))))
+
+    return F.flatten(F.transform(found, parts))
+
+
 def masked(text: Column, found: Column, mask: str) -> Column:
     """``text`` with each stretch covered by spans replaced by ``mask``."""
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
