@@ -119,3 +119,13 @@ def test_search_recall_and_odd_vectors(spark):
     assert got[got.query_id == 100].sort_values("rank").vec_id.tolist() == [101, 102, 103, 104, 105]
     assert ann.nearest_by_codes(df.where("false"), F.lit(True)).count() == 0
     assert re.match("long|bigint", dict(ann.nearest_by_codes(df.limit(4), F.lit(True)).dtypes)["vec_id"])
+
+
+def test_search_ties_go_to_the_smaller_id_however_many(spark):
+    base = np.random.default_rng(8).standard_normal(16)
+    rows = [(1 + i, [float(v) for v in base * 2.0 ** (i * 37 % 201 - 100)]) for i in range(201)]
+    df = spark.createDataFrame(rows, "vec_id long, vector array<double>").repartition(4)
+    got = {}
+    for r in ann.nearest_by_codes(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {q: [1, 2, 3, 4, 5] for q in (50, 100, 150, 200)}

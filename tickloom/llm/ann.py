@@ -127,7 +127,10 @@ def _search(centroids: np.ndarray, k: int):
                 for row, query_id in enumerate(part["query_id"].tolist()):
                     picks = np.flatnonzero(estimate[row] + error[row] >= cut[row])
                     score = (x[picks] * q[row]).sum(axis=1) / (x_norm[picks] * math.sqrt((q[row] * q[row]).sum()))
-                    best = [(-s, i) for p, s in zip(picks[np.argsort(-score, kind="stable")][: 4 * (k + 1)].tolist(), np.sort(-score)[: 4 * (k + 1)].tolist(), strict=True) for s in [-s] for i in ids[p] if i != query_id]
+                    # all entries tied with the (k + 1)-th best: ids decide among them
+                    least = np.partition(score, -(k + 1))[-(k + 1)] if len(score) > k + 1 else -np.inf
+                    near = score >= least
+                    best = [(-s, i) for p, s in zip(picks[near].tolist(), score[near].tolist(), strict=True) for i in ids[p] if i != query_id]
                     out += [(query_id, i, -s) for s, i in sorted(best)[:k]]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
