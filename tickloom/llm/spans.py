@@ -11,21 +11,38 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, functions as F
 
 
-def spans(text: Column, regex: str, kind: int, holds: Callable[[Column], Column], likely: Column) -> Column:
+#: Matches that are put together at a time: appending to a list costs as much as the list is long.
+GROUP = 256
+
+
+def spans(text: Column, regex: str, kind: int, holds: Callable[[Column], Column], likely: Column, around: int = 0) -> Column:
     """array<struct<start,kind,end,value>> of the leftmost non-overlapping matches for which ``holds(match)``;
-    computed only for texts that are ``likely`` to have one. Matches must not be empty."""
+    computed only for texts that are ``likely`` to have one. Matches must not be empty. With ``around`` a match also has
+    ``before`` and ``after``: as many characters of the gaps to its neighbours or the text's ends."""
     pieces, found = F.split(text, regex, -1), F.regexp_extract_all(text, F.lit(regex), F.lit(0))
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
+    context = ",before:string,after:string" if around else ""
+    kinds = f"array<struct<start:int,kind:int,end:int,value:string{context}>>"
+    none = F.array().cast(kinds)
 
     def step(state: Column, pair: Column) -> Column:
         start = state["at"] + F.length(pair["piece"])
         end = start + F.length(pair["value"])
-        own = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["value"].alias("value"))
-        return F.struct(end.alias("at"), F.when(holds(pair["value"]), F.concat(state["out"], F.array(own))).otherwise(state["out"]).alias("out"))
-
-    zipped = F.zip_with(F.slice(pieces, 1, F.size(found)), found, lambda p, v: F.struct(p.alias("piece"), v.alias("value")))
-    zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
-    return F.when(likely, F.aggregate(zipped, zero, step, lambda s: s["out"])).otherwise(none)
+        fields = [start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["value"].alias("value")]
+        fields += [pair[c].alias(c) for c in ("before", "after")] if around else []
+        return F.struct(end.alias("at"), F.when(holds(pair["value"]), F.concat(state["out"], F.array(F.struct(*fields)))).otherwise(state["out"]).alias("out"))
+
+    zipped = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("value"))
+    if around:
+        near = F.transform(pieces, lambda p: F.struct(F.right(p, F.lit(around)).alias("before"), F.substring(p, 1, around).alias("after")))
+        zipped = F.arrays_zip(F.slice(pieces, 1, F.size(found)).alias("piece"), found.alias("value"), F.slice(near, 1, F.size(found))["before"].alias("before"), F.slice(near, 2, F.size(found))["after"].alias("after"))
+
+    def part(state: Column, g: Column) -> Column:
+        inner = F.aggregate(F.slice(state["all"], g * GROUP + 1, GROUP), F.struct(state["at"].alias("at"), none.alias("out")), step)
+        return F.struct(inner["at"].alias("at"), state["all"].alias("all"), F.concat(state["out"], F.array(inner["out"])).alias("out"))
+
+    groups = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / GROUP).cast("int"))
+    whole = F.aggregate(groups, F.struct(F.lit(0).alias("at"), zipped.alias("all"), F.array().cast(f"array<{kinds}>").alias("out")), part, lambda s: F.flatten(s["out"]))
+    return F.when(likely & (F.size(found) > 0), whole).otherwise(none)
 
 
 def joined(found: Column, names: Sequence[str]) -> Column:
