@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -147,3 +148,56 @@ def test_masked_digest(spark):
     df = spark.createDataFrame([("ab cd ef",)], "t string").withColumn("s", spans.spans(F.col("t"), "[ce].", 0, lambda v: F.lit(True), F.lit(True)))
     assert df.select(spans.masked(F.col("t"), F.col("s"), "*")).first()[0] == "ab * *"
     assert df.select(spans.joined(F.col("s"), ["k"])).first()[0] == "k:3:5,k:6:8" and hashlib.sha256(b"").hexdigest().startswith("e3b0")
+
+
+def test_rows_that_share_an_id_with_different_texts_are_one_document(spark):
+    a, b = (" ".join("%s%d" % (c, i) for i in range(60)) for c in "ab")
+    rows = [(3, a), (7, a + " x"), (7, b), (9, b + " y"), (11, None), (11, "z " * 9)]
+    for order in (rows, rows[::-1]):
+        got = neardup.near_duplicates(spark.createDataFrame(order, "doc_id long, text string").repartition(3), 4, 80).collect()
+        assert sorted((r.doc_id, r.component_id) for r in got) == [(3, 3), (7, 3), (7, 3), (9, 3), (11, 11), (11, 11)]
+
+
+def test_links_that_stars_miss_are_found_on_prefixes(spark, monkeypatch):
+    """With one key for all documents of a template, a bucket holds many components; all links must be found."""
+    monkeypatch.setattr(neardup, "_sign", one_key(neardup._sign))
+    rng = random.Random(6)
+    base = ["t%d" % i for i in range(120)]
+    texts = []
+    for k in range(40):
+        own = ["o%d_%d" % (k, i) for i in range(rng.choice([3, 20, 60]))]
+        texts += [" ".join(base + own), " ".join(base + own + ["more%d" % k])]
+    rng.shuffle(texts)
+    got = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3), 4, 80).collect()}
+    sets = {i: {tuple(w[k : k + 4]) for k in range(len(w) - 3)} for i, w in enumerate(t.split() for t in texts)}
+    assert got == by_links(sets) and 1 < len(set(got.values())) < 80
+
+
+def one_key(real):
+    """Signs sets as usual but gives all of them equal hashes."""
+
+    def sign(n):
+        def run(batches):
+            for batch in real(n)(batches):
+                at = batch.schema.get_field_index("halves")
+                yield batch.set_column(at, "halves", pa.array([[1] * 2 * neardup.SIDE] * batch.num_rows, pa.list_(pa.int64())))
+
+        return run
+
+    return sign
+
+
+def by_links(sets, percent=80):
+    top = {i: i for i in sets}
+
+    def root(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for i in sets:
+        for j in sets:
+            if i < j and sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                a, b = sorted((root(i), root(j)))
+                top[b] = a
+    return {i: root(i) for i in sets}

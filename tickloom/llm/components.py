@@ -6,26 +6,39 @@ from pyspark.sql import DataFrame, functions as F
 
 from .storage import written
 
+#: A node with more links than this, and than LIGHT_SHARE of all links, is joined by broadcast: at most 2 / LIGHT_SHARE nodes.
+LIGHT, LIGHT_SHARE = 1_000, 1e-5
+
+
+def _state(edges: DataFrame) -> tuple:
+    """Number of links and sums of two hashes of them: equal tables of distinct links have equal ones."""
+    sums = [F.sum(F.xxhash64("u", "v", F.lit(seed)).cast("decimal(38,0)")) for seed in (1, 2)]
+    return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
+
 
 def components(links: DataFrame) -> DataFrame:
     """``id, component_id`` for every id of ``links`` (``a, b``, long); component_id is the smallest id reachable.
 
     Alternates large-star and small-star steps: each id points to the smallest id it has seen, which
     takes a number of rounds in the order of the logarithm of the longest chain. Each round is a
-    grouped minimum (combined before the shuffle) and a join, and is written to the shared folder.
+    grouped minimum (combined before the shuffle) and a join, and is written to the shared folder. The links of
+    heavy nodes, such as the centre of a star that holds a third of all ids, are joined without a shuffle.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "links")
-    while True:
+    state = _state(edges)
+    while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("k"))
+        heavy = F.broadcast(written(low.where(F.col("k") > max(LIGHT, int(state[0] * LIGHT_SHARE))).select("u", "m"), "heavy"))
+        up = both.where("v > u")
+        light = up.join(heavy, "u", "left_anti").join(low.select("u", "m"), "u")
+        large = up.join(heavy, "u").unionByName(light).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = written(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "links")
-        left = edges.exceptAll(after).limit(1).count() + after.exceptAll(edges).limit(1).count()
-        edges = after
-        if not left:
+        edges = written(small.unionByName(down.select("u", F.col("m").alias("v"))).distinct(), "links")
+        before, state = state, _state(edges)
+        if state == before:
             break
     stars = edges.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
     return stars.unionByName(stars.select(F.col("component_id").alias("id"), "component_id")).distinct()

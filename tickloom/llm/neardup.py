@@ -6,11 +6,12 @@ is the pair of tuple i of the first and tuple j of the second collection: SIDE *
 2 * ROWS hashes from 2 * SIDE * ROWS minhashes. At a similarity s a pair shares no key with
 probability below 2 * (1 - s ** ROWS) ** SIDE: 2e-4 at 0.8 for the values here, 4e-6 at 0.87.
 
-Work follows the links, not the pairs. Documents with one set of shingles are one representative. In
-each key's bucket every member is paired with the smallest member (a star), the pairs are verified on
-full sets, and links form components. Documents that chains of shared keys connect are a family. Where a
-family still has several components, its documents are compared in pairs of bounded blocks inside tasks, which
-give back the links that join components, never the pairs.
+Work follows the links, not the pairs. Documents with one set of shingles are one node. In each key's bucket every
+member is paired with the smallest member (a star), the pairs are verified on full sets, and links form
+components. Where a bucket still holds several components, its documents are compared across components by an
+exact join on prefixes: shingles are put in one order, the rare ones first, so that two sets of the wanted similarity
+share one of their first few, at places that leave enough of both. Frequent shingles, such as a template's, come
+last and make no candidates unless they make up a link's share of both sets.
 """
 
 from __future__ import annotations
@@ -27,10 +28,9 @@ from .textkernel import Words, mixed, slices, window_hashes, words_of
 
 SIDE, ROWS = 9, 2
 SHINGLE, PERCENT = 5, 80
-#: Documents and shingles of a block at most (a longer document shares its block with one other), and columns of
-#: the matrix that is multiplied at a time.
-BLOCK_ROWS, BLOCK_SHINGLES, MATRIX_COLUMNS = 128, 200_000, 4_096
-#: Ids (16 bytes each) that are sent to all tasks to pick documents; more are joined by a shuffle.
+#: Slots of the table of shingle counts that gives the order of prefixes.
+SLOTS = 1 << 17
+#: Nodes (24 bytes each) that are sent to all tasks to pick documents; more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 _SEEDS = mixed(np.arange(1, 2 * 2 * SIDE * ROWS + 1, dtype=np.uint64)).reshape(2, 2 * SIDE * ROWS)
@@ -73,7 +73,7 @@ def _sign(n: int):
                         ids[k, full] = mixed(np.add.reduceat(mixed(values ^ _SEEDS[k, 0]), heads)).view(np.int64)
                 halves = mixed(sketch.reshape(len(size), 2 * SIDE, ROWS) * np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)).sum(axis=2, dtype=np.uint64).view(np.int64)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(halves.ravel()), 2 * SIDE).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(size, pa.int64()), pa.array(ids[0]), pa.array(ids[1]), lists], names=["doc_id", "n_shingles", "set_a", "set_b", "halves"])
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("version"), pa.array(size, pa.int64()), pa.array(ids[0]), pa.array(ids[1]), lists], names=["doc_id", "version", "n_shingles", "set_a", "set_b", "halves"])
 
     return run
 
@@ -97,11 +97,12 @@ def _verify(n: int, percent: int):
     return run
 
 
-def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``a, b, text_a, text_b``."""
+def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (``a, b``) that are linked."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b")
+    told = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    return written(told.mapInArrow(_verify(n, percent), "a long, b long, linked boolean"), "verified").where("linked").select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -113,13 +114,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     reachable over links, kept is doc_id = component_id.
 
     Null or empty texts have no shingles and are linked with nothing. Repeated rows are linked like any
-    copies (a repeated doc_id gives a row for each). Rows with a null doc_id take no part in links and
-    are kept, with a null component_id. Other columns are ignored.
+    copies (a repeated doc_id gives a row for each); rows that share a doc_id with different texts are one document's, so
+    all of them are in one component. Rows with a null doc_id take no part in links and are kept, with a null
+    component_id. Other columns are ignored.
     """
-    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text")
-    signed = written(rows.mapInArrow(_sign(shingle), "doc_id long, n_shingles long, set_a long, set_b long, halves array<long>"), "minhash")
-    named = signed.where("n_shingles > 0 and doc_id is not null")
-    reps = written(named.groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves")), "representatives")
+    rows = small_batches(docs).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("version"))
+    signed = written(rows.mapInArrow(_sign(shingle), "doc_id long, version long, n_shingles long, set_a long, set_b long, halves array<long>"), "minhash")
+    told = F.expr("n_shingles > 0 and doc_id is not null")
+    sets = signed.where(told).groupBy("set_a", "set_b").agg(F.min(F.struct("doc_id", "version")).alias("row"), F.first("n_shingles").alias("n"), F.first("halves").alias("halves"))
+    reps = written(sets.select(F.monotonically_increasing_id().alias("id"), "set_a", "set_b", "row.*", "n", "halves"), "representatives")
+    owners = written(signed.where(told).select("doc_id", "n_shingles", "set_a", "set_b").join(reps.select("set_a", "set_b", "id", F.col("doc_id").alias("first_doc")), ["set_a", "set_b"]).select("doc_id", "n_shingles", "id", "first_doc"), "owners")
     # a representative becomes SIDE ** 2 rows: small partitions keep the sums by key small
     spread = reps.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
     first = spread.select("id", "n", "halves", F.posexplode(F.slice("halves", 1, SIDE)).alias("i", "g"))
@@ -130,89 +134,87 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes alone rule the rest out
     stars = members.where(F.col("id") != F.col("pivot")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     texts = _texts_of(rows, reps, members)
-    tried = written(_with_texts(stars, texts).mapInArrow(_verify(shingle, percent), "a long, b long, linked boolean"), "verified")
-    links = tried.where("linked").select("a", "b")
-    found = written(components(links), "components")
-    families = written(components(members.where("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b"))), "families").withColumnRenamed("component_id", "family")
-    known = reps.select("id", "n").join(families, "id").join(found, "id", "left").select("id", "n", "family", F.coalesce("component_id", "id").alias("c"))
-    split = known.groupBy("family").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("family")
-    across = _across(written(known.join(split, "family"), "open-families"), texts, shingle, percent)
-    found = written(components(links.unionByName(across)), "components")
-    by_set = reps.join(found, "id", "left").select("set_a", "set_b", F.coalesce("component_id", "id").alias("found"))
-    empty = F.col("n_shingles") == 0
-    return signed.join(by_set, ["set_a", "set_b"], "left").select("doc_id", "n_shingles", F.when(empty | F.col("doc_id").isNull(), F.col("doc_id")).otherwise(F.col("found")).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
-
-
-def _compare(n: int, percent: int):
-    def run(table: pa.Table) -> pa.Table:
-        """Links between the components of a pair of blocks, as few as join them."""
-        sets = [shingle_sets(words_of(part.column("text"), lower=True), n) for batch in table.to_batches() for part in slices(batch, "text")]
-        values, size = np.concatenate([v for v, _ in sets]), np.concatenate([np.diff(off) for _, off in sets])
-        ids, comp, side = (table.column(c).to_numpy() for c in ("id", "c", "side"))
-        owner = np.repeat(np.arange(len(ids)), size)
-        order = np.argsort(values, kind="stable")
-        values, owner = values[order], owner[order]
-        new = np.concatenate([[True], values[1:] != values[:-1]])
-        column = np.cumsum(new) - 1
-        shared = np.bincount(column)[column] > 1
-        owner, column = owner[shared], np.unique(column[shared], return_inverse=True)[1]
-        common = np.zeros((len(ids), len(ids)), np.float32)
-        for begin in range(0, int(column[-1]) + 1 if len(column) else 0, MATRIX_COLUMNS):
-            lo, hi = np.searchsorted(column, [begin, begin + MATRIX_COLUMNS])
-            has = np.zeros((len(ids), MATRIX_COLUMNS), np.float32)
-            has[owner[lo:hi], column[lo:hi] - begin] = 1
-            common += has @ has.T
-        common = common.astype(np.int64)
-        linked = (100 * common >= percent * (size[:, None] + size[None, :] - common)) & (comp[:, None] != comp[None, :]) & ((side[:, None] != side[None, :]) | (side[:, None] == 2))
-        top = {c: c for c in comp.tolist()}
-
-        def root(c: int) -> int:
-            while top[c] != c:
-                c = top[c] = top[top[c]]
-            return c
-
-        out = []
-        for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(linked))), strict=True):
-            x, y = root(int(comp[i])), root(int(comp[j]))
-            if x != y:
-                top[x] = y
-                out.append((int(ids[i]), int(ids[j])))
-        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+    several = owners.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").select("doc_id", "a")
+    same_doc = owners.join(several, "doc_id").where("id <> a").select("a", F.col("id").alias("b"))
+    found = written(components(_verified(stars, texts, shingle, percent).unionByName(same_doc)), "components")
+    # buckets that hold several components, and their documents
+    known = reps.select("id", "n").join(found, "id", "left").select("id", "n", F.coalesce("component_id", "id").alias("c"))
+    split = members.select("key", "id").join(known, "id").groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
+    unsettled = members.join(split, "key", "left_semi").select("id").distinct()
+    open_docs = written(known.join(unsettled, "id").join(texts, "id"), "open")
+    across = _verified(_across(open_docs, percent, shingle), texts, shingle, percent)
+    of_a, of_b = (known.select(F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
+    joins = across.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = components(joins).select(F.col("id").alias("c"), F.col("component_id").alias("into"))
+    labelled = known.join(merged, "c", "left").select("id", F.coalesce("into", "c").alias("c"))
+    smallest = labelled.join(reps.select("id", "doc_id"), "id").groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    placed = labelled.join(smallest, "c").select("id", "component_id")
+    linked = owners.join(placed, "id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "first_doc").alias("component_id"))
+    alone = signed.where(~told).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def _counts(n: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                values, _ = shingle_sets(words_of(part.column("text"), lower=True), n)
+                counts += np.bincount((values & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "k"])
+
+    return run
+
+
+def prefix_lengths(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of a set's first shingles must be looked at to meet every partner that is not smaller, and every partner."""
+    least = -(-2 * percent * size // (100 + percent))
+    return size - least + 1, size - -(-percent * size // 100) + 1
+
+
+def _prefixes(n: int, percent: int, counts: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                values, off = shingle_sets(words_of(part.column("text"), lower=True), n)
+                size = np.diff(off)
+                owner = np.repeat(np.arange(len(size)), size)
+                order = np.lexsort((values, counts[(values & np.uint64(SLOTS - 1)).astype(np.int64)], owner))
+                place = np.arange(len(values)) - np.repeat(off[:-1], size)
+                short, long = prefix_lengths(size, percent)
+                used = place < long[owner]
+                of, at = owner[used], place[used]
+                fixed = [pa.array(part.column(c).to_numpy()[of]) for c in ("id", "n", "c")]
+                yield pa.RecordBatch.from_arrays([pa.array(values[order][used].view(np.int64)), *fixed, pa.array(at.astype(np.int32)), pa.array(at < short[of])], names=["token", "id", "n", "c", "place", "short"])
 
     return run
 
 
-def _across(known: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """Links between the components of a family (documents that chains of shared keys connect).
+def _across(docs: DataFrame, percent: int, n: int) -> DataFrame:
+    """Pairs ``a, b`` of ``docs`` (id, n, c, text) of different components c that can be linked: every linked pair is among them.
 
-    All documents of a family whose sizes allow a link are compared, in pairs of blocks: a task holds the texts of two
-    blocks, at most BLOCK_SHINGLES shingles each, and gives back only the links that join components. Blocks hold one
-    band of sizes, in which, or in the next, all possible partners are; a large component has blocks of its own, which are
-    not compared with each other.
+    A prefix's shingle brings together the sets that have it. Those of the component that has most of them are not paired
+    with each other, so a component of any size costs no more than the pairs with other components. A pair
+    must leave enough shingles behind the common one in both sets.
     """
-    band = F.floor(F.ln(F.col("n").cast("double")) / float(np.log(101 / percent))).cast("int")
-    rows = F.least(F.lit(BLOCK_ROWS), F.greatest(F.lit(2), F.floor(BLOCK_SHINGLES / F.max("n")))).cast("int")
-    dealt = known.withColumn("band", band)
-    large = dealt.groupBy("family", "band", "c").agg(F.count(F.lit(1)).alias("k")).where(F.col("k") >= BLOCK_ROWS).select("family", "band", "c", F.col("c").alias("own"))
-    dealt = dealt.join(large, ["family", "band", "c"], "left").withColumn("own", F.coalesce("own", F.lit(-1)))
-    counts = dealt.groupBy("family", "band", "own").agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias("parts"))
-    dealt = written(dealt.join(counts, ["family", "band", "own"]).withColumn("part", F.pmod(F.xxhash64("id", F.lit(11)), F.col("parts")).cast("int")), "blocks")
-    blocks = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("family", "band", "own", "part")
-    x, y = (blocks.select("family", *(F.col(c).alias(f"{c}_{s}") for c in ("band", "own", "part"))) for s in "xy")
-    same_band = (F.col("band_x") == F.col("band_y")) & (F.struct("own_x", "part_x") <= F.struct("own_y", "part_y"))
-    wanted = (same_band | (F.col("band_x") + 1 == F.col("band_y"))) & ((F.col("own_x") == -1) | (F.col("own_x") != F.col("own_y")))
-    pairs = x.join(y, "family").where(wanted)
-    name = F.xxhash64("family", "band_x", "own_x", "part_x", "band_y", "own_y", "part_y").alias("pair")
-    itself = F.expr("band_x = band_y and own_x = own_y and part_x = part_y")
-    end = lambda s, side: F.struct(*(F.col(f"{c}_{s}").alias(c) for c in ("band", "own", "part")), side.alias("side"))
-    ends = pairs.select("family", name, F.explode(F.when(itself, F.array(end("x", F.lit(2)))).otherwise(F.array(end("x", F.lit(0)), end("y", F.lit(1))))).alias("e")).select("family", "pair", "e.*")
-    held = dealt.join(ends, ["family", "band", "own", "part"]).select("pair", "id", "c", "side").join(texts, "id")
-    return written(held.select("pair", "id", "c", "side", "text").groupBy("pair").applyInArrow(_compare(n, percent), "a long, b long"), "across")
+    counted = docs.select("text").mapInArrow(_counts(n), "slot long, k long").groupBy("slot").agg(F.sum("k").alias("k")).where("k > 1").toArrow()  # at most SLOTS rows
+    counts = np.zeros(SLOTS, np.int64)
+    counts[counted.column("slot").to_numpy()] = counted.column("k").to_numpy()
+    heads = written(docs.mapInArrow(_prefixes(n, percent, counts), "token long, id long, n long, c long, place int, short boolean"), "prefixes")
+    by_component = heads.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
+    mixed_tokens = by_component.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("token", "most")
+    met = written(heads.join(mixed_tokens, "token").withColumn("in_most", F.expr("c = most")).drop("most"), "met")
+    x, y = (met.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "c", "place", "short", "in_most"))) for s in "xy")
+    x = x.where("short_x")
+    need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
+    fits = F.expr("(n_x < n_y or (n_x = n_y and id_x < id_y)) and c_x <> c_y") & (100 * F.col("n_x") >= percent * F.col("n_y")) & (F.col("n_x") - F.col("place_x") >= need) & (F.col("n_y") - F.col("place_y") >= need)
+    pairs = [p.join(q, "token").where(fits).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")) for p, q in ((x.where("in_most_x"), y.where("not in_most_y")), (x.where("not in_most_x"), y))]
+    return pairs[0].unionByName(pairs[1]).distinct()
 
 
 def _texts_of(rows: DataFrame, reps: DataFrame, members: DataFrame) -> DataFrame:
-    """``id, text`` of the representatives that share a bucket, one row each, written once."""
-    ids = members.select("id").distinct()
+    """``id, text`` of the nodes that share a bucket, one row each, written once."""
+    ids = reps.join(members.select("id").distinct(), "id", "left_semi").select("id", "doc_id", "version")
     wanted = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = rows.join(wanted, rows["doc_id"] == wanted["id"], "left_semi")
-    return written(texts.select(F.col("doc_id").alias("id"), "text").dropDuplicates(["id"]), "texts")
+    return written(rows.join(wanted, ["doc_id", "version"]).select("id", "text").dropDuplicates(["id"]), "texts")
