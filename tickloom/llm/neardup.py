@@ -7,7 +7,7 @@ is the pair of tuple i of the first and tuple j of the second collection: SIDE *
 probability below 2 * (1 - s ** ROWS) ** SIDE: 2e-4 at 0.8 for the values here, 4e-6 at 0.87.
 
 Work follows the links, not the pairs. Documents with one set of shingles are one node. In each key's bucket every
-member is paired with the smallest member (a star), the pairs are verified on full sets, and links form
+member is paired with the most central one (a star), the pairs are verified on full sets, and links form
 components. Where a bucket still holds several components, its documents are compared across components by an
 exact join on prefixes: shingles are put in one order, the rare ones first, so that two sets of the wanted similarity
 share one of their first few, at places that leave enough of both. Frequent shingles, such as a template's, come
@@ -129,10 +129,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     first = spread.select("id", "n", "halves", F.posexplode(F.slice("halves", 1, SIDE)).alias("i", "g"))
     paired = first.select("id", "n", "i", "g", F.posexplode(F.slice("halves", SIDE + 1, SIDE)).alias("j", "h"))
     keys = paired.select("id", "n", F.xxhash64("i", "g", "j", "h").alias("key"))
-    shared = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("last"), F.min_by("n", "id").alias("pivot_n")).where("pivot < last")
-    members = written(keys.join(shared.select("key", "pivot", "pivot_n"), "key"), "buckets")
+    shared = keys.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("last"), F.count(F.lit(1)).alias("size")).where("least < last")
+    members = written(keys.join(shared.select("key", "size"), "key"), "buckets")
+    # the original of many copies is in more and fuller buckets than any copy: it is linked with those that are not linked with each other
+    central = members.groupBy("id").agg(F.sum("size").alias("rank"))
+    ranked = written(members.join(central, "id").select("key", "id", "n", "rank"), "ranked")
+    pivots = ranked.groupBy("key").agg(F.max(F.struct("rank", F.col("id").alias("pivot"), F.col("n").alias("pivot_n"))).alias("p")).select("key", "p.pivot", "p.pivot_n")
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent  # noqa: E731  sizes alone rule the rest out
-    stars = members.where(F.col("id") != F.col("pivot")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    stars = ranked.join(pivots, "key").where(F.col("id") != F.col("pivot")).where(fits(F.col("n"), F.col("pivot_n"))).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
     texts = _texts_of(rows, reps, members)
     several = owners.groupBy("doc_id").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last").select("doc_id", "a")
     same_doc = owners.join(several, "doc_id").where("id <> a").select("a", F.col("id").alias("b"))
