@@ -177,6 +177,11 @@ def prefix_lengths(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarr
     return size - least + 1, size - -(-percent * size // 100) + 1
 
 
+#: A set's 256 parities of its shingles by hash, as four numbers: two sets differ in a parity only by a shingle that one of
+#: them lacks, so as many shingles at least as parities.
+_BITS = ("bits_0", "bits_1", "bits_2", "bits_3")
+
+
 def _prefixes(n: int, percent: int, counts: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,8 +194,10 @@ def _prefixes(n: int, percent: int, counts: np.ndarray):
                 short, long = prefix_lengths(size, percent)
                 used = place < long[owner]
                 of, at = owner[used], place[used]
-                fixed = [pa.array(part.column(c).to_numpy()[of]) for c in ("id", "n", "c")]
-                yield pa.RecordBatch.from_arrays([pa.array(values[order][used].view(np.int64)), *fixed, pa.array(at.astype(np.int32)), pa.array(at < short[of])], names=["token", "id", "n", "c", "place", "short"])
+                parity = np.bincount(owner * 256 + ((values >> np.uint64(40)) & np.uint64(255)).astype(np.int64), minlength=256 * len(size)) & 1
+                bits = np.packbits(parity.astype(np.uint8)).view(np.int64).reshape(-1, 4)[of]
+                fixed = [pa.array(part.column(c).to_numpy()[of]) for c in ("id", "n", "c")] + [pa.array(np.ascontiguousarray(bits[:, k])) for k in range(4)]
+                yield pa.RecordBatch.from_arrays([pa.array(values[order][used].view(np.int64)), *fixed, pa.array(at.astype(np.int32)), pa.array(at < short[of])], names=["token", "id", "n", "c", *_BITS, "place", "short"])
 
     return run
 
@@ -200,19 +207,20 @@ def _across(docs: DataFrame, percent: int, n: int) -> DataFrame:
 
     A prefix's shingle brings together the sets that have it. Those of the component that has most of them are not paired
     with each other, so a component of any size costs no more than the pairs with other components. A pair
-    must leave enough shingles behind the common one in both sets.
+    must leave enough shingles behind the common one in both sets, and differ in no more parities than it may in shingles.
     """
     counted = docs.select("text").mapInArrow(_counts(n), "slot long, k long").groupBy("slot").agg(F.sum("k").alias("k")).where("k > 1").toArrow()  # at most SLOTS rows
     counts = np.zeros(SLOTS, np.int64)
     counts[counted.column("slot").to_numpy()] = counted.column("k").to_numpy()
-    heads = written(docs.mapInArrow(_prefixes(n, percent, counts), "token long, id long, n long, c long, place int, short boolean"), "prefixes")
+    heads = written(docs.mapInArrow(_prefixes(n, percent, counts), "token long, id long, n long, c long, " + "".join(f"{b} long, " for b in _BITS) + "place int, short boolean"), "prefixes")
     by_component = heads.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
     mixed_tokens = by_component.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("token", "most")
     met = written(heads.join(mixed_tokens, "token").withColumn("in_most", F.expr("c = most")).drop("most"), "met")
-    x, y = (met.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "c", "place", "short", "in_most"))) for s in "xy")
+    x, y = (met.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "c", *_BITS, "place", "short", "in_most"))) for s in "xy")
     x = x.where("short_x")
     need = F.ceil(F.lit(percent) * (F.col("n_x") + F.col("n_y")) / (100 + percent))
-    fits = F.expr("(n_x < n_y or (n_x = n_y and id_x < id_y)) and c_x <> c_y") & (100 * F.col("n_x") >= percent * F.col("n_y")) & (F.col("n_x") - F.col("place_x") >= need) & (F.col("n_y") - F.col("place_y") >= need)
+    apart = sum((F.bit_count(F.col(f"{b}_x").bitwiseXOR(F.col(f"{b}_y"))) for b in _BITS[1:]), F.bit_count(F.col("bits_0_x").bitwiseXOR(F.col("bits_0_y"))))
+    fits = F.expr("(n_x < n_y or (n_x = n_y and id_x < id_y)) and c_x <> c_y") & (100 * F.col("n_x") >= percent * F.col("n_y")) & (F.col("n_x") - F.col("place_x") >= need) & (F.col("n_y") - F.col("place_y") >= need) & (apart <= F.col("n_x") + F.col("n_y") - 2 * need)
     pairs = [p.join(q, "token").where(fits).select(F.col("id_x").alias("a"), F.col("id_y").alias("b")) for p, q in ((x.where("in_most_x"), y.where("not in_most_y")), (x.where("not in_most_x"), y))]
     return pairs[0].unionByName(pairs[1]).distinct()
 
