@@ -36,8 +36,11 @@ def docs(spark):
     return spark.createDataFrame([(i, t, "s", "clash", -1) for i, t in corpus()], DOCS).repartition(5).cache()
 
 
-def test_substring_dedup(docs):
-    got = {r.doc_id: r for r in substring_dedup.drop_repeated_passages(docs).collect()}
+@pytest.mark.parametrize("hot_bytes", [substring_dedup.HOT_BYTES, 300, 0])
+def test_substring_dedup(docs, hot_bytes):
+    """Also with hot minimisers, whose windows are dealt one by one: some, and all."""
+    assert (len(substring_dedup.hot_minimisers(docs, 1, hot_bytes)) > 0) == (hot_bytes < 1000)
+    got = {r.doc_id: r for r in substring_dedup.drop_repeated_passages(docs, hot_bytes).collect()}
     seen = set()
     for i, t in corpus():
         w = re.findall(WORD, t or "")

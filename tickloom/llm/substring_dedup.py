@@ -7,9 +7,13 @@ windows always meet in one bucket. There a sort of the window hashes, checked on
 themselves, tells each window's first occurrence from the others.
 
 Hot passages: a task sends a packed string that it has sent before only as a reference (where it
-was, how long), which comes back as "repeated" unread; so a passage that a third of all documents
-hold is sent about once by each task, and no bucket gathers its copies. The number of buckets
-follows the bytes of text.
+was, how long), dealt by its document, which comes back as "repeated" unread; so a passage that a third of all documents
+hold is sent about once by each task, and no bucket gathers its copies.
+
+Hot minimisers, such as three words of a line that stands in a third of all documents among other words, would send
+ever more different strings to one bucket. A first pass finds the minimisers with more than ``HOT_BYTES`` of packed
+strings; their windows travel one by one, to the bucket of the window's own hash. The number of buckets and of
+tasks follows the bytes of text.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import small_batches
-from .textkernel import Words, slices, window_hashes, words_of
+from .textkernel import Words, mixed, slices, window_hashes, words_of
 
 WINDOW = 20
 MINIMISER = 3
@@ -30,8 +34,11 @@ MINIMISER = 3
 BUCKET_BYTES = 2 << 20
 #: Packed bytes that a task holds before it sends them on.
 HELD_BYTES = 24 << 20
-#: Packed strings a task remembers before it starts anew.
-REMEMBERED = 50_000
+#: Packed bytes that a task remembers before it starts anew, and buckets that a task works through, one after the other.
+REMEMBERED_BYTES, TASK_BUCKETS = 16 << 20, 16
+#: Packed bytes of a minimiser above which its windows are dealt one by one. Minimisers that a task weighs at a time; those
+#: below HOT_BYTES / (number of tasks) there are not reported, so one of 2 * HOT_BYTES or more is always found.
+HOT_BYTES, WEIGHED, TASK_BYTES = 64 << 20, 2_000_000, 128 << 20
 _NO_ID = np.iinfo(np.int64).max
 
 #: What a task sends to a bucket: its documents, and two packed strings, of each super-k-mer's (step to its document,
@@ -80,14 +87,77 @@ def _sent(held: list[tuple], docs: list[np.ndarray], versions: list[np.ndarray])
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(rows.values(), kinds, strict=True)], names=list(rows))
 
 
-def _pack(n_buckets: int):
+def _weigh(least: int):
+    """Packed bytes of each minimiser that has at least ``least`` of them in a task."""
+
+    def told(keys: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        heavy = size >= least
+        return pa.RecordBatch.from_arrays([pa.array(keys[heavy].view(np.int64)), pa.array(size[heavy])], names=["minimiser", "size"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, size = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        fresh, waiting = [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                words = words_of(part.column("text"))
+                first, n, low = _spans(words, words.hashes())
+                fresh.append((low, words.end[first + n + WINDOW - 2] + 1 - words.start[first]))
+                waiting += len(low)
+                if waiting > WEIGHED:
+                    keys, size = _summed([(keys, size), *fresh])
+                    fresh, waiting = [], 0
+                    if len(keys) > WEIGHED:
+                        yield told(keys, size)
+                        keys, size = keys[:0], size[:0]
+        yield told(*_summed([(keys, size), *fresh]))
+
+    return run
+
+
+def _summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    keys, back = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    return keys, np.bincount(back, weights=np.concatenate([s for _, s in parts]), minlength=len(keys)).astype(np.int64)
+
+
+def hot_minimisers(texts: DataFrame, total: int, hot_bytes: int = HOT_BYTES) -> np.ndarray:
+    """The minimisers whose super-k-mers have more than ``hot_bytes``: at most (packed bytes) / hot_bytes of them."""
+    least = max(1, int(hot_bytes * min(1.0, TASK_BYTES / max(total, 1))))
+    weights = texts.select("text").mapInArrow(_weigh(least), "minimiser long, size long").groupBy("minimiser").agg(F.sum("size").alias("size"))
+    return np.sort(weights.where(F.col("size") > hot_bytes).select("minimiser").toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def _dealt(first: np.ndarray, n: np.ndarray, low: np.ndarray, hashes: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(first window, windows, key of the bucket): super-k-mers of hot minimisers are cut in single windows."""
+    split = np.isin(low, hot) if len(hot) else np.zeros(len(low), bool)
+    if not split.any():
+        return first, n, low
+    per = np.where(split, n, 1)
+    begin = np.repeat(first, per) + np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per)
+    single = np.repeat(split, per)
+    key = np.repeat(low, per)
+    key[single] = window_hashes(hashes, WINDOW)[begin[single]]
+    return begin, np.where(single, 1, np.repeat(n, per)), key
+
+
+def _joined(own: np.ndarray, start: np.ndarray, n: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(rows to keep, windows): references (not ``held``) that go on where the one before ends become one."""
+    ends = start + n
+    on = np.zeros(len(own), bool)
+    on[1:] = ~held[1:] & ~held[:-1] & (own[1:] == own[:-1]) & (start[1:] == ends[:-1])
+    heads = np.flatnonzero(~on)
+    return heads, np.add.reduceat(n, heads) if len(heads) else n
+
+
+def _pack(n_buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
+        known = 0
         held, docs, versions, n_docs, size = [], [], [], 0, 0
         for batch in batches:
             for part in slices(batch, "text"):
                 words = words_of(part.column("text"))
-                first, n, low = _spans(words, words.hashes())
+                hashes = words.hashes()
+                first, n, low = _dealt(*_spans(words, hashes), hashes, hot)
                 if not len(first):
                     continue
                 doc, version = (part.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "version"))
@@ -100,10 +170,16 @@ def _pack(n_buckets: int):
                     if was is not None and was < at:
                         strings[i] = b""
                     else:
+                        known += 0 if was is not None else len(strings[i]) + 200
                         seen[strings[i]] = at
-                if len(seen) > REMEMBERED:
-                    seen = {}
-                held.append(((low % np.uint64(n_buckets)).astype(np.int32), n_docs + own, start, n, strings))
+                if known > REMEMBERED_BYTES:
+                    seen, known = {}, 0
+                kept, n = _joined(own, start, n, np.fromiter(map(bool, strings), bool, len(strings)))
+                strings = [strings[i] for i in kept.tolist()]
+                own, start, low = own[kept], start[kept], low[kept]
+                whole = np.fromiter(map(bool, strings), bool, len(strings))
+                key = np.where(whole, low, mixed(doc[own].view(np.uint64) + start.astype(np.uint64)))
+                held.append(((key % np.uint64(n_buckets)).astype(np.int32), n_docs + own, start, n, strings))
                 docs.append(doc)
                 versions.append(version)
                 n_docs, size = n_docs + len(doc), size + sum(map(len, strings))
@@ -213,7 +289,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(n_words, pa.int64()), pa.array(n_gone, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "kept_text"])
 
 
-def drop_repeated_passages(docs: DataFrame) -> DataFrame:
+def drop_repeated_passages(docs: DataFrame, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Documents without the words of repeated 20-word windows: ``doc_id, n_words, n_removed, kept_text``.
 
     Words are ``[^\\x20\\x09-\\x0D]+``. A word goes if a window that covers it has a word sequence that
@@ -227,8 +303,9 @@ def drop_repeated_passages(docs: DataFrame) -> DataFrame:
     keyed = small_batches(docs).select("doc_id", F.coalesce("doc_id", F.lit(int(_NO_ID))).cast("long").alias("doc"), F.xxhash64("text").alias("version"), "text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_buckets = max(1, -(-int(total) * 3 // BUCKET_BYTES))
-    sent = keyed.select("doc", "version", "text").mapInArrow(_pack(n_buckets), _SENT)
-    runs = sent.groupBy("bucket").applyInArrow(_find, _RUNS)
+    hot = hot_minimisers(keyed, int(total), hot_bytes)
+    sent = keyed.select("doc", "version", "text").mapInArrow(_pack(n_buckets, hot), _SENT)
+    runs = sent.repartition(-(-n_buckets // TASK_BUCKETS), "bucket").groupBy("bucket").applyInArrow(_find, _RUNS)
     by_doc = runs.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
     joined = keyed.join(by_doc, ["doc", "version"], "left").select("doc_id", "text", F.coalesce("runs", F.array().cast("array<struct<start:int,n:int>>")).alias("runs"))
     return joined.mapInArrow(_cut, "doc_id long, n_words long, n_removed long, kept_text string")
