@@ -7,6 +7,7 @@ import string
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import ann, chat, mixing, pii, secrets, spans
@@ -192,3 +193,28 @@ def test_search_ties_go_to_the_smaller_id_however_many(spark):
     for r in ann.nearest_by_codes(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append(r.vec_id)
     assert got == {q: [1, 2, 3, 4, 5] for q in (50, 100, 150, 200)}
+
+
+@pytest.mark.parametrize("clusters", [40, 0])
+def test_recall_where_lists_are_left_out(spark, clusters):
+    """30 lists, 15 of them looked into, blocks of both sides; clustered vectors and vectors without any structure."""
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((3000, 32))
+    if clusters:
+        x = rng.standard_normal((clusters, 32))[rng.integers(0, clusters, 3000)] + 0.4 * x
+    df = spark.createDataFrame([(i, [float(v) for v in row], "clash") for i, row in enumerate(x)], "vec_id long, vector array<double>, score string")
+    got = ann.nearest_by_codes(df, F.col("vec_id") % 50 == 0, list_vectors=100, query_block=7).toPandas()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    hits = 0
+    for i in range(0, 3000, 50):
+        score = unit @ unit[i]
+        score[i] = -9
+        hits += len(set(np.argsort(-score)[:5]) & set(got[got.query_id == i].vec_id))
+    print("recall", clusters, hits / 300)
+    assert hits / 300 >= (0.95 if clusters else 0.75) and len(got) == 300
+
+
+def test_huge_and_tiny_vectors_and_ids_of_several_vectors(spark):
+    rows = [(0, [1e300, 1e300]), (1, [1e-300, 1e-300]), (2, [1e300, -1e300]), (3, [3.0, 3.0]), (3, [1.0, 0.0]), (3, [3.0, 3.0]), (None, [1.0, 1.0])]
+    got = ann.nearest_by_codes(spark.createDataFrame(rows, "vec_id long, vector array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id) for r in got] == [(1, 1), (2, 3), (3, 2)] and abs(got[0].score - 1) < 1e-15 and abs(got[2].score) < 1e-15

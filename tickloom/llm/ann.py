@@ -8,8 +8,8 @@ candidate is reranked with its original vector only if its upper bound reaches t
 lower bound.
 
 Lists: centroids from a bounded sample split the vectors; a query looks into the nearest lists. Equal
-vectors are one entry with their smallest ids. Queries meet a list in blocks, so a list of any size is
-worked through by many tasks.
+vectors are one entry with their smallest ids. Lists and their queries are cut in blocks, so no task gathers a list
+or its queries: it compares one block of entries with one block of queries.
 """
 
 from __future__ import annotations
@@ -29,8 +29,8 @@ SAMPLE = 20_000
 MOST_LISTS, LIST_VECTORS = 1_024, 2_000
 #: Lists a query looks into: this share, MIN_PROBES at least.
 PROBE_SHARE, MIN_PROBES = 0.5, 12
-#: Entries of a list, and queries, that one task compares at a time.
-ENTRY_BLOCK, QUERY_BLOCK = 8_192, 1_024
+#: Entries of a list and queries that one task compares, about; queries that it compares at a time.
+ENTRY_BLOCK, QUERY_BLOCK, AT_A_TIME = 8_192, 8_192, 512
 EPSILON = 3.0
 
 
@@ -66,6 +66,16 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype(np.float64) if len(column) else np.zeros((0, 1))
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows by a power of two, so that squares neither overflow nor vanish and no cosine changes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, keepdims=True))[1])
+
+
+def _in_order(x: np.ndarray) -> np.ndarray:
+    """Sums of rows, term after term."""
+    return np.add.accumulate(x, axis=1)[:, -1]
+
+
 def _unit(x: np.ndarray) -> np.ndarray:
     x = x / np.abs(x).max(axis=1, keepdims=True)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
@@ -114,19 +124,20 @@ def _search(centroids: np.ndarray, k: int):
             turn, centre = rotation(centroids.shape[1]), centroids[int(key[0])]
             bits = np.frombuffer(b"".join(entries["bits"]), np.uint8).reshape(len(entries), -1)
             norm, scalar, dot = (entries[c].to_numpy() for c in ("norm", "scalar", "dot"))
-            x = _matrix(entries["vector"])
-            x_norm = np.sqrt((x * x).sum(axis=1))
+            x = _scaled(_matrix(entries["vector"]))
+            xx = _in_order(x * x)
             ids = entries["ids"].tolist()
-            for begin in range(0, len(queries), QUERY_BLOCK):
-                part = queries.iloc[begin : begin + QUERY_BLOCK]
-                q = _matrix(part["vector"])
+            for begin in range(0, len(queries), AT_A_TIME):
+                part = queries.iloc[begin : begin + AT_A_TIME]
+                q = _scaled(_matrix(part["vector"]))
+                qq = _in_order(q * q)
                 estimate, error = bounds(bits, norm, scalar, _unit(q), centre, dot, turn)
                 low = estimate - error
                 # a query's own vector may be an entry: one entry more than k
                 cut = np.partition(low, -(k + 1), axis=1)[:, -(k + 1)] if low.shape[1] > k + 1 else np.full(len(low), -np.inf)
                 for row, query_id in enumerate(part["query_id"].tolist()):
                     picks = np.flatnonzero(estimate[row] + error[row] >= cut[row])
-                    score = (x[picks] * q[row]).sum(axis=1) / (x_norm[picks] * math.sqrt((q[row] * q[row]).sum()))
+                    score = _in_order(x[picks] * q[row]) / np.sqrt(xx[picks] * qq[row])
                     # all entries tied with the (k + 1)-th best: ids decide among them
                     least = np.partition(score, -(k + 1))[-(k + 1)] if len(score) > k + 1 else -np.inf
                     near = score >= least
@@ -137,14 +148,15 @@ def _search(centroids: np.ndarray, k: int):
     return run
 
 
-def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMPLE) -> DataFrame:
+def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMPLE, list_vectors: int = LIST_VECTORS, probe_share: float = PROBE_SHARE, min_probes: int = MIN_PROBES, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (vec_id, vector) that ``is_query`` picks, the ``k``
     nearest other rows that the index finds, by cosine in double precision of the original vectors, ties to the smaller
     id; fewer if there are fewer candidates in the lists it looks into.
 
     Vectors that are null, zero or hold a null or a non-finite component take no part, nor do rows with a null id and
     vectors of another length than the most frequent one. Rows that repeat an id and vector count once; of rows that
-    share an id with different vectors, each is a candidate under that id. Other columns are ignored.
+    share an id with different vectors, each is a candidate under that id. Other columns are ignored. The index has a list
+    for each ``list_vectors`` entries; a query looks into ``probe_share`` of them, ``min_probes`` at least.
     """
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"), is_query.alias("is_query")).where("vec_id is not null and vector is not null and size(vector) > 0")
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -161,18 +173,37 @@ def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: i
     entries = written(entries, "entries")
     n = entries.count()
     fitted = entries.orderBy(F.xxhash64("same", F.lit(3)), "same").limit(sample).select("vector").toPandas()  # bounded by ``sample``
-    lists = int(min(MOST_LISTS, max(1, n // LIST_VECTORS)))
+    lists = int(min(MOST_LISTS, max(1, n // list_vectors)))
     centroids = _centroids(_unit(_matrix(fitted["vector"])), lists)
-    probes = min(lists, max(MIN_PROBES, math.ceil(lists * PROBE_SHARE)))
+    probes = min(lists, max(min_probes, math.ceil(lists * probe_share)))
     one, some = (F.pandas_udf(_probes(centroids, m), "array<int>") for m in (1, probes))
     listed = entries.withColumn("list", one("vector")[0])
-    sizes = {r["list"]: r["count"] for r in listed.groupBy("list").count().collect()}  # one row for each list
-    blocks = F.create_map(*(F.lit(x) for i in range(lists) for x in (i, max(1, -(-sizes.get(i, 0) // ENTRY_BLOCK))))) if lists else None
-    indexed = listed.withColumn("block", F.pmod(F.xxhash64("same", F.lit(5)), blocks[F.col("list")]).cast("int")).select("list", "block", "ids", "vector")
-    kinds = "list int, block int, ids array<long>, vector array<double>, bits binary, norm double, scalar double, dot double"
-    coded = indexed.mapInPandas(_codes(centroids), kinds)
     queries = rows.where("is_query").select(F.col("vec_id").alias("query_id"), "vector")
-    asked = queries.withColumn("list", F.explode(some("vector"))).withColumn("block", F.explode(F.sequence(F.lit(0), blocks[F.col("list")] - 1)))
-    found = coded.groupBy("list", "block").cogroup(asked.groupBy("list", "block")).applyInPandas(_search(centroids, k), "query_id long, vec_id long, score double")
+    asked = written(queries.withColumn("list", F.explode(some("vector"))), "asked")
+
+    def cut(df: DataFrame, size: int) -> tuple[Column, Column]:
+        """(blocks of the row's list, the block of a hash)."""
+        sizes = {r["list"]: r["count"] for r in df.groupBy("list").count().collect()}  # one row for each list
+        many = F.create_map(*(F.lit(x) for i in range(lists) for x in (i, max(1, -(-sizes.get(i, 0) // size)))))[F.col("list")]
+        return many, F.pmod(F.xxhash64(df.columns[0], F.lit(5)), many).cast("int")
+
+    blocks, block = cut(listed, ENTRY_BLOCK)
+    query_blocks, asked_block = cut(asked, query_block)
+    indexed = listed.withColumn("block", block).select("list", "block", "ids", "vector")
+    kinds = "list int, block int, ids array<long>, vector array<double>, bits binary, norm double, scalar double, dot double"
+    coded = indexed.mapInPandas(_codes(centroids), kinds).withColumn("asked", F.explode(F.sequence(F.lit(0), query_blocks - 1)))
+    asked = asked.withColumn("asked", asked_block).withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    meet = ["list", "block", "asked"]
+    found = coded.groupBy(*meet).cogroup(asked.groupBy(*meet)).applyInPandas(_search(centroids, k), "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+#: The exact answer over ``embeddings``, which is the index's where every list is looked into.
+ORACLE_SQL = """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+ok AS (SELECT vec_id, x, list_inner_product(x, x) AS xx FROM v WHERE vec_id IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda c: c IS NULL OR NOT isfinite(c))) = 0 AND len(list_filter(x, lambda c: c <> 0)) > 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(c.x, q.x) / sqrt(c.xx * q.xx) AS score FROM ok q JOIN ok c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM ranked WHERE r <= 5
+"""

@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": checks.REPEATED_PASSAGES, "op6_perspective_rotation": chat.ORACLE_SQL, "op7_tensored_minhash": checks.near_duplicates(4, 80)}
+    return {"op2_substring_dedup": checks.REPEATED_PASSAGES, "op6_perspective_rotation": chat.ORACLE_SQL, "op7_tensored_minhash": checks.near_duplicates(4, 80), "op10_rotated_codes": ann.ORACLE_SQL}
