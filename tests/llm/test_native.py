@@ -5,6 +5,7 @@ import random
 import re
 import string
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -143,24 +144,46 @@ def test_perspectives(spark):
     assert r.rendered[a:b] == "hi<|end|>" and got[1, "bob", 1]["mask"] == ""
 
 
+def naive_schedule(blocks, parts):
+    """Every slot looks at all sources: of the released blocks the one due first."""
+    total, done, t, out = sum(parts.values()), dict.fromkeys(blocks, 0), 0, []
+    while any(done[s] < n for s, n in blocks.items()):
+        ready = [(math.ceil(Fraction((done[s] + 1) * total, parts[s])), s) for s in blocks if done[s] < blocks[s] and math.floor(Fraction(done[s] * total, parts[s])) <= t]
+        if ready:
+            due, s = min(ready)
+            out.append((s, done[s], t, due))
+            done[s] += 1
+        t += 1
+    return out
+
+
+def test_schedule_equals_a_naive_one():
+    rng = random.Random(2)
+    for _ in range(30):
+        names = "abcdefg"[: rng.randrange(1, 8)]
+        blocks, parts = {s: rng.randrange(1, 40) for s in names}, {s: rng.randrange(1, 1000) for s in names}
+        got = list(mixing.pfair(blocks, parts))
+        assert [(s, j, t, due) for s, j, t, _, due in got] == naive_schedule(blocks, parts)
+        assert all(release <= t < due for _, _, t, release, due in got)
+
+
 def test_mixing_deviation_and_wholeness(spark):
-    rows = [(i, "big") for i in range(600)] + [(1000 + i, "mid") for i in range(200)] + [(2000 + i, None) for i in range(100)]
-    df = spark.createDataFrame(rows, "doc_id long, source string")
-    got = sorted(mixing.mix_sources(df, {"big": 0.5, "mid": 0.3}, blocks=90).collect(), key=lambda r: r.mix_position)
-    assert [r.mix_position for r in got] == list(range(900)) and len({r.doc_id for r in got}) == 900
+    rows = [(i, "big", 5) for i in range(600)] + [(1000 + i, "mid", 5) for i in range(200)] + [(2000 + i % 90, None, 5) for i in range(100)] + [(None, "mid", 5)] * 2
+    df = spark.createDataFrame(rows, "doc_id long, source string, mix_slot long").repartition(3)
+    got = sorted(mixing.mix_sources(df, {"big": 0.5, "mid": 0.3}, block_rows=10).collect(), key=lambda r: r.mix_position)
+    assert [r.mix_position for r in got] == list(range(902)) and Counter((r.doc_id, r.source) for r in got) == Counter((i, s) for i, s, _ in rows)
     weight, had = {r.source: r.mix_weight for r in got}, Counter()
-    for slot, s in sorted({(r.mix_slot, r.source) for r in got if r.mix_phase == 0}, key=lambda x: x[0]):
-        had[s] += 1
-        assert all(abs(had[x] - weight[x] * (slot + 1)) < 1 for x in weight)
+    assert weight == {"big": 0.5, "mid": 0.3, None: pytest.approx(0.2)}
+    slots = sorted({(r.mix_slot, r.source, r.mix_block, r.mix_time, r.mix_deadline) for r in got})
+    assert [(s or "null", b, t, d) for _, s, b, t, d in slots] == [(s.strip("="), b, t, d) for s, b, t, d in naive_schedule({"=big": 60, "=mid": 21, "null": 10}, {"=big": 500_000, "=mid": 300_000, "null": 200_000})]
+    for slot, s, _, t, _ in slots:
+        if len(had) < 3 or all(had[x] < n for x, n in (("big", 60), ("mid", 21), (None, 10))):
+            had[s] += 1
+            assert all(abs(had[x] - weight[x] * (t + 1)) < 1 for x in weight)
+    assert all(g.mix_slot <= h.mix_slot for g, h in zip(got, got[1:]))
     assert mixing.mix_sources(df.where("false")).count() == 0
 
 
-def test_pfair_meets_deadlines():
-    for source, _, slot, phase, release, deadline in mixing.pfair({"a": 50, "b": 30, "c": 7}, {"a": 500_001, "b": 333_333, "c": 166_666}):
-        if phase == 0:
-            assert release <= slot < deadline, source
-
-
 def test_search_recall_and_odd_vectors(spark):
     rng = np.random.default_rng(3)
     centres = rng.standard_normal((40, 24))

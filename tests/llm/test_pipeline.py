@@ -9,7 +9,7 @@ import pytest
 
 import corpus_pipeline
 from tickloom.llm import mixing
-from tickloom.llm.queries import tokenizer_path
+from tickloom.llm.queries import WEIGHTS, tokenizer_path
 from tickloom.llm.storage import written
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -111,7 +111,7 @@ def test_token_ids_equal_the_library(states, spark, folder):
 
 def test_positions_are_the_mixture_over_several_files(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select(corpus_pipeline.COLUMNS)
-    want = {r.doc_id: r.mix_position for r in mixing.mix_sources(docs).collect()}
+    want = {r.doc_id: r.mix_position for r in mixing.mix_sources(docs, WEIGHTS).collect()}
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         mixed = written(corpus_pipeline.source_mixture(spark, docs, folder), "several")
@@ -120,3 +120,16 @@ def test_positions_are_the_mixture_over_several_files(spark, folder):
     assert len(mixed.inputFiles()) > 1
     got = {r.doc_id: r.position for r in corpus_pipeline.token_ids(spark, mixed, folder).collect()}
     assert got == want and sorted(got.values()) == list(range(len(want)))
+
+
+def test_stages_take_null_and_repeated_ids_and_empty_tables(spark, folder):
+    """Rows that repeat an id share its fate; rows without one stay through near-dedup; no stage needs a row."""
+    long = " ".join("v%d" % i for i in range(40))
+    rows = [(None, long, "en", "a", 5), (None, long, "en", None, 5), (7, long, "en", "a", 5), (7, long, "en", "a", 5), (7, long + " end", "en", "a", 5), (8, long, "en", "a", 5), (9, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for begin, want in ((docs, [None, None, 7, 7, 7]), (docs.where("false"), [])):
+        state = begin
+        for name, stage in corpus_pipeline.STAGES:
+            state = written(stage(spark, state, folder), name.replace(" ", "-"))
+        got = state.collect()
+        assert sorted((r.doc_id for r in got), key=lambda i: i or 0) == want and sorted(r.position for r in got) == list(range(len(want)))

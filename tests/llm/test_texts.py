@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -145,6 +146,35 @@ def test_sharding_is_balanced_whole_and_splits_hot_groups(spark):
     assert got[got.doc_id < 700].shard.nunique() > 4
 
 
+def test_items_go_where_the_dot_product_is_highest():
+    rng = np.random.default_rng(4)
+    items, capacity = rng.random((200, 3)) ** 3, np.ones((5, 3)) * 10
+    left, want = capacity.tolist(), {}
+    for i in sorted(range(200), key=lambda i: -max(items[i])):
+        dots = [sum(a * b for a, b in zip(left[k], items[i].tolist())) for k in range(5)]
+        want[i] = dots.index(max(dots))
+        left[want[i]] = [a - b for a, b in zip(left[want[i]], items[i].tolist())]
+    assert sharding.place(items, capacity).tolist() == [want[i] for i in range(200)]
+
+
+def test_sharding_columns_and_slots(spark, docs, monkeypatch):
+    """Many small batches; sizes, checksums and slots by their definitions; equal texts stay together."""
+    monkeypatch.setattr(sharding, "BATCH_ITEMS", 5)
+    monkeypatch.setattr(sharding, "HEAVY", 0.02)
+    got = sharding.shard_by_vector_packing(docs, shards=3).collect()
+    text = dict(corpus())
+    assert sorted(r.doc_id for r in got) == sorted(text)
+    for r in got:
+        raw = (text[r.doc_id] or "").encode()
+        assert (r["size"], r.text_crc32, r.tokens) == (len(raw) + 8, zlib.crc32(raw), len(re.findall(WORD, text[r.doc_id] or "")))
+    for k in range(3):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+    homes = {}
+    for r in got:
+        homes.setdefault(text[r.doc_id] or "", set()).add(r.shard)
+    assert all(len(h) == 1 for t, h in homes.items() if t)  # the empty texts are a hot group here
+
+
 def test_masked_digest(spark):
     from tickloom.llm import spans
 

@@ -1,20 +1,21 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Each source's documents, in a fixed pseudo-random order, are cut into blocks. Time runs in slots of one
+Each source's documents, in a fixed pseudo-random order, are cut into blocks of ``BLOCK_ROWS``. Time runs in slots of one
 block. Block j of a source with weight w (parts of all weights) is released at floor(j / w) and due at
 ceil((j + 1) / w); in each slot the released block with the earliest deadline goes next. Since the
 weights add up to one, every block meets its deadline, so at any time a source has had less than one
-block more or less than its weight's share. When a source has no more blocks, a new phase begins
-with the weights of the others. No document is dropped or repeated.
+block more or less than its weight's share. When a source has no more blocks its slots fall to the others: time
+jumps over slots in which nothing is released. No document is dropped or repeated.
 
-The number of blocks is bounded (``BLOCKS``, whatever the number of rows), so the schedule is a small table
-made by one task; documents get their place by their block's place and their number in the block.
+The schedule has one row for each block and is made by one task that streams it, holding one entry for each
+source; documents get their place by their block's place and their number in the block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -22,52 +23,58 @@ from pyspark.sql import DataFrame, Window, functions as F
 from .ranking import numbered
 from .storage import written
 
-#: Blocks into which all documents are cut, about (each source has at least one).
-BLOCKS = 2_000
+#: Rows of a block (the last block of a source may be shorter): a larger table has more blocks, not larger ones.
+BLOCK_ROWS = 100
 #: Weights are whole parts of this.
 PARTS = 1_000_000
+#: The least share of all sources without a given weight together.
+LEFT_OVER = 0.01
+#: Rows of the schedule that are sent on at a time.
+SENT_ROWS = 10_000
 
 
-def pfair(blocks: dict[str, int], parts: dict[str, int]) -> Iterable[tuple[str, int, int, int, int, int]]:
-    """(source, block, slot, phase, release, deadline) in the order of slots; release and deadline in slots
-    since the phase began. Weights are whole ``parts``; ties go to the earlier source name."""
-    done = dict.fromkeys(blocks, 0)
-    slot = phase = 0
-    live = sorted(s for s, n in blocks.items() if n)
-    while live:
-        total = sum(parts[s] for s in live)
-        waiting, ready = [(0, s, 0) for s in live], []
-        t, ended = 0, False
-        while not ended:
-            while waiting and waiting[0][0] <= t:
-                release, s, j = heappop(waiting)
-                heappush(ready, (-(-(j + 1) * total // parts[s]), s, j, release))
-            deadline, s, j, release = heappop(ready)
-            yield s, done[s], slot, phase, release, deadline
-            done[s] += 1
-            slot, t = slot + 1, t + 1
+def pfair(blocks: dict[str, int], parts: dict[str, int]) -> Iterable[tuple[str, int, int, int, int]]:
+    """(source, block, time, release, deadline) in the order of slots. Weights are whole ``parts``; ties go to the earlier
+    source name. Each block costs a step of a heap of the sources."""
+    total = sum(parts[s] for s, n in blocks.items() if n)
+    waiting, ready = [(0, s, 0) for s in sorted(blocks) if blocks[s]], []
+    t = 0
+    while waiting or ready:
+        if not ready and waiting[0][0] > t:
+            t = waiting[0][0]
+        while waiting and waiting[0][0] <= t:
+            release, s, j = heappop(waiting)
+            heappush(ready, (-(-(j + 1) * total // parts[s]), s, j, release))
+        deadline, s, j, release = heappop(ready)
+        yield s, j, t, release, deadline
+        t += 1
+        if j + 1 < blocks[s]:
             heappush(waiting, ((j + 1) * total // parts[s], s, j + 1))
-            ended = done[s] == blocks[s]
-        live = [s for s in live if done[s] < blocks[s]]
-        phase += 1
 
 
-def _schedule(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = pdf["source_key"].tolist()
-    rows = list(pfair(dict(zip(keys, pdf["blocks"].tolist(), strict=True)), dict(zip(keys, pdf["parts"].tolist(), strict=True))))
-    out = pd.DataFrame(rows, columns=["source_key", "block", "slot", "phase", "release", "deadline"])
-    size = dict(zip(keys, zip(pdf["n"].tolist(), pdf["block_rows"].tolist(), strict=True), strict=True))
-    out["begins"] = [min(size[s][1], size[s][0] - b * size[s][1]) for s, b in zip(out["source_key"], out["block"], strict=True)]
-    out["begins"] = out["begins"].cumsum() - out["begins"]
-    return out
+def _schedule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held = list(batches)  # one row for each source
+    if not held:
+        return
+    sources = pd.concat(held)
+    keys = sources["source_key"].tolist()
+    blocks, parts, n, rows = (dict(zip(keys, sources[c].tolist(), strict=True)) for c in ("blocks", "parts", "n", "block_rows"))
+    slots, slot, begins = pfair(blocks, parts), 0, 0
+    while part := list(islice(slots, SENT_ROWS)):
+        out = pd.DataFrame(part, columns=["source_key", "block", "time", "release", "deadline"])
+        size = [min(rows[s], n[s] - b * rows[s]) for s, b in zip(out["source_key"], out["block"], strict=True)]
+        ends = begins + pd.Series(size).cumsum()
+        yield out.assign(slot=range(slot, slot + len(part)), begins=ends - size)
+        slot, begins = slot + len(part), int(ends.iloc[-1])
 
 
-def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, blocks: int = BLOCKS, temperature: float = 0.5, carry: list[str] | None = None) -> DataFrame:
+def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = 0.5, carry: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` (doc_id, source) with their place in the mixture, in columns ``mix_*``: position (0, 1, ...
-    over all rows), block (of the source), slot, phase, release, deadline, weight.
+    over all rows), block (of the source), slot, time, release, deadline, weight.
 
-    ``weights`` gives each source's target weight; sources that it leaves out, and all if it is None, get the
-    power ``temperature`` of their rows. ``carry``: the columns of ``docs`` to keep (default all).
+    ``weights`` gives sources' target weights as shares of the mixture; the rest of it, LEFT_OVER at least, is divided among
+    the others by the power ``temperature`` of their rows. Weights are scaled to add up to one over the sources that have
+    rows. ``carry``: the columns of ``docs`` to keep (default all).
 
     A null source is a source of its own. Null ids and repeated rows are rows like others. An empty
     table gives an empty result. Columns of ``docs`` that start with ``mix_`` would clash and are dropped.
@@ -76,18 +83,20 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, blocks
     names = [c for c in (docs.columns if carry is None else carry) if not c.startswith("mix_")]
     key = F.when(F.col("source").isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), F.col("source")))
     rows = docs.select(*names, key.alias("__source_key"), F.col("doc_id").alias("__id"))
-    given = {f"={s}": float(w) for s, w in (weights or {}).items()}
-    target = F.pow(F.col("n").cast("double"), F.lit(temperature))
-    for s, w in sorted(given.items()):
-        target = F.when(F.col("source_key") == s, F.lit(w)).otherwise(target)
+    given = F.lit(None).cast("double")
+    for s, w in sorted((weights or {}).items()):
+        given = F.when(F.col("source_key") == f"={s}", F.lit(float(w))).otherwise(given)
     n_rows = rows.count()
-    size = max(1, -(-n_rows // blocks))
     counts = rows.groupBy(F.col("__source_key").alias("source_key")).agg(F.count(F.lit(1)).alias("n"))
     every = Window.partitionBy("one")  # one row for each source
-    sources = written(counts.withColumn("w", target).withColumn("one", F.lit(1)).withColumn("share", F.col("w") / F.sum("w").over(every)).select("one", "source_key", "n", "share", F.greatest(F.lit(1), F.round(F.col("share") * PARTS)).cast("long").alias("parts"), F.lit(size).alias("block_rows"), F.ceil(F.col("n") / size).cast("long").alias("blocks")), "mix-sources")
-    plan = sources.groupBy("one").applyInPandas(_schedule, "source_key string, block long, slot long, phase int, release long, deadline long, begins long")
+    power = F.when(F.col("given").isNull(), F.pow(F.col("n").cast("double"), F.lit(temperature)))
+    left = F.greatest(F.lit(LEFT_OVER), 1 - F.coalesce(F.sum("given").over(every), F.lit(0.0)))
+    weighed = counts.withColumn("given", given).withColumn("one", F.lit(1)).withColumn("w", F.coalesce("given", power / F.sum(power).over(every) * left))
+    shares = weighed.withColumn("share", F.col("w") / F.sum("w").over(every))
+    sources = written(shares.select("source_key", "n", "share", F.greatest(F.lit(1), F.round(F.col("share") * PARTS)).cast("long").alias("parts"), F.lit(block_rows).cast("long").alias("block_rows"), F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")), "mix-sources")
+    plan = sources.coalesce(1).mapInPandas(_schedule, "source_key string, block long, time long, release long, deadline long, slot long, begins long")
     plan = written(plan.join(sources.select("source_key", "share"), "source_key"), "mix-plan")
     placed = numbered(rows, "__source_key", [F.xxhash64("__id", F.lit("mix")), F.col("__id")], n_rows, "mix_rank")
-    placed = placed.withColumn("mix_block", F.floor(F.col("mix_rank") / size)).join(F.broadcast(plan) if plan.count() <= 10 * blocks else plan, (F.col("__source_key") == F.col("source_key")) & (F.col("mix_block") == F.col("block")))
-    position = F.col("begins") + F.col("mix_rank") - F.col("mix_block") * size
-    return placed.select(*names, position.alias("mix_position"), "mix_block", F.col("slot").alias("mix_slot"), F.col("phase").alias("mix_phase"), F.col("release").alias("mix_release"), F.col("deadline").alias("mix_deadline"), F.col("share").alias("mix_weight"))
+    placed = placed.withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows)).join(plan, (F.col("__source_key") == F.col("source_key")) & (F.col("mix_block") == F.col("block")))
+    position = F.col("begins") + F.col("mix_rank") - F.col("mix_block") * block_rows
+    return placed.select(*names, position.alias("mix_position"), "mix_block", *(F.col(c).alias(f"mix_{c}") for c in ("slot", "time", "release", "deadline")), F.col("share").alias("mix_weight"))

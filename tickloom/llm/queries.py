@@ -37,9 +37,13 @@ def op3_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(spans.joined(F.col("base"), pii.KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), pii.KINDS).alias("spans"))
 
 
+#: Target shares of the mixture that op4 shows; the other sources divide the rest.
+WEIGHTS = {"src0": 0.24, "src1": 0.12, "src2": 0.06}
+
+
 def op4_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), carry=["doc_id", "source"])
-    return mixed.select("doc_id", "source", *(F.col(f"mix_{c}").alias(c) for c in ("position", "block", "slot", "phase", "release", "deadline", "weight")))
+    mixed = mixing.mix_sources(table(spark, sf_dir, "documents"), WEIGHTS, carry=["doc_id", "source"])
+    return mixed.select("doc_id", "source", *(F.col(f"mix_{c}").alias(c) for c in ("position", "block", "slot", "time", "release", "deadline", "weight")))
 
 
 def op5_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,10 +5,10 @@ fair share of a shard, and goes to the shard whose residual capacity has the lar
 it; items come in order of their largest component, so the small ones even out what the large ones left.
 
 Placement is sequential only within a batch. Items above ``HEAVY`` of the whole (at most 3 / HEAVY)
-are placed first, in one batch; the others are dealt by hash to batches, and every batch fills the
-same fraction of the capacity that the first left, so batches need not know of each other. A group
-above ``HOT`` of the whole is split in pieces by a hash of the rows' ids (at most 3 / HOT such groups,
-so their table can be sent to all tasks).
+are the first batch; the others are dealt by hash to batches of about ``BATCH_ITEMS``, and every batch fills the
+same fraction of the capacity that the first left, so batches need not know of each other. Tables of all sizes take
+this way. A group above a quarter of a shard's share is split in pieces by a hash of the rows' ids (at most 12 such groups a
+shard, so their table can be sent to all tasks).
 """
 
 from __future__ import annotations
@@ -21,10 +21,10 @@ from .ranking import numbered
 from .storage import written
 
 SHARDS = 24
-#: Parts of the whole: above, a group of copies is split; above, an item is placed in the first batch.
-HOT, HEAVY = 1 / (SHARDS * 4), 1e-6
-#: Items of a batch on average, and the most batches there are.
-BATCH_ITEMS, MOST_BATCHES = 50_000, 4_000
+#: Part of a shard's share above which a group of copies is split; part of the whole above which an item is in the first batch.
+HOT, HEAVY = 1 / 4, 1e-4
+#: Items of a batch on average, and batches that one task places, one after the other.
+BATCH_ITEMS, TASK_BATCHES = 20_000, 4
 _DIMS = ("bytes", "tokens", "n_rows")
 
 
@@ -50,7 +50,7 @@ def shard_by_vector_packing(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``doc_id, size, text_crc32, tokens, shard, slot`` for each row of ``docs`` (doc_id, text).
 
     size: UTF-8 bytes of the text plus 8; text_crc32: unsigned, of the UTF-8 bytes; tokens: words;
-    slot: 0, 1, ... within the shard. Equal texts go together unless their group is above ``HOT``.
+    slot: 0, 1, ... within the shard. Equal texts go together unless their group is above ``HOT`` of a shard's share.
     Null counts as the empty text. Repeated rows are rows like others. Null ids are allowed. An empty
     table gives an empty result. Other columns are ignored.
     """
@@ -63,23 +63,20 @@ def shard_by_vector_packing(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     part = F.greatest(*(F.col(d) / F.lit(float(max(w, 1.0))) for d, w in zip(_DIMS, whole, strict=True)))
 
     groups = rows.groupBy("grp").agg(*vector)
-    hot = groups.withColumn("part", part).where((F.col("part") > HOT) & (F.col("n_rows") > 1)).select("grp", F.ceil(F.col("part") / HOT).cast("int").alias("pieces"))
+    most = HOT / shards
+    hot = groups.withColumn("part", part).where((F.col("part") > most) & (F.col("n_rows") > 1)).select("grp", F.ceil(F.col("part") / most).cast("int").alias("pieces"))
     piece = F.coalesce(F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("pieces")), F.lit(0)).cast("int")
     pieced = rows.join(F.broadcast(hot), "grp", "left").withColumn("piece", piece).drop("pieces")
     items = written(pieced.groupBy("grp", "piece").agg(*vector).withColumn("heavy", part > HEAVY), "shard-items")
 
-    n = items.count()
-    batches = min(MOST_BATCHES, max(1, -(-n // BATCH_ITEMS)))
+    light = items.where("not heavy")
+    batches = max(1, -(-light.count() // BATCH_ITEMS))
     schema = "grp string, piece int, shard int"
-    # a heavy item may be most of a small table; then one batch places all
-    first = items.where("heavy") if batches > 1 else items
-    placed = written(first.withColumn("batch", F.lit(0)).groupBy("batch").applyInPandas(_placer(np.ones((shards, 3)), share), schema), "shard-first")
-    if batches > 1:
-        loads = np.zeros((shards, 3))
-        for k, *load in placed.join(items, ["grp", "piece"]).groupBy("shard").agg(*(F.sum(d).cast("double") for d in _DIMS)).collect():  # one row for each shard
-            loads[k] = np.array(load) / share
-        light = items.where("not heavy").withColumn("batch", F.pmod(F.xxhash64("grp", "piece"), F.lit(batches)))
-        rest = light.groupBy("batch").applyInPandas(_placer((1 - loads) / batches, share), schema)
-        placed = placed.unionByName(rest)
+    first = written(items.where("heavy").withColumn("batch", F.lit(0)).groupBy("batch").applyInPandas(_placer(np.ones((shards, 3)), share), schema), "shard-first")
+    loads = np.zeros((shards, 3))
+    for k, *load in first.join(items, ["grp", "piece"]).groupBy("shard").agg(*(F.sum(d).cast("double") for d in _DIMS)).collect():  # one row for each shard
+        loads[k] = np.array(load) / share
+    dealt = light.withColumn("batch", F.pmod(F.xxhash64("grp", "piece"), F.lit(batches))).repartition(-(-batches // TASK_BATCHES), "batch")
+    placed = first.unionByName(dealt.groupBy("batch").applyInPandas(_placer((1 - loads) / batches, share), schema))
     sharded = written(pieced.join(placed, ["grp", "piece"]).select("doc_id", "size", "text_crc32", "tokens", "shard"), "sharded")
     return numbered(sharded, "shard", [F.col("doc_id"), F.col("text_crc32"), F.col("size")], int(whole[2]))
