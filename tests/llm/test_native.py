@@ -144,6 +144,19 @@ def test_perspectives(spark):
     assert r.rendered[a:b] == "hi<|end|>" and got[1, "bob", 1]["mask"] == ""
 
 
+def test_perspectives_of_crowded_turns_long_texts_and_clashing_columns(spark):
+    rows = [(1, None if i % 2 else 3, "ann" if i % 3 else "bob", "t%03d" % (i // 4), "clash") for i in range(60)] + [(2, 0, "cy", "é" * 200_000, "clash"), (2, 0, "cy", "é" * 200_000, "clash")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, mask string").repartition(3)
+    got = {}
+    for r in chat.rotate_perspectives(df, part_rows=7).orderBy("conv_id", "speaker", (F.col("chunk") < 0), "chunk", "part").collect():
+        assert r.n_turns <= 7 and all(r.rendered[int(a) : int(b)].endswith("<|end|>") for a, b in (m.split(":") for m in r["mask"].split(",") if m))
+        got[r.conv_id, r.speaker] = got.get((r.conv_id, r.speaker), "") + r.rendered
+    for conv, speaker in ((1, "ann"), (1, "bob"), (2, "cy")):
+        said = sorted(((t is None, t or 0), who, text) for c, t, who, text, _ in rows if c == conv)
+        assert got[conv, speaker] == "".join(("<|assistant|>" if who == speaker else f"<|user:{who}|>") + f"\n{text}<|end|>\n" for _, who, text in said)
+    assert len(got) == 3 and chat.rotate_perspectives(df.where("false")).count() == 0
+
+
 def naive_schedule(blocks, parts):
     """Every slot looks at all sources: of the released blocks the one due first."""
     total, done, t, out = sum(parts.values()), dict.fromkeys(blocks, 0), 0, []

@@ -25,8 +25,8 @@ from .textkernel import flat, slices, spread
 
 #: Words with more symbols are merged one by one with a queue: a round costs as much as the word is long.
 LONG_WORD = 200
-#: Encoded words a task remembers before it starts anew.
-REMEMBERED = 300_000
+#: Bytes of encoded words, WORD_BYTES and more for each, that a task remembers before it starts anew.
+REMEMBERED_BYTES, WORD_BYTES = 96 << 20, 300
 _SPACE = "▁"
 _ABSENT = np.int64(1) << 40
 
@@ -184,6 +184,7 @@ def _encode(path: str, carry: tuple[str, ...] = ()):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = load(path)
         known: dict[bytes, np.ndarray] = {}
+        held = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 raw, off = flat(part.column("text"))
@@ -205,8 +206,9 @@ def _encode(path: str, carry: tuple[str, ...] = ()):
                 fresh = [b for b in bodies if b not in known]
                 known.update(zip(fresh, model.encode_words([b.decode().replace(" ", _SPACE) for b in fresh]), strict=True))
                 lists = [known[b] for b in bodies]
-                if len(known) > REMEMBERED:
-                    known = {}
+                held += sum(WORD_BYTES + 5 * len(b) for b in fresh)
+                if held > REMEMBERED_BYTES:
+                    known, held = {}, 0
                 flat_ids = np.concatenate(lists) if lists else np.zeros(0, np.uint32)
                 bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists], dtype=np.int64)])
                 ids, count = spread(bounds, flat_ids, key)
