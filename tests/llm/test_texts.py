@@ -146,6 +146,28 @@ def test_sharding_is_balanced_whole_and_splits_hot_groups(spark):
     assert got[got.doc_id < 700].shard.nunique() > 4
 
 
+def test_quality_counts_equal_their_definitions(spark):
+    rng = random.Random(17)
+    parts = ["aa", "b", "é", "漢字", "#", "<|", "%$", " ", " ", "\n", "\n", "\t", "\x0b", "aa b aa b aa b", "same line\n", "\r\n"]
+    texts = [" ".join(rng.choice(["x", "y", "zé#"]) for _ in range(rng.randrange(0, 40))) if i % 2 else "".join(rng.choice(parts) for _ in range(rng.randrange(0, 60))) for i in range(400)] + [None, "", "same line " * 4000]
+    df = spark.createDataFrame([(i, t, 1, "clash") for i, t in enumerate(texts)], "doc_id long, text string, quality_kept int, kept string").repartition(3)
+    got = {r.doc_id: r for r in quality.judge_quality(df, quality.QualityModel(np.zeros(quality.BUCKETS), -1.0)).collect()}
+    for i, t in enumerate(texts):
+        w, lines, seen, dup = re.findall(WORD, t or ""), (t or "").split("\n"), set(), 0
+        for line in lines:
+            if re.search(WORD, line):
+                dup += line in seen
+                seen.add(line)
+        fives, covered = {}, set()
+        for k in range(len(w) - 4):
+            fives.setdefault(tuple(w[k : k + 5]), []).append(k)
+        for places in fives.values():
+            if len(places) > 1:
+                covered.update(k + j for k in places for j in range(5))
+        failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
+        assert got[i][3:] == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t or "")), dup, len(covered), failed, not failed, 0.0), t
+
+
 def test_items_go_where_the_dot_product_is_highest():
     rng = np.random.default_rng(4)
     items, capacity = rng.random((200, 3)) ** 3, np.ones((5, 3)) * 10

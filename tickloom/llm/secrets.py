@@ -36,7 +36,7 @@ _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 #: Class name: (its characters, window, least entropy in bits, what the string must show, whether the string is the
 #: candidate between blanks, with its separators, or one segment). By simulation 1 of 100 random strings of 20
 #: characters stays below the thresholds of the classes of segments. Letters of words reach them too, so they must show what
-#: words seldom do: a lone small letter between capitals, five consonants in a row, or an entropy above words'.
+#: words seldom do: a lone small letter between capitals, six consonants in a row, or an entropy above words'.
 CLASSES = {
     "hex": ("0123456789abcdef", 24, 3.1, r"^(?=.*[0-9])(?=.*[a-fA-F])[0-9a-fA-F]+$", False),
     "alphanumeric": (_LETTERS + "0123456789+/_=-", 20, 3.7, r"^(?=(?:.*[0-9]){2})(?=.*[a-z])(?=.*[A-Z])", True),
@@ -44,7 +44,7 @@ CLASSES = {
     "upper and digits": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20, 3.3, r"^(?=.*[0-9][A-Z])[A-Z0-9]+$", False),
     "mixed letters": (_LETTERS + "0123456789", 20, 3.6, r"[A-Z][a-z][A-Z]", False),
     "diverse letters": (_LETTERS, 20, 4.1, r"^(?=.*[a-z])(?=.*[A-Z])[A-Za-z]+$", False),
-    "letters of one case": ("abcdefghijklmnopqrstuvwxyz", 20, 3.4, r"^(?:(?=.*[b-df-hj-np-tv-xz]{5})[a-z]+|(?=.*[B-DF-HJ-NP-TV-XZ]{5})[A-Z]+)$", False),
+    "letters of one case": ("abcdefghijklmnopqrstuvwxyz", 20, 3.4, r"^(?:(?=.*[b-df-hj-np-tv-xz]{6})[a-z]+|(?=.*[B-DF-HJ-NP-TV-XZ]{6})[A-Z]+)$", False),
 }
 
 
