@@ -1,15 +1,20 @@
+import random
+import statistics
+
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window, functions as F
 
 from tickloom.functions import exprs
+from tickloom.operators import rolling
 from tickloom.operators.asof import asof_join
 from tickloom.operators.blocks import BLOCK_DOCUMENT, block_records, with_block_gaps
 from tickloom.operators.bucket import bucket_trades, fill_gaps, process_trades
 from tickloom.operators.labels import HORIZONS, make_labels
-from tickloom.operators.normalize import zscore
+from tickloom.operators.normalize import normalize_features, zscore
 from tickloom.operators.quality import check_klines
-from tickloom.operators.rolling import rolling_features
+from tickloom.operators.rolling import WINDOWS, rolling_features
 
 TRADES = "timestamp long, agg_trade_id long, price double, quantity double, is_buyer_maker boolean"
 
@@ -76,6 +81,36 @@ def test_zscore_is_causal_clipped_and_zero_for_constants(spark):
     assert changed[:80] == pytest.approx(z[:80], abs=1e-6)
 
 
+def test_default_windows_are_capped_by_the_month(spark):
+    """The daily window of a year is no longer than the month's 400 rows: 40 values are enough."""
+    df = series(spark, [float(i * i % 97) for i in range(400)]).withColumn("gn_sopr", F.col("close") * 2)
+    got = normalize_features(df).orderBy("timestamp_s").select("close", "gn_sopr").toPandas()
+    close = [float(i * i % 97) for i in range(400)]
+    for i in (0, 38, 39, 200, 399):
+        mean, std = statistics.mean(close[: i + 1]), statistics.stdev(close[: i + 1]) if i else 0
+        want = 0.0 if i < 39 else (close[i] - mean) / std
+        assert got.close[i] == pytest.approx(want) and got.gn_sopr[i] == pytest.approx(want)
+
+
+def test_rolling_windows_of_one_second_series(spark, monkeypatch):
+    """Fractional prices and quantities, all default windows, frames without volume, several chunks."""
+    monkeypatch.setattr(rolling, "CHUNK_ROWS", 100)
+    monkeypatch.setattr(rolling, "max", lambda *x: max(*x) // 8 if len(x) == 2 else max(*x), raising=False)
+    rng = random.Random(3)
+    rows = [(1_700_000_000_000 + 1000 * i, i, 100 + rng.random(), 0.1 + rng.random(), rng.random() < 0.5) for i in range(9000) if i % 200 < 120]
+    s = process_trades(spark.createDataFrame(rows, TRADES))
+    got = rolling_features(s).orderBy("timestamp_s").toPandas()
+    for w in WINDOWS:
+        frame = got.rolling(w, min_periods=1)
+        volume = frame["volume"].sum()
+        assert np.allclose(got[f"volume_sum_{w}s"], volume, atol=1e-6) and ((got[f"volume_sum_{w}s"] == 0) == (got["volume"].rolling(w, min_periods=1).max() == 0)).all()
+        assert np.allclose(got[f"range_{w}s"], frame["high"].max() - frame["low"].min())
+        assert np.allclose(got[f"volatility_{w}s"], frame["price_return"].std().fillna(0), atol=1e-9)
+        empty = got[f"volume_sum_{w}s"] == 0
+        assert (got.loc[empty, f"buy_ratio_{w}s"] == 0.5).all() and np.allclose(got.loc[empty, f"vwap_{w}s"], got.loc[empty, "close"])
+        assert np.allclose(got.loc[~empty, f"buy_ratio_{w}s"], (frame["buy_volume"].sum() / volume)[~empty], atol=1e-6)
+
+
 def test_labels_tail(spark):
     got = make_labels(series(spark, range(1, 401))).orderBy("timestamp_s").toPandas()
     for name, h in HORIZONS.items():
@@ -104,6 +139,8 @@ def test_block_gaps_cross_spans(spark):
     blocks = spark.createDataFrame([(h, 600 * h) for h in range(8, 14)], "block_height long, block_timestamp long")
     got = {r.block_height: r.seconds_since_prev_block for r in with_block_gaps(blocks, 10).collect()}
     assert got == {8: 0, **{h: 600 for h in range(9, 14)}}
+    sparse = spark.createDataFrame([(5, 50), (47, 90)], "block_height long, block_timestamp long")
+    assert {r.seconds_since_prev_block for r in with_block_gaps(sparse, 10).collect()} == {0, 40}
 
 
 def test_kline_status(spark):

@@ -1,15 +1,18 @@
 
+import io
 import json
+import time
 import zipfile
 
 from pyspark.sql import functions as F
 
 from tickloom.functions.live import parse_aggtrade, parse_depth5, parse_liquidation
 from tickloom.operators.bucket import bucket_trades
-from tickloom.operators.quality import inventory
+from tickloom.operators.quality import inventory, latest_reports
+from tickloom.plans import ingest
 from tickloom.plans.dataset import Recipe, build, missing_months, months_between, write_dataset
 from tickloom.sources import readers, remote, sinks
-from tickloom.streaming.live import bucket_stream, run_live, throughput
+from tickloom.streaming.live import Monitor, bucket_stream, run_live, throughput
 
 TRADES = "timestamp long, agg_trade_id long, price double, quantity double, is_buyer_maker boolean"
 
@@ -69,13 +72,107 @@ def test_dataset_round_trip_is_idempotent(spark, tmp_path):
     features = readers.read_months(spark, f"{tmp_path}/features", 202311, 202311)
     assert features.count() == 600 and readers.read_months(spark, f"{tmp_path}/features", 202312).count() == 0
     files = readers.list_files(spark, str(tmp_path), "*.parquet").select(F.regexp_replace("path", f"^.*{tmp_path}/", "").alias("path"), "length")
-    assert {r.prefix for r in inventory(files).collect()} == {"features", "labels"}
+    assert {r.prefix for r in inventory(files).collect()} == {"buckets", "enriched", "features", "labels", "reports", "stats"}
+    assert (report.month, report.no_leakage, report.n_features > 20) == (202311, True, True)
+    stats = sinks.from_months(spark.read.parquet(f"{tmp_path}/stats")).where("feature = 'close'").first()
+    assert (stats.month, stats.min, stats.max, stats.nan_ratio) == (202311, 100.0, 108.0, 0.0)
     sinks.save_state(spark, f"{tmp_path}/state", "t", "k", "1")
     sinks.save_state(spark, f"{tmp_path}/state", "t", "k", "2")
     assert sinks.load_state(spark, f"{tmp_path}/state").first().value == "2"
     assert readers.path_exists(spark, f"{tmp_path}/state") and not readers.path_exists(spark, f"{tmp_path}/nothing")
 
 
+def two_symbols(spark, start, n):
+    rows = [(s, start + 1000 * i, i, p + i % 7, 1.0 + i % 3, i % 2 == 0) for s, p in (("AA", 10.0), ("BB", 99.0)) for i in range(n)]
+    return spark.createDataFrame(rows, f"symbol string, {TRADES}")
+
+
+def test_dataset_with_symbols_months_and_resume(spark, tmp_path):
+    recipe = Recipe(windows=(5,), horizons={"5s": 5})
+    november, december = two_symbols(spark, 1_700_000_000_000, 300), two_symbols(spark, 1_702_000_000_000, 200)
+    klines = november.where("symbol = 'AA'").groupBy("symbol", (F.floor(F.col("timestamp") / 60_000) * 60_000).alias("open_time")).agg(F.max_by("price", "timestamp").alias("close"), F.sum("quantity").alias("volume"))
+    report = write_dataset(build(november, recipe, by=("symbol",)), str(tmp_path), klines, min_rows=250, by=("symbol",))
+    assert {(r.symbol, r.month, r.n_rows, r.rows_ok, r.status) for r in report.collect()} == {("AA", 202311, 300, True, "ok"), ("BB", 202311, 300, True, "skipped")}
+    alone = build(november.where("symbol = 'BB'").drop("symbol"), recipe)["features"].orderBy("timestamp_s").select("close", "vwap_5s").collect()
+    both = build(november, recipe, by=("symbol",))["features"].where("symbol = 'BB'").orderBy("timestamp_s").select("close", "vwap_5s").collect()
+    assert alone == both
+    later = write_dataset(build(november.unionByName(december), recipe, by=("symbol",)), str(tmp_path), min_rows=250, by=("symbol",), resume=True)
+    assert {(r.symbol, r.month, r.n_rows, r.rows_ok) for r in later.collect()} == {(s, m, n, n == 300) for s in ("AA", "BB") for m, n in ((202311, 300), (202312, 200))}
+    assert [r.month for r in latest_reports(later, 2).collect()] == [202312, 202312]
+
+
+def archive(url):
+    """A ZIP of the kind and month that the address names; February is missing, March is damaged."""
+    name = url.rsplit("/", 1)[1]
+    if "-02." in name:
+        return None
+    if "-03." in name:
+        return b"damaged"
+    lines = {"aggTrades": "1,10.5,2,1,1,{t},true,true", "klines": "{t},1,2,0.5,1.5,9,{t},9,3,1,1,0", "bookTicker": "5,1.0,2,1.5,3,{t},{t}", "fundingRate": "{t},8,0.0001,42.5,AB", "liquidationSnapshot": "{t},AB,SELL,LIMIT,IOC,1.5,10,11,FILLED,1,1"}
+    kind = next(k for k in lines if k in url)
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        z.writestr("x.csv", "\n".join(lines[kind].format(t=1_704_100_000_000 + i) for i in range(4)))
+    return data.getvalue()
+
+
+def test_archives_to_typed_months(spark, tmp_path):
+    root, months = str(tmp_path), [202401, 202402, 202403]
+    for status in ("success", "skipped"):
+        told = ingest.ingest_all(spark, root, "AB", months, 2, "tests.test_sources:archive").collect()
+        assert {(r.kind, r.status) for r in told if "2024-01" in r.url} == {(k, status) for k in ("aggTrades", "klines", "fundingRate", "bookTicker", "liquidationSnapshot")}
+        assert {(r.status, r.rows) for r in told if "2024-02" in r.url} == {("not_found", None)}
+        assert all(r.rows == 0 for r in told if "2024-03" in r.url) and all(r.rows == 4 for r in told if "2024-01" in r.url and status == "success")
+    for kind, column, value in (("aggTrades", "price", 10.5), ("fundingRate", "mark_price", 42.5), ("bookTicker", "best_ask_price", 1.5), ("liquidationSnapshot", "average_price", 11.0)):
+        got = readers.read_months(spark, f"{root}/raw/futures_um/{kind}", 202401, 202401).select(column).collect()
+        assert [r[0] for r in got] == [value] * 4, kind
+
+
+def block_fetch(url, params=None):
+    if params["height"] == 12:
+        raise OSError("gone")
+    pay = {"size": 200, "vsize": 100, "vin": [{"prevout": {"value": "1.5"}}], "vout": [{"value": "1.25", "scriptPubKey": {"type": "pubkeyhash"}}]}
+    return {"height": params["height"], "hash": "h", "time": 600 * params["height"], "bits": "1d00ffff", "tx": [pay]}
+
+
+def test_blocks_metrics_mempool_and_fee_history(spark, tmp_path):
+    root = str(tmp_path)
+    for _ in range(2):
+        failed = ingest.ingest_blocks(spark, root, "x", 10, 14, 2, "tests.test_sources:block_fetch").collect()
+        assert [(r.block_height, "gone" in r.error) for r in failed] == [(12, True)]
+    got = {r.block_height: (r.tx_count, r.total_fees_btc, r.seconds_since_prev_block) for r in ingest.read_blocks(spark, root).collect()}
+    assert got == {10: (1, 0.25, 0), 11: (1, 0.25, 600), 13: (1, 0.25, 1200), 14: (1, 0.25, 600)}
+    told = ingest.ingest_metrics(spark, root, "x", ["sopr", "none"], "tests.test_sources:local_fetch").collect()
+    assert [(r.metric, r.rows, r.first, r.last) for r in told] == [("sopr", 2, 86400, 172800)]
+    assert {(r.metric, r.timestamp, r.value) for r in readers.read_metrics(spark, f"{root}/raw/metrics").collect()} == {("sopr", 86400, 1.5), ("sopr", 172800, None)}
+    assert [json.loads(r.document)["t"] for r in ingest.fee_history(spark, "x/sopr", "tests.test_sources:local_fetch").orderBy("position").collect()] == [86400, 172800]
+    monitor = Monitor()
+    spark.streams.addListener(monitor)
+    stream = ingest.ingest_mempool(spark, root, "x", "tests.test_sources:snapshot", {"processingTime": "1 second"})
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if monitor.rows.get("mempool", 0) > 0:
+                break
+    finally:
+        stream.stop()
+        spark.streams.removeListener(monitor)
+    assert monitor.rows["mempool"] > 0 and not monitor.failed
+    assert spark.read.parquet(f"{root}/raw/live/mempool").first().mempool_tx_count == 7
+
+
+def snapshot(url, params=None):
+    return {"mempoolInfo": {"size": 7, "bytes": 9}, "fees": {"fastestFee": 3}}
+
+
+def test_json_and_metrics_of_the_last_file(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"a": 1}, {"a": 2}]')
+    assert sorted(r.a for r in readers.read_json(spark, str(tmp_path / "a.json")).collect()) == [1, 2]
+    for name, v in (("b", 1.0), ("a", 5.0)):
+        spark.createDataFrame([("m", 1, v)], "metric string, timestamp long, value double").coalesce(1).toPandas().to_parquet(tmp_path / f"{name}.parquet")
+    assert [r.value for r in readers.read_metrics(spark, str(tmp_path / "*.parquet")).collect()] == [1.0]
+
+
 def test_months(spark):
     wanted = months_between(spark, "2023-11-17", "2024-02-01")
     assert sorted(r.month for r in missing_months(wanted, wanted.where("month = 202312")).collect()) == [202311, 202401, 202402]

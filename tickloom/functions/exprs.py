@@ -25,6 +25,12 @@ def ratio_or_one(a: Column, b: Column) -> Column:
     return a / F.when(b == 0, 1).otherwise(b)
 
 
+def correlation(a: Column, b: Column) -> Column:
+    """Aggregate: Pearson's correlation over the rows that have both; NULL if one of them is constant."""
+    x, y = F.when(b.isNotNull(), a.cast("double")), F.when(a.isNotNull(), b.cast("double"))
+    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+
+
 def nan_to_null(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every float column; to be applied at each source."""
     floating = {f.name for f in df.schema if isinstance(f.dataType, (T.FloatType, T.DoubleType))}

@@ -93,11 +93,13 @@ def block_records(documents: DataFrame) -> DataFrame:
 
 
 def with_block_gaps(blocks: DataFrame, span: int = 10_000) -> DataFrame:
-    """seconds_since_prev_block by height, 0 for the first block. Heights are dealt in spans with the block before each
-    span carried in, so no task orders the whole chain."""
+    """seconds_since_prev_block by height, 0 for the first block. Heights are dealt in spans with the last block before each
+    span carried in, over spans without blocks too, so no task orders the whole chain."""
     part = F.floor(F.col("block_height") / span)
     dealt = blocks.withColumn("__span", part).withColumn("__own", F.lit(True))
-    edge = blocks.select("block_height", "block_timestamp").groupBy(part.alias("__span")).agg(F.max(F.struct("block_height", "block_timestamp")).alias("e")).select((F.col("__span") + 1).alias("__span"), "e.*").withColumn("__own", F.lit(False))
+    ends = blocks.groupBy(part.alias("__span")).agg(F.max(F.struct("block_height", "block_timestamp")).alias("e"))
+    before = Window.partitionBy(F.lit(0)).orderBy("__span")  # one row for each span
+    edge = ends.withColumn("e", F.lag("e").over(before)).where("e is not null").select("__span", "e.*").withColumn("__own", F.lit(False))
     w = Window.partitionBy("__span").orderBy("block_height")
     gap = F.coalesce(F.col("block_timestamp") - F.lag("block_timestamp").over(w), F.lit(0)).cast("int")
     return dealt.unionByName(edge, allowMissingColumns=True).withColumn("seconds_since_prev_block", gap).where("__own").drop("__span", "__own")

@@ -51,8 +51,9 @@ def merge_funding(series: DataFrame, funding: DataFrame, by: tuple[str, ...] = (
 
 def merge_metrics(series: DataFrame, metrics: DataFrame, names: tuple[str, ...] = METRICS, by: tuple[str, ...] = ()) -> DataFrame:
     """Each metric of the long table (metric, timestamp, value) as ``gn_<name>``, its last value not later. All metrics
-    come in one pivot and one as-of join: values are first carried forward column by column."""
-    wide = metrics.where("value is not null").groupBy(*by, "timestamp").pivot("metric", list(names)).agg(F.last("value"))
+    come in one pivot and one as-of join: values are first carried forward column by column. Of several values for
+    one time the largest counts; ``read_metrics`` leaves one."""
+    wide = metrics.where("value is not null").groupBy(*by, "timestamp").pivot("metric", list(names)).agg(F.max("value"))
     # a metrics table has a row a day: one window over all of it is small
     so_far = Window.partitionBy(*(by or [F.lit(0)])).orderBy("timestamp").rowsBetween(Window.unboundedPreceding, 0)
     carried = wide.select(*by, "timestamp", *(F.last(n, ignorenulls=True).over(so_far).alias(f"gn_{n}") for n in names))

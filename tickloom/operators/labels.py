@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.exprs import ratio
+from ..functions.exprs import correlation, ratio
 from .bucket import series_window
-from .rolling import leading, running_sums, variance
+from .rolling import framed, variance
 
 HORIZONS = {"30s": 30, "1m": 60, "3m": 180, "5m": 300}
 
@@ -22,40 +22,49 @@ def make_labels(series: DataFrame, horizons: dict[str, int] | None = None, by: t
         raise ValueError("labels need the column close")
     w = series_window(by)
     r = F.coalesce((F.col("close") - F.lag("close").over(w)) / F.greatest(F.col("close"), F.lit(1e-10)), F.lit(0.0))
-    sums = running_sums(series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r), {"__s": F.col("__r"), "__q": F.col("__r") * F.col("__r")}, by)
-    ahead = sums.withColumns({f"__{x}_{n}": e for n, h in horizons.items() for x, e in (("f", F.lead("close", h).over(w)), ("s", leading("__s", h, by)), ("q", leading("__q", h, by)), ("e", F.lead("__q", h).over(w)))})
-    out = []
+    out = series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r).withColumn("__rr", F.col("__r") * F.col("__r"))
+    named = []
     for n, h in horizons.items():
-        later = F.col(f"__f_{n}")
-        out += [F.ln(ratio(later, F.col("close"))).alias(f"mu_{n}"), F.sqrt(variance(F.when(F.col(f"__s_{n}").isNotNull(), h), F.col(f"__s_{n}"), F.col(f"__q_{n}"), F.col(f"__e_{n}"), 0)).alias(f"sigma_{n}"), F.coalesce(later > F.col("close"), F.lit(False)).cast("float").alias(f"direction_{n}")]
-    return ahead.select(*by, "month", "timestamp_s", *out)
+        frame = framed(out, h, {"__s": ("__r", "sum"), "__q": ("__rr", "sum")}, by)  # of the last h rows: h rows ahead, of the next
+        ahead = frame.withColumns({f"__{x}_{n}": F.lead(c, h).over(w) for x, c in (("f", "close"), ("s", "__s"), ("q", "__q"))})
+        later, s, q = (F.col(f"__{x}_{n}") for x in "fsq")
+        made = {f"mu_{n}": F.ln(ratio(later, F.col("close"))), f"sigma_{n}": F.sqrt(variance(F.when(s.isNotNull(), h), s, q, q, 0)), f"direction_{n}": F.coalesce(later > F.col("close"), F.lit(False)).cast("float")}
+        named += made
+        out = ahead.select(*out.columns, *(c.alias(name) for name, c in made.items()))
+    return out.select(*by, "month", "timestamp_s", *named)
 
 
-def leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s", rows: int | None = None, seed: int = 42) -> DataFrame:
-    """``feature, corr_now, corr_before, suspicious``: the correlation of a feature with the label, and of its value one row
-    earlier; suspicious if |now| > 0.5 and |now| > 2 |before|. ``rows`` takes that many rows, by hash of the key."""
-    w = series_window()
-    joined = features.select("timestamp_s", "month", *columns).join(labels.select("timestamp_s", label), "timestamp_s").where(F.col(label).isNotNull())
-    shifted = joined.withColumns({f"__before_{c}": F.lag(c).over(w) for c in columns})
+def leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s", rows: int | None = None, seed: int = 42, by: tuple[str, ...] = (), report: tuple[str, ...] = ()) -> DataFrame:
+    """``feature, corr_now, corr_before, suspicious`` (for each key of ``report``, such as the month): the correlation of a
+    feature with the label, and of its value one row earlier; suspicious if |now| > 0.5 and |now| > 2 |before|. ``rows`` takes
+    that many rows, by hash of the key."""
+    keys = [*by, "month", "timestamp_s"]
+    joined = features.select(*keys, *columns).join(labels.select(*keys, label), keys).where(F.col(label).isNotNull())
+    shifted = joined.withColumns({f"__before_{c}": F.lag(c).over(series_window(by)) for c in columns})
     if rows is not None:
-        shifted = shifted.orderBy(F.xxhash64("timestamp_s", F.lit(seed)), "timestamp_s").limit(rows)
-    pairs = [F.struct(F.lit(c).alias("feature"), F.corr(c, label).alias("corr_now"), F.corr(f"__before_{c}", label).alias("corr_before")) for c in columns]
-    found = shifted.agg(F.array(*pairs).alias("p")).select(F.explode("p").alias("p")).select("p.*")
+        shifted = shifted.orderBy(F.xxhash64(*by, "timestamp_s", F.lit(seed)), *by, "timestamp_s").limit(rows)
+    pairs = [F.struct(F.lit(c).alias("feature"), correlation(F.col(c), F.col(label)).alias("corr_now"), correlation(F.col(f"__before_{c}"), F.col(label)).alias("corr_before")) for c in columns]
+    found = shifted.groupBy(*report).agg(F.array(*pairs).alias("p")).select(*report, F.explode("p").alias("p")).select(*report, "p.*")
     now, before = F.abs("corr_now"), F.coalesce(F.abs("corr_before"), F.lit(0.0))
     return found.withColumn("suspicious", F.coalesce((now > 0.5) & (now > 2 * before), F.lit(False)))
 
 
-def no_leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s") -> DataFrame:
-    """One row ``n_rows, n_common, no_leakage``: true under 1,000 rows or 100 common keys, else if no feature is suspicious."""
-    common = features.select("timestamp_s").join(labels.select("timestamp_s"), "timestamp_s", "left_semi")
-    counts = features.agg(F.count(F.lit(1)).alias("n_rows")).crossJoin(common.agg(F.count(F.lit(1)).alias("n_common")))  # one row each
-    verdict = leakage(features, labels, columns, label).agg(F.coalesce(~F.bool_or("suspicious"), F.lit(True)).alias("clean"))
+def no_leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s", by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a month (and key of ``by``) ``n_rows, n_common, no_leakage``: true under 1,000 rows or 100 common keys, else if no
+    feature is suspicious."""
+    keys = [*by, "month"]
+    rows = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    common = features.select(*keys, "timestamp_s").join(labels.select(*keys, "timestamp_s"), [*keys, "timestamp_s"], "left_semi").groupBy(*keys).agg(F.count(F.lit(1)).alias("n_common"))
+    verdict = leakage(features, labels, columns, label, by=by, report=tuple(keys)).groupBy(*keys).agg(F.coalesce(~F.bool_or("suspicious"), F.lit(True)).alias("clean"))
     few = (F.col("n_rows") < 1000) | (F.col("n_common") < 100)
-    return counts.crossJoin(verdict).select("n_rows", "n_common", (few | F.col("clean")).alias("no_leakage"))
+    told = rows.join(common, keys, "left").join(verdict, keys, "left").na.fill(0, ["n_common"])
+    return told.select(*keys, "n_rows", "n_common", (few | F.coalesce("clean", F.lit(True))).alias("no_leakage"))
 
 
-def top_correlations(features: DataFrame, labels: DataFrame, columns: list[str], label: str, top: int = 20) -> DataFrame:
-    """The ``top`` features by absolute correlation with the label."""
-    joined = features.select("timestamp_s", *columns).join(labels.select("timestamp_s", label), "timestamp_s")
-    wide = joined.agg(*(F.corr(c, label).alias(c) for c in columns))
-    return wide.unpivot([], columns, "feature", "corr").where("corr is not null").orderBy(F.abs("corr").desc(), "feature").limit(top)
+def top_correlations(features: DataFrame, labels: DataFrame, columns: list[str], label: str, top: int = 20, by: tuple[str, ...] = (), last: bool = False) -> DataFrame:
+    """The ``top`` features by absolute correlation with the label, or the ``last`` ones."""
+    keys = [*by, "month", "timestamp_s"]
+    joined = features.select(*keys, *columns).join(labels.select(*keys, label), keys)
+    wide = joined.agg(*(correlation(F.col(c), F.col(label)).alias(c) for c in columns))
+    size = F.abs("corr")
+    return wide.unpivot([], columns, "feature", "corr").where("corr is not null").orderBy(size.asc() if last else size.desc(), "feature").limit(top)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.exprs import ratio_or_one
+from ..functions.exprs import month_of, ratio_or_one
 from .bucket import reaggregate, series_window
 
 # Thresholds of the monthly report.
@@ -12,30 +12,33 @@ MIN_ROWS, MAX_NULLS, MAX_GAP, MIN_STD, MIN_LABELS, KLINE_TOLERANCE = 2_000_000,
 PRICE_PER_GB = 0.02
 
 
-def null_ratio(df: DataFrame, columns: list[str]) -> DataFrame:
+def null_ratio(df: DataFrame, columns: list[str], by: tuple[str, ...] = ()) -> DataFrame:
     """Share of NULL cells, rounded to 6 digits."""
     cells = F.count(F.lit(1)) * len(columns)
     nulls = sum((F.count_if(F.col(c).isNull()) for c in columns[1:]), F.count_if(F.col(columns[0]).isNull()))
-    return df.agg(F.round(F.coalesce(F.try_divide(nulls, cells), F.lit(0.0)), 6).alias("null_ratio"))
+    return df.groupBy(*by).agg(F.round(F.coalesce(F.try_divide(nulls, cells), F.lit(0.0)), 6).alias("null_ratio"))
 
 
-def max_gap(series: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """The largest step of timestamp_s within a month."""
-    return series.select((F.col("timestamp_s") - F.lag("timestamp_s").over(series_window(by))).alias("g")).agg(F.max("g").alias("max_gap"))
+def max_gap(series: DataFrame, by: tuple[str, ...] = (), report: tuple[str, ...] = ()) -> DataFrame:
+    """The largest step of timestamp_s within a month, for each key of ``report``."""
+    return series.select(*report, (F.col("timestamp_s") - F.lag("timestamp_s").over(series_window(by))).alias("g")).groupBy(*report).agg(F.max("g").alias("max_gap"))
 
 
-def check_quality(features: DataFrame, labels: DataFrame, before_fill: DataFrame | None = None, min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row: each check's value and verdict, and ``passed``. Nulls and gaps are measured on ``before_fill`` (default: the
-    features), which should be the series before it was filled and normalised."""
+def check_quality(features: DataFrame, labels: DataFrame, before_fill: DataFrame | None = None, min_rows: int = MIN_ROWS, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a month (and key of ``by``): each check's value and verdict, and ``passed``. Nulls and gaps are measured on
+    ``before_fill`` (default: the features), which should be the series before it was filled and normalised."""
     raw = features if before_fill is None else before_fill
-    rows = features.agg(F.count(F.lit(1)).alias("n_rows"), F.stddev_samp("buy_ratio").alias("buy_ratio_std"))
+    keys = [*by, "month"]
+    rows = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.lit(len(set(features.columns) - {*keys, "timestamp_s"}))).alias("n_features"), F.stddev_samp("buy_ratio").alias("buy_ratio_std"))
     mus = [c for c in labels.columns if c.startswith("mu_")]
     complete = F.lit(True)
     for c in mus:
         complete = complete & F.col(c).isNotNull()
-    valid = labels.agg(F.try_divide(F.count_if(complete), F.count(F.lit(1))).alias("valid_labels"))
-    numeric = [c for c in raw.columns if c not in ("timestamp_s", "month")]
-    report = rows.crossJoin(null_ratio(raw, numeric)).crossJoin(max_gap(raw)).crossJoin(valid)  # one row each
+    valid = labels.groupBy(*keys).agg(F.try_divide(F.count_if(complete), F.count(F.lit(1))).alias("valid_labels"))
+    numeric = [c for c in raw.columns if c not in ("timestamp_s", *keys)]
+    report = rows
+    for part in (null_ratio(raw, numeric, tuple(keys)), max_gap(raw, by, tuple(keys)), valid):  # a row a month each
+        report = report.join(part, keys, "left")
     checks = {"rows_ok": F.col("n_rows") >= min_rows, "nulls_ok": F.col("null_ratio") <= MAX_NULLS, "gap_ok": F.coalesce(F.col("max_gap") <= MAX_GAP, F.lit(True)), "variation_ok": F.col("buy_ratio_std") >= MIN_STD, "labels_ok": F.col("valid_labels") > MIN_LABELS}
     judged = report.withColumns({k: F.coalesce(c, F.lit(False)) for k, c in checks.items()})
     every = F.lit(True)
@@ -44,17 +47,23 @@ def check_quality(features: DataFrame, labels: DataFrame, before_fill: DataFrame
     return judged.withColumn("passed", every)
 
 
-def check_klines(series: DataFrame, klines: DataFrame, tolerance: float = KLINE_TOLERANCE) -> DataFrame:
-    """One row ``n, price_error_pct, volume_error_pct, status, passed`` against one-minute candles (open_time in ms).
-    Errors are means of relative differences in percent; status is skipped, no_overlap, ok or warning."""
-    ours = reaggregate(series).select("minute", F.col("close").alias("close_agg"), F.col("volume").alias("volume_agg"))
-    theirs = klines.select((F.floor(F.col("open_time") / 60_000) * 60).alias("minute"), F.col("close").alias("close_kline"), F.col("volume").alias("volume_kline"))
-    both = ours.join(theirs, "minute")
+def check_klines(series: DataFrame, klines: DataFrame, tolerance: float = KLINE_TOLERANCE, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row (for each key of ``by``, which may have ``month``) ``n, price_error_pct, volume_error_pct, status, passed`` against
+    one-minute candles (open_time in ms). Errors are means of relative differences in percent; status is skipped (no
+    candles), no_overlap, ok or warning."""
+    ours = reaggregate(series, by=by).select(*by, "minute", F.col("close").alias("close_agg"), F.col("volume").alias("volume_agg"))
+    minute = (F.floor(F.col("open_time") / 60_000) * 60).alias("minute")
+    dated = klines.withColumn("month", month_of(F.floor(F.col("open_time") / 1000))) if "month" in by and "month" not in klines.columns else klines
+    theirs = dated.select(*by, minute, F.col("close").alias("close_kline"), F.col("volume").alias("volume_kline"))
     error = lambda c: F.avg(ratio_or_one(F.abs(F.col(f"{c}_agg") - F.col(f"{c}_kline")), F.col(f"{c}_kline"))) * 100
-    found = both.agg(F.count(F.lit(1)).alias("n"), F.round(error("close"), 6).alias("price_error_pct"), F.round(error("volume"), 6).alias("volume_error_pct"))
-    had = klines.agg(F.count(F.lit(1)).alias("__k"))
+    both = ours.join(theirs, [*by, "minute"]).groupBy(*by).agg(F.count(F.lit(1)).alias("n"), F.round(error("close"), 6).alias("price_error_pct"), F.round(error("volume"), 6).alias("volume_error_pct"))
+    had = theirs.groupBy(*by).agg(F.count(F.lit(1)).alias("__k"))
+    if by:
+        found = series.select(*by).distinct().join(had, list(by), "left").join(both, list(by), "left").na.fill(0, ["n", "__k"])
+    else:
+        found = both.crossJoin(had)  # one row each
     status = F.when(F.col("__k") == 0, "skipped").when(F.col("n") == 0, "no_overlap").when(F.col("price_error_pct") < tolerance, "ok").otherwise("warning")
-    return found.crossJoin(had).withColumn("status", status).withColumn("passed", F.col("status") != "warning").drop("__k")
+    return found.withColumn("status", status).withColumn("passed", F.col("status") != "warning").drop("__k")
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -83,3 +92,8 @@ def inventory(files: DataFrame, depth: int = 1) -> DataFrame:
     """``prefix, files, bytes, first_file, last_file, cost`` of a listing (path, length)."""
     prefix = F.substring_index("path", "/", depth)
     return files.groupBy(prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("bytes"), F.min("path").alias("first_file"), F.max("path").alias("last_file")).withColumn("cost", F.round(F.col("bytes") / 1e9 * PRICE_PER_GB, 4))
+
+
+def latest_reports(reports: DataFrame, n: int = 5) -> DataFrame:
+    """The reports of the last ``n`` months."""
+    return reports.orderBy(F.desc("month")).limit(n)

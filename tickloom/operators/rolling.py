@@ -1,8 +1,10 @@
 """Row frames of any length at a cost that does not grow with the frame.
 
-Sums, counts and moments over more than ``NATIVE`` rows are differences of running sums; maxima and minima are the
-greater of two running maxima within blocks of the frame's length. All windows have the series' keys or
-a superset, so one shuffle serves them all.
+The series is cut in blocks of the frame's length. A frame is the end of one block and the beginning of the next, so its
+sum, maximum or minimum comes from one running value forwards and one backwards within the blocks: no
+running sum is subtracted from another, and a large value leaves no trace after its frame. Short frames are
+Spark's own. A month is cut in chunks, each with the rows before it that its frames reach, so a month's
+features are made by many tasks. All windows have the chunk's keys or a superset, so one shuffle serves them all.
 """
 
 from __future__ import annotations
@@ -12,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.exprs import ratio
 from .bucket import series_window
 
-NATIVE = 60
+NATIVE = 16
+#: Rows of a chunk, at least; it is also at least eight times the longest frame.
+CHUNK_ROWS = 86_400
 WINDOWS = (30, 60, 300, 900, 3600)
-#: Part of a running sum of squares below which a difference is rounding noise.
+#: Part of the sum of squares (of a frame, or up to the row where frames are differences) below which a difference is noise.
 NOISE = 1e-12
 
 
@@ -28,54 +32,67 @@ def trailing(prefix: str, w: int, by: tuple[str, ...] = ()) -> Column:
     return F.col(prefix) - F.coalesce(F.lag(prefix, w).over(series_window(by)), F.lit(0))
 
 
-def leading(prefix: str, h: int, by: tuple[str, ...] = ()) -> Column:
-    """Sum over the next ``h`` rows, NULL unless there are as many."""
-    return F.lead(prefix, h).over(series_window(by)) - F.col(prefix)
-
-
 def variance(n: Column, s: Column, ss: Column, noise: Column, ddof: int) -> Column:
-    """Variance from count, sum and sum of squares; differences within ``noise`` are 0."""
+    """Variance from count, sum and sum of squares; differences within NOISE of ``noise`` are 0."""
     spread = ss - F.try_divide(s * s, n)
     return F.when(n > ddof, F.when(spread <= noise * NOISE, 0.0).otherwise(spread) / (n - ddof))
 
 
-def rolling_extremum(df: DataFrame, column: str, w: int, out: str, largest: bool, by: tuple[str, ...] = ()) -> DataFrame:
-    """Maximum or minimum over the last ``w`` rows."""
+_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
+_PICKS = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
+
+
+def framed(df: DataFrame, w: int, wanted: dict[str, tuple[str, str]], by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` with, for each name, the sum, max or min (kind) of a column over the last ``w`` rows, this one included, or over as
+    many as there are; ``wanted`` has (column, kind). Columns that are summed must not be NULL."""
     series = series_window(by)
-    pick, agg = (F.greatest, F.max) if largest else (F.least, F.min)
+    agg = lambda name, frame: _AGGREGATES[wanted[name][1]](wanted[name][0]).over(frame)
     if w <= NATIVE:
-        return df.withColumn(out, agg(column).over(series.rowsBetween(1 - w, 0)))
+        return df.withColumns({name: agg(name, series.rowsBetween(1 - w, 0)) for name in wanted})
     block = Window.partitionBy(*by, "month", "__block")
-    up, down = block.orderBy("timestamp_s"), block.orderBy(F.desc("timestamp_s"))
     so_far = (Window.unboundedPreceding, 0)
-    blocked = df.withColumn("__block", F.floor((F.row_number().over(series) - 1) / w))
-    blocked = blocked.withColumns({"__head": agg(column).over(up.rowsBetween(*so_far)), "__tail": agg(column).over(down.rowsBetween(*so_far))})
-    return blocked.withColumn(out, pick(F.col("__head"), F.lag("__tail", w - 1).over(series))).drop("__block", "__head", "__tail")
+    up, down = block.orderBy("timestamp_s").rowsBetween(*so_far), block.orderBy(F.desc("timestamp_s")).rowsBetween(*so_far)
+    at = df.withColumn("__row", F.row_number().over(series) - 1)
+    blocked = at.withColumn("__block", F.floor(F.col("__row") / w)).withColumns({f"__tail_{name}": agg(name, down) for name in wanted})
+    blocked = blocked.withColumns({f"__head_{name}": agg(name, up) for name in wanted})
+    before = {name: F.when(F.col("__row") % w != w - 1, F.lag(f"__tail_{name}", w - 1).over(series)) for name in wanted}
+    head = lambda name: F.col(f"__head_{name}")
+    found = blocked.withColumns({name: F.when(before[name].isNull(), head(name)).otherwise(_PICKS[kind](head(name), before[name])) for name, (_, kind) in wanted.items()})
+    return found.drop("__row", "__block", *(f"__{x}_{name}" for name in wanted for x in ("head", "tail")))
+
+
+def chunked(series: DataFrame, reach: int, by: tuple[str, ...] = ()) -> DataFrame:
+    """``series`` with ``__chunk`` and ``__own``: months in chunks, and before each chunk, not its own, the ``reach`` rows that
+    lead up to it."""
+    size = max(CHUNK_ROWS, 8 * reach)
+    at = F.row_number().over(series_window(by)) - 1
+    numbered = series.withColumn("__at", at)
+    home = F.floor(F.col("__at") / size).cast("int")
+    led = F.when(F.col("__at") % size >= size - reach, F.array(home, home + 1)).otherwise(F.array(home))
+    return numbered.withColumn("__home", home).withColumn("__chunk", F.explode(led)).withColumn("__own", F.expr("__chunk = __home")).drop("__at", "__home")
 
 
 def rolling_features(series: DataFrame, windows: tuple[int, ...] = WINDOWS, by: tuple[str, ...] = ()) -> DataFrame:
     """Nine columns for each window over the dense series: volume_sum, quote_volume_sum, buy_ratio, volatility, vwap,
     trade_count, volume_imbalance, return, range."""
+    keys = (*by, "__chunk")
     x = F.col("price_return")
-    sums = running_sums(series, {"__v": F.col("volume"), "__q": F.col("quote_volume"), "__b": F.col("buy_volume"), "__s": F.col("sell_volume"), "__n": F.col("trade_count"), "__x": x, "__xx": x * x, "__k": F.when(x.isNotNull(), 1).otherwise(0)}, by)
-    w_ = series_window(by)
-    differences = {f"__{c}_{w}": trailing(f"__{c}", w, by) for w in windows for c in ("v", "q", "b", "s", "n", "x", "xx", "k")}
-    framed = sums.withColumns(differences | {f"__lag_{w}": F.lag("close", w).over(w_) for w in windows})
-    out = {}
+    result = chunked(series, max(windows), by).withColumns({"__x": F.coalesce(x, F.lit(0.0)), "__xx": F.coalesce(x * x, F.lit(0.0)), "__k": F.when(x.isNotNull(), 1).otherwise(0)})
+    sums = {"v": "volume", "q": "quote_volume", "b": "buy_volume", "s": "sell_volume", "n": "trade_count", "x": "__x", "xx": "__xx", "k": "__k"}
     for w in windows:
-        v, q, b, s, n, sx, sxx, k = (F.col(f"__{c}_{w}") for c in ("v", "q", "b", "s", "n", "x", "xx", "k"))
-        out |= {
+        wanted = {f"__w{c}": (name, "sum") for c, name in sums.items()} | {"__hi": ("high", "max"), "__lo": ("low", "min")}
+        v, q, b, s, n, sx, sxx, k = (F.col(f"__w{c}") for c in sums)
+        made = framed(result, w, wanted, keys).withColumn("__lag", F.lag("close", w).over(series_window(keys)))
+        features = {
             f"volume_sum_{w}s": v,
             f"quote_volume_sum_{w}s": q,
             f"buy_ratio_{w}s": ratio(b, v, 0.5),
-            f"volatility_{w}s": F.coalesce(F.sqrt(variance(k, sx, sxx, F.col("__xx"), 1)), F.lit(0.0)),
+            f"volatility_{w}s": F.coalesce(F.sqrt(variance(k, sx, sxx, sxx, 1)), F.lit(0.0)),
             f"vwap_{w}s": ratio(q, v, F.col("close")),
             f"trade_count_{w}s": n,
             f"volume_imbalance_{w}s": ratio(b - s, b + s, 0.0),
-            f"return_{w}s": F.coalesce(ratio(F.col("close"), F.col(f"__lag_{w}")) - 1, F.lit(0.0)),
+            f"return_{w}s": F.coalesce(ratio(F.col("close"), F.col("__lag")) - 1, F.lit(0.0)),
+            f"range_{w}s": F.col("__hi") - F.col("__lo"),
         }
-    result = framed.select(*series.columns, *(c.alias(name) for name, c in out.items()))
-    for w in windows:
-        result = rolling_extremum(rolling_extremum(result, "high", w, "__hi", True, by), "low", w, "__lo", False, by)
-        result = result.withColumn(f"range_{w}s", F.col("__hi") - F.col("__lo")).drop("__hi", "__lo")
-    return result
+        result = made.select(*result.columns, *(c.alias(name) for name, c in features.items()))
+    return result.where("__own").select(*series.columns, *(c for c in result.columns if c not in series.columns and not c.startswith("__")))

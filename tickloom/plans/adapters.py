@@ -54,7 +54,7 @@ def purchase_mempool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def click_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slow_series(spark, sf_dir, "click").where("event_id % 10 = 0").select((F.col("at") * 1000 + 7).alias("calc_time"), (F.col("quantity") / 1000).alias("last_funding_rate"), F.col("price").alias("mark_price"))
+    return slow_series(spark, sf_dir, "click").select((F.col("at") * 1000 + 7).alias("calc_time"), (F.col("quantity") / 1000).alias("last_funding_rate"), F.col("price").alias("mark_price"))
 
 
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

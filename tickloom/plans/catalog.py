@@ -10,12 +10,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import exprs, live
-from ..operators import blocks as block_ops, quality
+from ..operators import blocks as block_ops, quality, rolling
 from ..operators.asof import asof_join
 from ..operators.bucket import bucket_trades, fill_gaps, process_trades, reaggregate
 from ..operators.features import add_calendar, forward_fill, merge_blocks, merge_funding, merge_mempool, merge_metrics, with_whale_ratios
 from ..operators.labels import HORIZONS, leakage, make_labels, top_correlations
-from ..operators.normalize import feature_stats, normalize_features, zscore
+from ..operators.normalize import FAST, SLOW, feature_stats, normalize_features, zscore
 from ..operators.rolling import rolling_features
 from ..sources.readers import list_files
 from ..sources.shared import shared_folder
@@ -106,7 +106,7 @@ def asof_mempool(spark, sf_dir):
     return shown(merge_mempool(hourly(spark, sf_dir).select("timestamp_s", "month"), purchase_mempool(spark, sf_dir)))
 
 
-@query(f"WITH {q.dense(HOUR)}, {q.slow('click')}, funding AS (SELECT * FROM clicks WHERE event_id % 10 = 0) SELECT d.timestamp_s, d.close, round(s.quantity / 1000, 6) AS last_funding_rate, s.price AS mark_price, round(coalesce((s.price - d.close) / nullif(d.close, 0), 0), 6) AS basis FROM dense d ASOF LEFT JOIN funding s ON d.timestamp_s >= s.at")
+@query(f"WITH {q.dense(HOUR)}, {q.slow('click')} SELECT d.timestamp_s, d.close, round(s.quantity / 1000, 6) AS last_funding_rate, s.price AS mark_price, round(coalesce((s.price - d.close) / nullif(d.close, 0), 0), 6) AS basis FROM dense d ASOF LEFT JOIN clicks s ON d.timestamp_s >= s.at")
 def asof_funding_basis(spark, sf_dir):
     return shown(merge_funding(hourly(spark, sf_dir).select("timestamp_s", "month", "close"), click_funding(spark, sf_dir)))
 
@@ -159,6 +159,36 @@ def normalize_all(spark, sf_dir):
     return shown(normalize_features(series, fast=168))
 
 
+@query(f"WITH {q.dense(HOUR)} SELECT timestamp_s, round({q.zscore('close', FAST, 720)}, 6) AS close, round({q.zscore('volume', SLOW, 720)}, 6) AS gn_sopr FROM dense")
+def normalize_defaults(spark, sf_dir):
+    """The default windows, which a month's 720 hours cap."""
+    series = hourly(spark, sf_dir).select("timestamp_s", "month", "close", F.col("volume").alias("gn_sopr"))
+    return shown(normalize_features(series))
+
+
+def _by_hour(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Sums over all rows of each hour, to 3 digits: a series of one second has 2.6 million rows a month."""
+    return df.groupBy(exprs.floor_to(F.col("timestamp_s"), HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"), *((F.round(F.sum(F.col(c).cast("double")), 3) + 0.0).alias(c) for c in columns))
+
+
+def _sql_by_hour(table: str, columns: list[str]) -> str:
+    return f"SELECT timestamp_s // {HOUR} * {HOUR} AS hour, count(*) AS n, {', '.join(f'round(sum(CAST({c} AS DOUBLE)), 3) + 0.0 AS {c}' for c in columns)} FROM {table} GROUP BY 1"
+
+
+_SECONDS = [f"{k}_{w}s" for w in rolling.WINDOWS for k in ("volume_sum", "quote_volume_sum", "buy_ratio", "volatility", "vwap", "trade_count", "volume_imbalance", "return", "range")]
+
+
+@query(f"WITH {q.dense(1)}, {q.rolling(rolling.WINDOWS)} {_sql_by_hour('rolled', _SECONDS)}")
+def rolling_1s_by_hour(spark, sf_dir):
+    """All nine features over all five default windows of the series of one second."""
+    return _by_hour(rolling_features(process_trades(trades(spark, sf_dir), 1)), _SECONDS)
+
+
+@query(f"WITH {q.dense(1)}, z AS (SELECT timestamp_s, {q.zscore('close', FAST)} AS close, {q.zscore('volume', FAST)} AS volume FROM dense) {_sql_by_hour('z', ['close', 'volume'])}")
+def zscore_1s_by_hour(spark, sf_dir):
+    return _by_hour(normalize_features(process_trades(trades(spark, sf_dir), 1).select("timestamp_s", "month", "close", "volume")), ["close", "volume"])
+
+
 _LABELS = [f"{k}_{n}" for n in HORIZONS for k in ("mu", "sigma", "direction")]
 
 
@@ -167,15 +197,20 @@ def labels_all(spark, sf_dir):
     return shown(make_labels(hourly(spark, sf_dir)))
 
 
+@query(f"WITH {q.dense(1)}, {q.labels(HORIZONS)} {_sql_by_hour('labels', _LABELS)}")
+def labels_1s_by_hour(spark, sf_dir):
+    return _by_hour(make_labels(process_trades(trades(spark, sf_dir), 1)), _LABELS)
+
+
 @query(f"WITH {q.buckets(1)} SELECT timestamp_s // 60 * 60 AS minute, last(close ORDER BY timestamp_s) AS close, sum(volume) AS volume FROM buckets GROUP BY 1")
 def bucket_reaggregate_1m(spark, sf_dir):
     return shown(reaggregate(bucket_trades(trades(spark, sf_dir), 1)))
 
 
-@query(f"WITH {q.buckets(1)}, m AS (SELECT timestamp_s // 60 * 60 AS minute, last(close ORDER BY timestamp_s) AS close, sum(volume) AS volume FROM buckets GROUP BY 1), k AS (SELECT minute, close + minute // 60 % 2 AS kc, volume AS kv FROM m WHERE minute % 7 <> 0) SELECT count(*) AS n, round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) AS price_error_pct, round(avg(abs(volume - kv) / CASE WHEN kv = 0 THEN 1 ELSE kv END) * 100, 6) AS volume_error_pct, CASE WHEN count(*) = 0 THEN 'no_overlap' WHEN round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) < 0.01 THEN 'ok' ELSE 'warning' END AS status, round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) < 0.01 AS passed FROM m JOIN k USING (minute)")
+@query(f"WITH {q.buckets(1)}, m AS (SELECT timestamp_s // 60 * 60 AS minute, last(close ORDER BY timestamp_s) AS close, sum(volume) AS volume FROM buckets GROUP BY 1), k AS (SELECT minute, close + minute // 60 % 2 AS kc, volume AS kv FROM m) SELECT count(*) AS n, round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) AS price_error_pct, round(avg(abs(volume - kv) / CASE WHEN kv = 0 THEN 1 ELSE kv END) * 100, 6) AS volume_error_pct, CASE WHEN count(*) = 0 THEN 'no_overlap' WHEN round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) < 0.01 THEN 'ok' ELSE 'warning' END AS status, round(avg(abs(close - kc) / CASE WHEN kc = 0 THEN 1 ELSE kc END) * 100, 6) < 0.01 AS passed FROM m JOIN k USING (minute)")
 def kline_crosscheck(spark, sf_dir):
     series = bucket_trades(trades(spark, sf_dir), 1)
-    minutes = reaggregate(series).where("minute % 7 <> 0")
+    minutes = reaggregate(series)
     klines = minutes.select((F.col("minute") * 1000).alias("open_time"), (F.col("close") + F.floor(F.col("minute") / 60) % 2).alias("close"), "volume")
     return quality.check_klines(series, klines)
 
@@ -286,7 +321,7 @@ def parse_live_liquidation(spark, sf_dir):
     return trades(spark, sf_dir).select(text.alias("message")).select(*live.parse_liquidation(F.col("message")))
 
 
-@query(f"WITH {q.dense(HOUR)}, {q.labels(HORIZONS)}, raw AS (SELECT * FROM buckets), gaps AS (SELECT max(g) AS max_gap FROM (SELECT timestamp_s - lag(timestamp_s) OVER ({q.W}) AS g FROM raw)) SELECT (SELECT count(*) FROM dense) AS n_rows, round((SELECT stddev_samp(buy_ratio) FROM dense), 6) AS buy_ratio_std, 0.0::DOUBLE AS null_ratio, max_gap, round((SELECT count(*) FILTER (mu_30s IS NOT NULL AND mu_1m IS NOT NULL AND mu_3m IS NOT NULL AND mu_5m IS NOT NULL) / count(*) FROM labels), 6) AS valid_labels, false AS rows_ok, true AS nulls_ok, max_gap <= 300 AS gap_ok, (SELECT stddev_samp(buy_ratio) FROM dense) >= 0.01 AS variation_ok, (SELECT count(*) FILTER (mu_30s IS NOT NULL AND mu_1m IS NOT NULL AND mu_3m IS NOT NULL AND mu_5m IS NOT NULL) / count(*) FROM labels) > 0.95 AS labels_ok, false AS passed FROM gaps")
+@query(f"WITH {q.dense(HOUR)}, {q.labels(HORIZONS)}, raw AS (SELECT * FROM buckets), gaps AS (SELECT max(g) AS max_gap FROM (SELECT timestamp_s - lag(timestamp_s) OVER ({q.W}) AS g FROM raw)) SELECT (SELECT count(*) FROM dense) AS n_rows, CAST(14 AS INTEGER) AS n_features, round((SELECT stddev_samp(buy_ratio) FROM dense), 6) AS buy_ratio_std, 0.0::DOUBLE AS null_ratio, max_gap, round((SELECT count(*) FILTER (mu_30s IS NOT NULL AND mu_1m IS NOT NULL AND mu_3m IS NOT NULL AND mu_5m IS NOT NULL) / count(*) FROM labels), 6) AS valid_labels, false AS rows_ok, true AS nulls_ok, max_gap <= 300 AS gap_ok, (SELECT stddev_samp(buy_ratio) FROM dense) >= 0.01 AS variation_ok, (SELECT count(*) FILTER (mu_30s IS NOT NULL AND mu_1m IS NOT NULL AND mu_3m IS NOT NULL AND mu_5m IS NOT NULL) / count(*) FROM labels) > 0.95 AS labels_ok, false AS passed FROM gaps")
 def quality_report(spark, sf_dir):
     buckets = bucket_trades(trades(spark, sf_dir), HOUR)
     series = fill_gaps(buckets, HOUR)
@@ -321,6 +356,18 @@ def corr_topk(spark, sf_dir):
     return shown(top_correlations(series, make_labels(series), _CORR, "mu_1m", 5))
 
 
+@query(f"WITH {q.dense(HOUR)}, {q.labels(HORIZONS)}, b AS (SELECT * FROM dense JOIN labels USING (timestamp_s, month)) SELECT feature, round(corr, 6) AS corr FROM (" + _union("SELECT '@' AS feature, corr(@, mu_1m) AS corr FROM b", _CORR) + ") ORDER BY abs(corr), feature LIMIT 3")
+def corr_last(spark, sf_dir):
+    series = hourly(spark, sf_dir)
+    return shown(top_correlations(series, make_labels(series), _CORR, "mu_1m", 3, last=True))
+
+
+@query(f"WITH {q.buckets(1)} SELECT month, count(*) AS n_rows, max(g) AS max_gap, round(stddev_samp(buy_ratio), 6) AS buy_ratio_std FROM (SELECT *, timestamp_s - lag(timestamp_s) OVER ({q.W}) AS g FROM (SELECT b.*, buy_ratio AS br FROM buckets b)) GROUP BY month")
+def quality_by_month(spark, sf_dir):
+    """Rows, gaps and variation of each month's buckets of one second."""
+    buckets = bucket_trades(trades(spark, sf_dir), 1)
+    return quality.check_quality(buckets, make_labels(buckets), buckets).select("month", "n_rows", "max_gap", F.round("buy_ratio_std", 6).alias("buy_ratio_std"))
+
 @query("SELECT count(DISTINCT m) AS months, min(m) AS first_month, max(m) AS last_month, count(*) AS n_rows FROM (SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS m FROM lineitem)")
 def coverage_months(spark, sf_dir):
     i = table(spark, sf_dir, "lineitem")
@@ -371,8 +418,8 @@ def stream_bucket_twin(spark, sf_dir):
 _MATRIX = ["close", "volume_sum_60s", "volatility_60s", "vwap_300s", "range_300s", "hour_sin", "is_weekend", "block_difficulty", "mempool_tx_count", "basis", "mu_1m", "sigma_1m", "direction_1m"]
 
 
-@query(f"""WITH {q.dense(HOUR)}, {q.rolling(WINDOWS)}, {q.labels(HORIZONS)}, {q.slow('signup')}, {q.slow('purchase')}, {q.slow('click')}, funding AS (SELECT * FROM clicks WHERE event_id % 10 = 0),
-m AS (SELECT r.*, CASE WHEN s.event_id % 5 <> 0 THEN s.quantity END AS bd, CAST(p.price AS INTEGER) AS mtc, coalesce((f.price - r.close) / nullif(r.close, 0), 0) AS basis FROM rolled r ASOF LEFT JOIN signups s ON r.timestamp_s >= s.at ASOF LEFT JOIN purchases p ON r.timestamp_s >= p.at ASOF LEFT JOIN funding f ON r.timestamp_s >= f.at),
+@query(f"""WITH {q.dense(HOUR)}, {q.rolling(WINDOWS)}, {q.labels(HORIZONS)}, {q.slow('signup')}, {q.slow('purchase')}, {q.slow('click')},
+m AS (SELECT r.*, CASE WHEN s.event_id % 5 <> 0 THEN s.quantity END AS bd, CAST(p.price AS INTEGER) AS mtc, coalesce((f.price - r.close) / nullif(r.close, 0), 0) AS basis FROM rolled r ASOF LEFT JOIN signups s ON r.timestamp_s >= s.at ASOF LEFT JOIN purchases p ON r.timestamp_s >= p.at ASOF LEFT JOIN clicks f ON r.timestamp_s >= f.at),
 c AS (SELECT timestamp_s, {q.calendar()} FROM dense)
 SELECT m.timestamp_s, m.close, m.volume_sum_60s, round(m.volatility_60s, 6) AS volatility_60s, round(m.vwap_300s, 6) AS vwap_300s, m.range_300s, c.hour_sin, c.is_weekend, last_value(bd IGNORE NULLS) OVER (PARTITION BY m.month ORDER BY m.timestamp_s) AS block_difficulty, mtc AS mempool_tx_count, round(basis, 6) AS basis, round(mu_1m, 6) AS mu_1m, round(sigma_1m, 6) AS sigma_1m, direction_1m
 FROM m JOIN labels l ON m.timestamp_s = l.timestamp_s AND m.month = l.month JOIN c ON c.timestamp_s = m.timestamp_s""")

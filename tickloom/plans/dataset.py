@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..operators import quality
 from ..operators.bucket import bucket_trades, fill_gaps
 from ..operators.features import build_features
-from ..operators.labels import HORIZONS, make_labels
-from ..operators.normalize import FAST, SLOW, normalize_features
+from ..operators.labels import HORIZONS, make_labels, no_leakage
+from ..operators.normalize import FAST, SLOW, feature_stats, normalize_features
 from ..operators.rolling import WINDOWS, rolling_features
-from ..sources.sinks import write_months
+from ..sources.readers import path_exists
+from ..sources.sinks import from_months, write_months
 
 
 @dataclass(frozen=True)
@@ -30,16 +31,16 @@ class Recipe:
     slow: int = SLOW
 
 
-def build(trades: DataFrame, recipe: Recipe, blocks: DataFrame | None = None, mempool: DataFrame | None = None, funding: DataFrame | None = None, metrics: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Lazy frames ``buckets, series, features, labels``: months are partitions of one plan, so any number of them is built
-    at once. No trades give empty frames."""
-    buckets = bucket_trades(trades, recipe.grain)
-    series = fill_gaps(buckets, recipe.grain)
-    rolled = rolling_features(series, recipe.windows)
+def build(trades: DataFrame, recipe: Recipe, blocks: DataFrame | None = None, mempool: DataFrame | None = None, funding: DataFrame | None = None, metrics: DataFrame | None = None, by: tuple[str, ...] = ()) -> dict[str, DataFrame]:
+    """Lazy frames ``buckets, series, enriched, features, labels``: months (and keys of ``by``, such as a symbol, which all
+    inputs must then have) are partitions of one plan, so any number of them is built at once. No trades give empty frames."""
+    buckets = bucket_trades(trades, recipe.grain, by)
+    series = fill_gaps(buckets, recipe.grain, by)
+    rolled = rolling_features(series, recipe.windows, by)
     more = (mempool, funding, metrics) if recipe.priority >= 2 else (None, None, None)
-    enriched = build_features(rolled, blocks, *more)
-    features = normalize_features(enriched, recipe.fast, recipe.slow, compat=recipe.compat) if recipe.normalize else enriched
-    labels = make_labels(features if recipe.compat else series, recipe.horizons)
+    enriched = build_features(rolled, blocks, *more, by=by)
+    features = normalize_features(enriched, recipe.fast, recipe.slow, by, recipe.compat) if recipe.normalize else enriched
+    labels = make_labels(features if recipe.compat else series, recipe.horizons, by)
     return {"buckets": buckets, "series": series, "enriched": enriched, "features": features, "labels": labels}
 
 
@@ -54,14 +55,41 @@ def months_between(spark: SparkSession, first: str, last: str) -> DataFrame:
     return start.select((F.year("d") * 100 + F.month("d")).cast("int").alias("month"))
 
 
-def write_dataset(frames: dict[str, DataFrame], root: str, klines: DataFrame | None = None, min_rows: int = quality.MIN_ROWS) -> DataFrame:
-    """Writes features and labels by month (replacing the months built) and the quality report, which is returned.
-    Building again is safe: no state decides what is complete, the partitions do."""
+def report_months(frames: dict[str, DataFrame], klines: DataFrame | None = None, min_rows: int = quality.MIN_ROWS, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row a month (and key of ``by``): the quality checks, the leakage verdict and, with ``klines``, the errors against them."""
+    features, labels = frames["features"], frames["labels"]
+    keys = [*by, "month"]
+    report = quality.check_quality(features, labels, frames["buckets"], min_rows, by)
+    numeric = [f.name for f in features.schema if isinstance(f.dataType, T.NumericType) and f.name not in (*keys, "timestamp_s")]
+    mus = [c for c in labels.columns if c.startswith("mu_")]
+    if mus:
+        verdict = no_leakage(features, labels, numeric, mus[0], by).select(*keys, "no_leakage")
+        report = report.join(verdict, keys, "left")
+    return report if klines is None else report.join(quality.check_klines(frames["series"], klines, by=tuple(keys)).drop("passed"), keys, "left")
+
+
+def write_dataset(frames: dict[str, DataFrame], root: str, klines: DataFrame | None = None, min_rows: int = quality.MIN_ROWS, by: tuple[str, ...] = (), resume: bool = False) -> DataFrame:
+    """Writes buckets, features and labels by month (replacing the months built), and from what was written the statistics
+    (before normalising) and the report of each month, which is returned for all months. With ``resume`` months that
+    have a report are left as they are; else building again is safe, the partitions decide what is complete."""
     spark = frames["features"].sparkSession
-    write_months(frames["features"], f"{root}/features")
-    write_months(frames["labels"], f"{root}/labels")
-    report = quality.check_quality(frames["features"], frames["labels"], frames["buckets"], min_rows)
-    if klines is not None:
-        report = report.crossJoin(quality.check_klines(frames["series"], klines).drop("passed"))
-    report.write.mode("overwrite").json(f"{root}/reports")
-    return spark.read.schema(report.schema).json(f"{root}/reports")
+    if resume and path_exists(spark, f"{root}/reports"):
+        done = spark.read.parquet(f"{root}/reports").select(F.expr("year * 100 + month").cast("int").alias("month")).distinct()
+        frames = {name: f.join(F.broadcast(done), "month", "left_anti") for name, f in frames.items()}  # a row a month
+    stored = {}
+    for name in ("buckets", "enriched", "features", "labels"):
+        write_months(frames[name], f"{root}/{name}", by=by)
+        stored[name] = from_months(spark.read.schema(_stored_schema(frames[name])).parquet(f"{root}/{name}"))
+    built = [r.month for r in frames["buckets"].select("month").distinct().collect()]  # one row a month
+    stored = {name: f.where(F.col("month").isin(*built)) for name, f in stored.items()}
+    stored["series"] = stored["enriched"]
+    numeric = [f.name for f in stored["enriched"].schema if isinstance(f.dataType, T.NumericType) and f.name not in (*by, "month", "timestamp_s")]
+    stats = feature_stats(stored["enriched"], numeric, (*by, "month"), accuracy=10_000)
+    write_months(stats, f"{root}/stats", by=by)
+    write_months(report_months(stored, klines, min_rows, by), f"{root}/reports", by=by)
+    return from_months(spark.read.parquet(f"{root}/reports"))
+
+
+def _stored_schema(df: DataFrame) -> T.StructType:
+    """``month`` is stored as the partition folders year and month."""
+    return T.StructType([f for f in df.schema if f.name != "month"]).add("year", T.IntegerType()).add("month", T.IntegerType())

@@ -76,10 +76,12 @@ def slow(kind: str) -> str:
   last(quantity ORDER BY tms, agg_trade_id) AS quantity FROM trades WHERE event_type = '{kind}' GROUP BY tms // 1000)"""
 
 
-def zscore(column: str, w: int) -> str:
-    o = rows(w)
+def zscore(column: str, w: int, month_rows: int | None = None) -> str:
+    """``month_rows``: rows of a month's series, which a window is no longer than; they are counted if None."""
+    o = rows(w if month_rows is None else min(w, month_rows))
+    least = f"greatest(1, least({w}, count(*) OVER (PARTITION BY month)) // 10)" if month_rows is None else max(1, min(w, month_rows) // 10)
     z = f"({column} - avg({column}) {o}) / nullif(CASE WHEN stddev_samp({column}) {o} < 1e-9 THEN 0 ELSE stddev_samp({column}) {o} END, 0)"
-    return f"CASE WHEN count({column}) {o} >= {max(1, w // 10)} AND ({z}) IS NOT NULL THEN least(greatest({z}, -6), 6) ELSE 0 END"
+    return f"CASE WHEN count({column}) {o} >= {least} AND ({z}) IS NOT NULL THEN least(greatest({z}, -6), 6) ELSE 0 END"
 
 
 def calendar() -> str:

@@ -24,14 +24,16 @@ def read_csv(spark: SparkSession, path: str, kind: str, mode: str = "PERMISSIVE"
     return nan_to_null(rows.where(F.col(first).isNotNull()).drop("ignore"))
 
 
-def read_zipped_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """The first ``.csv`` member of each ZIP file, one file a task: a ZIP can't be split. Damaged files give no rows."""
+def read_zipped_csv(spark: SparkSession, path: str, kind: str, with_file: bool = False) -> DataFrame:
+    """The first ``.csv`` member of each ZIP file, one file a task: a ZIP can't be split. Damaged files give no rows.
+    ``with_file`` adds the ZIP file's name in ``file``."""
     schema = StructType.fromDDL(CSV[kind])
     names = schema.fieldNames()
+    out_names = [*names, "file"]
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for content, file in zip(batch.column("content"), batch.column("path").to_pylist(), strict=True):
                 try:
                     with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
                         member = next((n for n in z.namelist() if n.endswith(".csv")), None)
@@ -40,11 +42,12 @@ def read_zipped_csv(spark: SparkSession, path: str, kind: str) -> DataFrame:
                     data = b""
                 if data:
                     text = pa.csv.ConvertOptions(column_types=dict.fromkeys(names, pa.string()))
-                    yield from pa.csv.read_csv(io.BytesIO(data), pa.csv.ReadOptions(column_names=names), convert_options=text).to_batches()
+                    for rows in pa.csv.read_csv(io.BytesIO(data), pa.csv.ReadOptions(column_names=names), convert_options=text).to_batches():
+                        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array([file.rsplit("/", 1)[-1]] * rows.num_rows, pa.string())], names=out_names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("content")
-    raw = files.mapInArrow(unpack, ", ".join(f"`{n}` string" for n in names))
-    typed = raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(path).select("path", "content")
+    raw = files.mapInArrow(unpack, ", ".join(f"`{n}` string" for n in out_names))
+    typed = raw.select([F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema] + (["file"] if with_file else []))
     return nan_to_null(typed.where(F.col(names[0]).isNotNull()).drop("ignore"))
 
 
@@ -71,3 +74,9 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
 def path_exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """``metric, timestamp, value``: of rows for one metric and time, the one in the file whose name comes last counts."""
+    rows = spark.read.parquet(path).select("metric", "timestamp", "value", F.col("_metadata.file_name").alias("file"))
+    return rows.groupBy("metric", "timestamp").agg(F.max_by(F.struct("value"), "file").alias("x")).select("metric", "timestamp", "x.value")

@@ -87,6 +87,29 @@ class _MetricReader(DataSourceReader):
             yield partition.value, int(x["t"]), None if x["v"] is None else float(x["v"])
 
 
+class DocumentSource(DataSource):
+    """``format("rest_documents")`` with ``url``: the items of a JSON list as ``position, document``; one partition."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "rest_documents"
+
+    def schema(self) -> str:
+        return "position int, document string"
+
+    def reader(self, schema) -> DataSourceReader:
+        return _DocumentReader(dict(self.options))
+
+
+class _DocumentReader(DataSourceReader):
+    def __init__(self, options: dict) -> None:
+        self.options = options
+
+    def read(self, partition) -> Iterator[tuple]:
+        for i, x in enumerate(_transport(self.options)(self.options["url"], {}) or []):
+            yield i, json.dumps(x)
+
+
 class BlockSource(DataSource):
     """``format("rpc_blocks")`` with ``url, first, last, span``: block documents as JSON text, one partition for each ``span``
     heights. Heights that can't be had are skipped, with the error in ``error``."""
@@ -162,7 +185,7 @@ class _PollReader(SimpleDataSourceStreamReader):
 
 
 def register(spark) -> None:
-    for source in (MetricSource, BlockSource, PollSource):
+    for source in (MetricSource, DocumentSource, BlockSource, PollSource):
         spark.dataSource.register(source)
 
 

@@ -5,12 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def write_months(df: DataFrame, path: str, partitions: tuple[str, ...] = ("year", "month"), mode: str = "overwrite", compression: str = "snappy") -> None:
+def write_months(df: DataFrame, path: str, partitions: tuple[str, ...] = ("year", "month"), mode: str = "overwrite", compression: str = "snappy", by: tuple[str, ...] = ()) -> None:
     """Parquet partitioned by year and month. ``overwrite`` replaces only the partitions that ``df`` has, ``ignore`` does
-    nothing if the dataset exists, ``append`` adds files. ``month`` as yyyymm is split in year and month."""
+    nothing if the dataset exists, ``append`` adds files. ``month`` as yyyymm is split in year and month. A month with keys of
+    ``by`` is dealt by them, so it is written by several tasks."""
     if "year" in partitions and "year" not in df.columns:
         df = df.withColumns({"year": F.floor(F.col("month") / 100).cast("int"), "month": (F.col("month") % 100).cast("int")})
-    df.repartition(*partitions).sortWithinPartitions(*partitions, *[c for c in ("timestamp_s", "timestamp", "block_height") if c in df.columns]).write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    order = [c for c in ("timestamp_s", "timestamp", "block_height") if c in df.columns]
+    df.repartition(*partitions, *by).sortWithinPartitions(*partitions, *by, *order).write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def from_months(df: DataFrame) -> DataFrame:
+    """A dataset read back, with ``month`` as yyyymm in place of year and month."""
+    return df.withColumn("month", (F.col("year") * 100 + F.col("month")).cast("int")).drop("year")
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

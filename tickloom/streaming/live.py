@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ..functions.exprs import floor_to, month_of, ratio
 from ..functions.live import PARSERS, parse_mempool
@@ -39,6 +39,28 @@ def throughput(queries: dict[str, StreamingQuery]) -> dict[str, int]:
     return {name: sum(p["numInputRows"] for p in q.recentProgress) for name, q in queries.items()}
 
 
+class Monitor(StreamingQueryListener):
+    """Rows taken by each stream and the streams that failed, as Spark reports them; add it with
+    ``spark.streams.addListener`` and read it whenever a status is wanted."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.failed: dict[str, str] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.rows.setdefault(event.name, 0)
+
+    def onQueryProgress(self, event) -> None:
+        self.rows[event.progress.name] = self.rows.get(event.progress.name, 0) + event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        if event.exception:
+            self.failed[str(event.id)] = event.exception
+
+
 def bucket_stream(trades: DataFrame, grain: int = 1, late: str = "10 seconds") -> DataFrame:
     """Event-time twin of the bucket operator on a stream of trades (timestamp in ms): repeated trades within the
     watermark count once, buckets close when the watermark passes. The return, which needs the bucket before, is left
