@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import correlation, ratio
 from .bucket import series_window
-from .rolling import framed, variance
+from .rolling import lengthened, variance
 
 HORIZONS = {"30s": 30, "1m": 60, "3m": 180, "5m": 300}
 
@@ -22,16 +22,17 @@ def make_labels(series: DataFrame, horizons: dict[str, int] | None = None, by: t
         raise ValueError("labels need the column close")
     w = series_window(by)
     r = F.coalesce((F.col("close") - F.lag("close").over(w)) / F.greatest(F.col("close"), F.lit(1e-10)), F.lit(0.0))
-    out = series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r).withColumn("__rr", F.col("__r") * F.col("__r"))
-    named = []
-    for n, h in horizons.items():
-        frame = framed(out, h, {"__s": ("__r", "sum"), "__q": ("__rr", "sum")}, by)  # of the last h rows: h rows ahead, of the next
-        ahead = frame.withColumns({f"__{x}_{n}": F.lead(c, h).over(w) for x, c in (("f", "close"), ("s", "__s"), ("q", "__q"))})
-        later, s, q = (F.col(f"__{x}_{n}") for x in "fsq")
-        made = {f"mu_{n}": F.ln(ratio(later, F.col("close"))), f"sigma_{n}": F.sqrt(variance(F.when(s.isNotNull(), h), s, q, q, 0)), f"direction_{n}": F.coalesce(later > F.col("close"), F.lit(False)).cast("float")}
-        named += made
-        out = ahead.select(*out.columns, *(c.alias(name) for name, c in made.items()))
-    return out.select(*by, "month", "timestamp_s", *named)
+    raw = {"__s": F.col("__r"), "__q": F.col("__r") * F.col("__r")}
+    out = series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r).withColumns(raw)
+    last = 1
+    for n, h in sorted(horizons.items(), key=lambda x: x[1]):
+        if h % last:  # no multiple of the horizon before: from single rows again
+            out, last = out.withColumns(raw), 1
+        out, last = lengthened(out, last, h // last, {"__s": "sum", "__q": "sum"}, by), h  # of the last h rows: h rows ahead, of the next
+        out = out.withColumns({f"__{x}": F.lead(c, h).over(w) for x, c in (("later", "close"), ("sh", "__s"), ("qh", "__q"))})
+        later, s, q = F.col("__later"), F.col("__sh"), F.col("__qh")
+        out = out.withColumns({f"mu_{n}": F.ln(ratio(later, F.col("close"))), f"sigma_{n}": F.sqrt(variance(F.when(s.isNotNull(), h), s, q, q, 0)), f"direction_{n}": F.coalesce(later > F.col("close"), F.lit(False)).cast("float")})
+    return out.select(*by, "month", "timestamp_s", *(f"{kind}_{n}" for n in horizons for kind in ("mu", "sigma", "direction")))
 
 
 def leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s", rows: int | None = None, seed: int = 42, by: tuple[str, ...] = (), report: tuple[str, ...] = ()) -> DataFrame:

@@ -1,23 +1,27 @@
-"""Row frames of any length at a cost that does not grow with the frame.
+"""Row frames of any length at a cost that grows with the logarithm of the frame.
 
-The series is cut in blocks of the frame's length. A frame is the end of one block and the beginning of the next, so its
-sum, maximum or minimum comes from one running value forwards and one backwards within the blocks: no
-running sum is subtracted from another, and a large value leaves no trace after its frame. Short frames are
-Spark's own. A month is cut in chunks, each with the rows before it that its frames reach, so a month's
-features are made by many tasks. All windows have the chunk's keys or a superset, so one shuffle serves them all.
+A frame is put together from shorter frames that end earlier: the last 60 rows are the last 30 and, 30 rows before, the
+last 30. Sums, maxima and minima thus need additions and comparisons of lagged values only: no running sum is subtracted
+from another, and a large value leaves no trace after its frame. Longer windows continue from shorter ones. All lags have
+one partitioning and one order, so all windows together are one shuffle and one sort. A month is cut in chunks, each with
+the rows before it that its frames reach, so a month's features are made by many tasks.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import ratio
 from .bucket import series_window
 
-NATIVE = 16
+#: A frame grows by these factors, by one unit where none divides it.
+FACTORS = (2, 3, 5, 7)
 #: Rows of a chunk, at least; it is also at least eight times the longest frame.
 CHUNK_ROWS = 86_400
 WINDOWS = (30, 60, 300, 900, 3600)
+FEATURES = ("volume_sum", "quote_volume_sum", "buy_ratio", "volatility", "vwap", "trade_count", "volume_imbalance", "return", "range")
 #: Part of the sum of squares (of a frame, or up to the row where frames are differences) below which a difference is noise.
 NOISE = 1e-12
 
@@ -38,27 +42,40 @@ def variance(n: Column, s: Column, ss: Column, noise: Column, ddof: int) -> Colu
     return F.when(n > ddof, F.when(spread <= noise * NOISE, 0.0).otherwise(spread) / (n - ddof))
 
 
-_AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 _PICKS = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
 
 
-def framed(df: DataFrame, w: int, wanted: dict[str, tuple[str, str]], by: tuple[str, ...] = ()) -> DataFrame:
-    """``df`` with, for each name, the sum, max or min (kind) of a column over the last ``w`` rows, this one included, or over as
-    many as there are; ``wanted`` has (column, kind). Columns that are summed must not be NULL."""
-    series = series_window(by)
-    agg = lambda name, frame: _AGGREGATES[wanted[name][1]](wanted[name][0]).over(frame)
-    if w <= NATIVE:
-        return df.withColumns({name: agg(name, series.rowsBetween(1 - w, 0)) for name in wanted})
-    block = Window.partitionBy(*by, "month", "__block")
-    so_far = (Window.unboundedPreceding, 0)
-    up, down = block.orderBy("timestamp_s").rowsBetween(*so_far), block.orderBy(F.desc("timestamp_s")).rowsBetween(*so_far)
-    at = df.withColumn("__row", F.row_number().over(series) - 1)
-    blocked = at.withColumn("__block", F.floor(F.col("__row") / w)).withColumns({f"__tail_{name}": agg(name, down) for name in wanted})
-    blocked = blocked.withColumns({f"__head_{name}": agg(name, up) for name in wanted})
-    before = {name: F.when(F.col("__row") % w != w - 1, F.lag(f"__tail_{name}", w - 1).over(series)) for name in wanted}
-    head = lambda name: F.col(f"__head_{name}")
-    found = blocked.withColumns({name: F.when(before[name].isNull(), head(name)).otherwise(_PICKS[kind](head(name), before[name])) for name, (_, kind) in wanted.items()})
-    return found.drop("__row", "__block", *(f"__{x}_{name}" for name in wanted for x in ("head", "tail")))
+def _steps(times: int) -> list[int]:
+    """Factors that lead from 1 to ``times``; 0 stands for one more."""
+    steps = []
+    while times > 1:
+        steps.append(next((f for f in FACTORS if times % f == 0), 0))
+        times = times // steps[-1] if steps[-1] else times - 1
+    return steps[::-1]
+
+
+def lengthened(df: DataFrame, unit: int, times: int, kinds: dict[str, str], by: tuple[str, ...] = ()) -> DataFrame:
+    """``df`` whose columns ``kinds`` (name -> sum, max or min), which hold frames of the last ``unit`` rows, hold frames of
+    ``unit * times`` rows, or of as many as there are. Columns that are summed must not be NULL."""
+    series, steps, length = series_window(by), _steps(times), unit
+
+    def before(column: str, rows: int, kind: str) -> Column:
+        found = F.lag(column, rows).over(series)
+        return F.coalesce(found, F.lit(0)) if kind == "sum" else found
+
+    def joined(kind: str, parts: list[Column]) -> Column:
+        return reduce(_PICKS[kind], parts)
+
+    if 0 in steps:
+        df = df.withColumns({f"__unit_{name}": F.col(name) for name in kinds})
+    for step in steps:
+        if step:
+            df = df.withColumns({name: joined(kind, [F.col(name), *(before(name, length * i, kind) for i in range(1, step))]) for name, kind in kinds.items()})
+            length *= step
+        else:
+            df = df.withColumns({name: joined(kind, [F.col(f"__unit_{name}"), before(name, unit, kind)]) for name, kind in kinds.items()})
+            length += unit
+    return df.drop(*(f"__unit_{name}" for name in kinds))
 
 
 def chunked(series: DataFrame, reach: int, by: tuple[str, ...] = ()) -> DataFrame:
@@ -77,13 +94,17 @@ def rolling_features(series: DataFrame, windows: tuple[int, ...] = WINDOWS, by:
     trade_count, volume_imbalance, return, range."""
     keys = (*by, "__chunk")
     x = F.col("price_return")
-    result = chunked(series, max(windows), by).withColumns({"__x": F.coalesce(x, F.lit(0.0)), "__xx": F.coalesce(x * x, F.lit(0.0)), "__k": F.when(x.isNotNull(), 1).otherwise(0)})
-    sums = {"v": "volume", "q": "quote_volume", "b": "buy_volume", "s": "sell_volume", "n": "trade_count", "x": "__x", "xx": "__xx", "k": "__k"}
-    for w in windows:
-        wanted = {f"__w{c}": (name, "sum") for c, name in sums.items()} | {"__hi": ("high", "max"), "__lo": ("low", "min")}
-        v, q, b, s, n, sx, sxx, k = (F.col(f"__w{c}") for c in sums)
-        made = framed(result, w, wanted, keys).withColumn("__lag", F.lag("close", w).over(series_window(keys)))
-        features = {
+    raw = {"__v": F.col("volume"), "__q": F.col("quote_volume"), "__b": F.col("buy_volume"), "__s": F.col("sell_volume"), "__n": F.col("trade_count"), "__x": F.coalesce(x, F.lit(0.0)), "__xx": F.coalesce(x * x, F.lit(0.0)), "__k": F.when(x.isNotNull(), 1).otherwise(0), "__hi": F.col("high"), "__lo": F.col("low")}
+    kinds = {name: {"__hi": "max", "__lo": "min"}.get(name, "sum") for name in raw}
+    v, q, b, s, n, sx, sxx, k = (F.col(name) for name in raw if kinds[name] == "sum")
+    made = chunked(series, max(windows), by).withColumns(raw)
+    last = 1
+    for w in sorted(windows):
+        if w % last:  # no multiple of the window before: from single rows again
+            made, last = made.withColumns(raw), 1
+        made, last = lengthened(made, last, w // last, kinds, keys), w
+        close_before = F.lag("close", w).over(series_window(keys))
+        made = made.withColumns({
             f"volume_sum_{w}s": v,
             f"quote_volume_sum_{w}s": q,
             f"buy_ratio_{w}s": ratio(b, v, 0.5),
@@ -91,8 +112,8 @@ def rolling_features(series: DataFrame, windows: tuple[int, ...] = WINDOWS, by:
             f"vwap_{w}s": ratio(q, v, F.col("close")),
             f"trade_count_{w}s": n,
             f"volume_imbalance_{w}s": ratio(b - s, b + s, 0.0),
-            f"return_{w}s": F.coalesce(ratio(F.col("close"), F.col("__lag")) - 1, F.lit(0.0)),
+            f"return_{w}s": F.coalesce(ratio(F.col("close"), close_before) - 1, F.lit(0.0)),
             f"range_{w}s": F.col("__hi") - F.col("__lo"),
-        }
-        result = made.select(*result.columns, *(c.alias(name) for name, c in features.items()))
-    return result.where("__own").select(*series.columns, *(c for c in result.columns if c not in series.columns and not c.startswith("__")))
+        })
+    names = [f"{kind}_{w}s" for w in windows for kind in FEATURES]
+    return made.where("__own").select(*series.columns, *names)
