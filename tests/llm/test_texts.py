@@ -111,12 +111,20 @@ def test_sentencepiece_equals_library(docs):
         assert np.frombuffer(r.ids, "<u4").tolist() == want and r.decoded == sp.decode(want)
 
 
-def test_long_words_merge_as_short_ones():
+def test_long_words_equal_the_library():
+    """Words without a space of up to 100,000 characters: prose, random letters, base64, runs, other scripts, unknown characters."""
+    import sentencepiece
+
+    rng = random.Random(8)
+    sp = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path())
     model = pieces.load(tokenizer_path())
-    word = "▁" + "abracadabra" * 15
-    symbols = [model.ids[c] for c in word]
-    flat, _ = model.merge(np.array(symbols), np.zeros(len(symbols), np.int64), 1)
-    assert flat.tolist() == model.merge_long(list(symbols))
+    prose = "thequickbrownfoxisreadingtheinternationalnewspaperwithoutspacesinterestinglyenough"
+    alphabets = ["ab", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "éèüßñ漢字仮名交\n\t", "the", "a\U0001f600\u0301x"]
+    words = ["".join(rng.choice(a) for _ in range(n)) for a in alphabets for n in (1, 30, 45, 300, 3000)]
+    words += ["a" * 5000, "abracadabra" * 400, "=-" * 700, prose * 30, "".join(rng.sample(prose * 40, 2000))]
+    words += ["".join(rng.choice(alphabets[2]) for _ in range(100_000))]
+    for word, got in zip(words, model.encode_words([b" " + w.encode() for w in words]), strict=True):
+        assert got.tolist() == sp.encode(word)
 
 
 def test_quality_counts_and_held_out_accuracy(spark):

@@ -1,17 +1,22 @@
 """SentencePiece BPE encoding and decoding by vectorised merge rounds.
 
-The distinct words of a batch lie in flat numpy arrays, one symbol after the other. A round looks up
-the rank of every pair of neighbours, takes the smallest rank of each word (the leftmost where it
-occurs twice), merges that pair in all words at once and compacts the arrays; words without a pair
-that can merge leave. Each word thus sees the merges that the library's queue makes, in its order.
+The distinct words of a batch lie in flat numpy arrays, one symbol after the other. A round takes the
+smallest pair rank of each word (the leftmost where it occurs twice), merges those pairs in all words at
+once, compacts the arrays and looks up the ranks of the pairs that are new; words without a pair that can
+merge leave. Each word thus sees the merges that the library's queue makes, in its order.
+
+In a long word a round also merges every pair that no pair within REACH symbols comes before. The library
+makes these merges too, with the same symbols: a merge that touches a symbol less than the longest piece (L
+characters) away has all its parts within 2 L characters, and the first of them to be merged would be a pair of
+now that comes before. So a round over a word without end merges many pairs, not one.
 
 A word runs from a run of U+2581 (spaces are written as it) to the next. No piece of the vocabulary
-has U+2581 after another character, which ``load`` checks, so no merge crosses such a border.
+has U+2581 after another character, which ``load`` checks, so no merge crosses such a border. Nor does one
+cross a border between two characters that are neighbours in no piece, where words are cut further.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,12 +28,10 @@ from pyspark.sql import DataFrame
 from .storage import small_batches
 from .textkernel import flat, slices, spread
 
-#: Words with more symbols are merged one by one with a queue: a round costs as much as the word is long.
-LONG_WORD = 200
 #: Bytes of encoded words, WORD_BYTES and more for each, that a task remembers before it starts anew.
 REMEMBERED_BYTES, WORD_BYTES = 96 << 20, 300
 _SPACE = "▁"
-_ABSENT = np.int64(1) << 40
+_ABSENT = np.int64(1) << 62
 
 
 class Pieces:
@@ -44,6 +47,16 @@ class Pieces:
         if any(_SPACE in text[i].lstrip(_SPACE) for i in normal):
             raise ValueError("a piece has a space after another character")
         self.ids = {text[i]: i for i in normal}
+        #: A pair that comes first among all within this many symbols on either side is merged at once.
+        self.reach = 2 * max(map(len, self.ids)) + 4
+        #: Symbol of each code point: its piece, or n + code point.
+        self.of_char = self.n + np.arange(0x110000, dtype=np.int64)
+        for c, i in self.ids.items():
+            if len(c) == 1:
+                self.of_char[ord(c)] = i
+        #: Neighbours (left * n + right) in some piece; no merge crosses a border between others.
+        inside = {self.ids[a] * self.n + self.ids[b] for x in self.ids for a, b in zip(x, x[1:]) if a in self.ids and b in self.ids}
+        self.neighbours = np.array(sorted(inside), np.int64)
         self.byte_id = np.zeros(256, np.int64)
         surface = [b""] * self.n
         self.is_byte = np.zeros(self.n, bool)
@@ -67,7 +80,6 @@ class Pieces:
         self.pair_key = keys
         self.pair_rank = np.array([pairs[k][0] for k in keys.tolist()], np.int64)
         self.pair_to = np.array([pairs[k][1] for k in keys.tolist()], np.int64)
-        self.pairs = pairs
 
     def look(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rank, merged piece) of each pair; rank _ABSENT where there is none."""
@@ -76,80 +88,75 @@ class Pieces:
         hit = self.pair_key[at] == key
         return np.where(hit, self.pair_rank[at], _ABSENT), self.pair_to[at]
 
-    def merge(self, symbols: np.ndarray, word: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray]:
+    def first_within(self, order: np.ndarray) -> np.ndarray:
+        """Positions whose ``order`` is the smallest within ``reach`` on both sides and not _ABSENT."""
+        padded = np.full(len(order) + 2 * self.reach, _ABSENT)
+        padded[self.reach : self.reach + len(order)] = order
+        least, width = padded, 1
+        while width < 2 * self.reach + 1:
+            step = min(width, 2 * self.reach + 1 - width)
+            least = np.minimum(least[:-step], least[step:])
+            width += step
+        return np.flatnonzero((order == least) & (order < _ABSENT))
+
+    def merge(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols and their (ascending) words after all merges."""
-        done_symbol, done_word = [], []
-        while len(symbols):
-            rank, to = self.look(symbols[:-1], symbols[1:])
-            rank[word[:-1] != word[1:]] = _ABSENT
-            at = np.flatnonzero(rank < _ABSENT)
-            if len(at):
-                order = at[np.lexsort((at, rank[at], word[at]))]
-                best = order[np.concatenate([[True], word[order][1:] != word[order][:-1]])]
-                live = np.zeros(n_words, bool)
-                live[word[best]] = True
-                stay = np.ones(len(symbols), bool)
-                stay[best + 1] = False
-                symbols = symbols.copy()
-                symbols[best] = to[best]
-                over = ~live[word]
-                done_symbol.append(symbols[over])
-                done_word.append(word[over])
-                stay &= ~over
-                symbols, word = symbols[stay], word[stay]
-            else:
-                done_symbol.append(symbols)
-                done_word.append(word)
-                break
-        if not done_symbol:
-            return symbols, word
+        done_symbol, done_word = [symbols[:0]], [word[:0]]
+        n = len(symbols)
+        rank, to = np.full(n, _ABSENT), np.zeros(n, np.int64)  # of the pair of a symbol and the next one
+        fresh = np.arange(n - 1)
+        while n:
+            fresh = fresh[word[fresh] == word[fresh + 1]]
+            rank[fresh], to[fresh] = self.look(symbols[fresh], symbols[fresh + 1])
+            order = np.where(rank < _ABSENT, (rank << 32) | np.arange(n), _ABSENT)
+            start = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            size = np.diff(np.append(start, n))
+            least = np.minimum.reduceat(order, start)
+            live = least < _ABSENT
+            best = least[live] & 0xFFFFFFFF
+            if size.max() > self.reach:
+                best = np.union1d(best, self.first_within(order))
+            stay = np.repeat(live, size)
+            done_symbol.append(symbols[~stay])
+            done_word.append(word[~stay])
+            symbols[best] = to[best]
+            stay[best + 1] = False
+            at = np.cumsum(stay)[best] - 1
+            rank[best] = _ABSENT
+            symbols, word, rank, to = symbols[stay], word[stay], rank[stay], to[stay]
+            n = len(symbols)
+            fresh = np.unique(np.concatenate([at - 1, at]))
+            fresh = fresh[(fresh >= 0) & (fresh < n - 1)]
+            rank[fresh] = _ABSENT
         symbols, word = np.concatenate(done_symbol), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
         return symbols[order], word[order]
 
-    def merge_long(self, symbols: list[int]) -> list[int]:
-        """The same merges of one word by a queue of pairs, for very long words."""
-        left, right = list(range(-1, len(symbols) - 1)), [*range(1, len(symbols)), -1]
-        queue: list[tuple[int, int, int, int]] = []
-
-        def offer(i: int, j: int) -> None:
-            if i >= 0 and j >= 0 and symbols[i] < self.n and symbols[j] < self.n and (p := self.pairs.get(symbols[i] * self.n + symbols[j])):
-                heapq.heappush(queue, (p[0], i, symbols[i], symbols[j]))
-
-        for i in range(len(symbols) - 1):
-            offer(i, i + 1)
-        while queue:
-            _, i, a, b = heapq.heappop(queue)
-            j = right[i]
-            if j < 0 or symbols[i] != a or symbols[j] != b:
-                continue
-            symbols[i], symbols[j] = self.pairs[a * self.n + b][1], -1
-            right[i] = right[j]
-            if right[i] >= 0:
-                left[right[i]] = i
-            offer(left[i], i)
-            offer(i, right[i])
-        return [s for s in symbols if s >= 0]
-
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word (spaces already written as U+2581)."""
-        extra: dict[str, int] = {}
-        get, symbols, size = self.ids.get, [], []
-        for w in words:
-            s = [i if (i := get(c)) is not None else self.n + extra.setdefault(c, len(extra)) for c in w]
-            if len(s) > LONG_WORD:
-                s = self.merge_long(s)
-            symbols += s
-            size.append(len(s))
-        merged, word = self.merge(np.array(symbols, np.int64), np.repeat(np.arange(len(words)), size), len(words))
-        if extra:  # characters without a piece become bytes
-            lists = [self.byte_id[list(c.encode())] for c in extra]
-            plain = np.arange(self.n)
-            values, offsets = np.concatenate([plain, *lists]), np.concatenate([np.arange(self.n + 1), self.n + np.cumsum([len(x) for x in lists])])
-            merged, count = spread(offsets, values, merged)
+    def encode_words(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word (UTF-8, not empty)."""
+        if not words:
+            return []
+        joined = b"".join(words)
+        bounds = np.cumsum([0, *map(len, words[:-1])])
+        size = np.add.reduceat(((np.frombuffer(joined, np.uint8) & 0xC0) != 0x80).astype(np.int64), bounds)
+        points = np.frombuffer(joined.decode().replace(" ", _SPACE).encode("utf-32-le"), "<u4")
+        symbols, word = self.of_char[points], np.repeat(np.arange(len(words)), size)
+        key = symbols[:-1] * self.n + symbols[1:]
+        met = self.neighbours[np.minimum(np.searchsorted(self.neighbours, key), len(self.neighbours) - 1)] == key
+        border = (word[1:] != word[:-1]) | ~met | (symbols[:-1] >= self.n) | (symbols[1:] >= self.n)
+        part = np.concatenate([[0], np.cumsum(border)])
+        merged, part_of = self.merge(symbols, part)
+        word = word[np.searchsorted(part, part_of)]
+        if (merged >= self.n).any():  # characters without a piece become bytes
+            extra = np.unique(merged[merged >= self.n])
+            lists = [self.byte_id[list(chr(c).encode())] for c in (extra - self.n).tolist()]
+            values = np.concatenate([np.arange(self.n), *lists])
+            offsets = np.concatenate([np.arange(self.n + 1), self.n + np.cumsum([len(x) for x in lists])])
+            merged, count = spread(offsets, values, np.where(merged < self.n, merged, self.n + np.searchsorted(extra, merged)))
             word = np.repeat(word, count)
         cuts = np.searchsorted(word, np.arange(len(words) + 1))
-        return [merged[a:b].astype(np.uint32) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+        merged = merged.astype(np.uint32)
+        return [merged[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
 
     def decode(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
         """Texts of the id lists ``ids[bounds[d]:bounds[d + 1]]``: the pieces' characters without the first
@@ -204,7 +211,7 @@ def _encode(path: str, carry: tuple[str, ...] = ()):
                 names = coded.dictionary.to_pylist()
                 bodies = [(b" " if u >= size else b"") + names[u % size] for u in used.tolist()]
                 fresh = [b for b in bodies if b not in known]
-                known.update(zip(fresh, model.encode_words([b.decode().replace(" ", _SPACE) for b in fresh]), strict=True))
+                known.update(zip(fresh, model.encode_words(fresh), strict=True))
                 lists = [known[b] for b in bodies]
                 held += sum(WORD_BYTES + 5 * len(b) for b in fresh)
                 if held > REMEMBERED_BYTES:
