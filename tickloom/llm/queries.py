@@ -34,7 +34,7 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_personal_data(table(spark, sf_dir, "documents"))
     counts = [spans.of_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[: pii.BASE_KINDS])]
-    return found.select("doc_id", *counts, F.sha2(spans.joined(F.col("base"), pii.KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), pii.KINDS).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(spans.joined(F.col("base"), pii.KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), pii.KINDS).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 #: Target shares of the mixture that op4 shows; the other sources divide the rest.
@@ -69,7 +69,7 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secret_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     counts = [spans.of_kind(F.col("base"), k).alias(f"n_{name}") for k, name in enumerate(secrets.KINDS[:3])]
-    return found.select("doc_id", *counts, F.sha2(spans.joined(F.col("base"), secrets.KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), secrets.KINDS).alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(spans.joined(F.col("base"), secrets.KINDS), 256).alias("base_sha256"), spans.joined(F.col("spans"), secrets.KINDS).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op10_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
