@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from .storage import written
 
-#: A node with more links than this, and than LIGHT_SHARE of all links, is joined by broadcast: at most 2 / LIGHT_SHARE nodes.
+#: A key with more rows than this, and than LIGHT_SHARE of all rows, is joined by broadcast: at most 1 / LIGHT_SHARE keys (2 / LIGHT_SHARE nodes,
+#: whose links are counted at both ends).
 LIGHT, LIGHT_SHARE = 1_000, 1e-5
 
 
@@ -16,6 +17,14 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), *sums).first())
 
 
+def joined_by(rows: DataFrame, keyed: DataFrame, key: str, count: str, total: int) -> DataFrame:
+    """``rows`` joined with ``keyed``, which has a row for each value of ``key`` and in ``count`` the number of rows that have it.
+    ``total`` is the number of all rows or more. Heavy values are joined by broadcast, so that none gathers in a task."""
+    heavy = F.broadcast(written(keyed.where(F.col(count) > max(LIGHT, int(total * LIGHT_SHARE))).drop(count), "heavy"))
+    light = rows.join(heavy, key, "left_anti").join(keyed.drop(count), key)
+    return rows.join(heavy, key).unionByName(light)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id, component_id`` for every id of ``links`` (``a, b``, long); component_id is the smallest id reachable.
 
@@ -29,10 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("k"))
-        heavy = F.broadcast(written(low.where(F.col("k") > max(LIGHT, int(state[0] * LIGHT_SHARE))).select("u", "m"), "heavy"))
-        up = both.where("v > u")
-        light = up.join(heavy, "u", "left_anti").join(low.select("u", "m"), "u")
-        large = up.join(heavy, "u").unionByName(light).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = joined_by(both.where("v > u"), low, "u", "k", state[0]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where("u <> v").distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))

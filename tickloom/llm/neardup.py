@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .components import components
+from .components import components, joined_by
 from .storage import small_batches, written
 from .textkernel import Words, mixed, slices, window_hashes, words_of
 
@@ -150,9 +150,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     of_a, of_b = (known.select(F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
     joins = across.join(of_a, "a").join(of_b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
     merged = components(joins).select(F.col("id").alias("c"), F.col("component_id").alias("into"))
-    labelled = known.join(merged, "c", "left").select("id", F.coalesce("into", "c").alias("c"))
-    smallest = labelled.join(reps.select("id", "doc_id"), "id").groupBy("c").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    placed = labelled.join(smallest, "c").select("id", "component_id")
+    # the smallest doc_id goes from components to what they merge into and back before it meets the nodes, by then one row a component
+    parts = known.join(reps.select("id", "doc_id"), "id").groupBy("c").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("sets"))
+    parts = written(parts.join(merged, "c", "left").withColumn("into", F.coalesce("into", "c")), "parts")
+    whole = parts.groupBy("into").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("parts"), F.sum("sets").alias("all")).where("all > 1").drop("all")
+    n_nodes = reps.count()
+    named = written(joined_by(parts.select("into", "c", "sets"), whole, "into", "parts", n_nodes).select("c", "component_id", "sets"), "named")
+    placed = joined_by(known.select("id", "c"), named, "c", "sets", n_nodes).select("id", "component_id")
     linked = owners.join(placed, "id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "first_doc").alias("component_id"))
     alone = signed.where(~told).select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
