@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import neardup, pieces, quality, sharding, substring_dedup
+from tickloom.llm import components, neardup, pieces, quality, sharding, substring_dedup
 from tickloom.llm.queries import tokenizer_path
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -264,3 +264,11 @@ def by_links(sets, percent=80):
                 a, b = sorted((root(i), root(j)))
                 top[b] = a
     return {i: root(i) for i in sets}
+
+
+def test_heavy_keys_are_joined_like_any(spark, monkeypatch):
+    monkeypatch.setattr(components, "LIGHT", 3)
+    rows = spark.createDataFrame([(k % 7 if k % 3 else 0, k) for k in range(60)] + [(None, 60)], "c long, id long")
+    keyed = rows.where("c is not null and c <> 5").groupBy("c").count().selectExpr("c", "c * 10 as into", "count as sets")
+    expected = sorted(map(tuple, rows.join(keyed.drop("sets"), "c").collect()))
+    assert sorted(map(tuple, components.joined_by(rows, keyed, "c", "sets", 61).collect())) == expected and len(expected) > 40
