@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ann, chat, checks, mixing, neardup, pieces, pii, quality, secrets, sharding, spans, substring_dedup
+from . import ann, chat, checks, classifier, lexical, mixing, neardup, negatives, pieces, pii, quality, secrets, sharding, spans, substring_dedup
 
 TOKENIZER = "piece_bpe_32k.model"
 
@@ -77,9 +77,25 @@ def op10_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_by_codes(vectors, F.col("vec_id") % 50 == 0)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", noisy.alias("label"), F.col("embedding").alias("vector"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    classed = classifier.classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return classed.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_vector_sharding, op2_substring_dedup, op3_pii_weak_supervision, op4_pfair_mixing, op5_quality_ratio, op6_perspective_rotation, op7_tensored_minhash, op8_sentencepiece, op9_secret_entropy, op10_rotated_codes)}
+    return {f.__name__: f for f in (op1_vector_sharding, op2_substring_dedup, op3_pii_weak_supervision, op4_pfair_mixing, op5_quality_ratio, op6_perspective_rotation, op7_tensored_minhash, op8_sentencepiece, op9_secret_entropy, op10_rotated_codes, op11_hard_negatives, op12_ranked_search, op13_quality_classifier)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_substring_dedup": checks.REPEATED_PASSAGES, "op6_perspective_rotation": chat.ORACLE_SQL, "op7_tensored_minhash": checks.near_duplicates(4, 80), "op10_rotated_codes": ann.ORACLE_SQL}
+    return {"op2_substring_dedup": checks.REPEATED_PASSAGES, "op6_perspective_rotation": chat.ORACLE_SQL, "op7_tensored_minhash": checks.near_duplicates(4, 80), "op10_rotated_codes": ann.ORACLE_SQL, "op11_hard_negatives": negatives.ORACLE_SQL, "op12_ranked_search": lexical.ORACLE_SQL}

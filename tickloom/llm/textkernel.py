@@ -84,12 +84,12 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[off[0] : off[-1]], off - off[0]
 
 
-def words_of(texts: pa.Array, lower: bool = False) -> Words:
-    """All words of a batch; ``lower`` maps A-Z to a-z and nothing else."""
+def words_of(texts: pa.Array, lower: bool = False, breaks: np.ndarray = IS_SPACE) -> Words:
+    """All words of a batch, the runs of bytes that ``breaks`` has not; ``lower`` maps A-Z to a-z and nothing else."""
     raw, off = flat(texts)
     if lower and len(raw):
         raw = np.where((raw >= 65) & (raw <= 90), raw + np.uint8(32), raw)
-    inside = ~IS_SPACE[raw]
+    inside = ~breaks[raw]
     fresh = np.zeros(len(raw) + 1, bool)
     fresh[off] = True
     before = np.concatenate([[False], inside[:-1]]) & ~fresh[:-1] if len(raw) else inside
