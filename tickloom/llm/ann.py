@@ -7,7 +7,8 @@ product made from the bits. The estimate's error stays with high probability wit
 candidate is reranked with its original vector only if its upper bound reaches the K-th best
 lower bound.
 
-Lists: centroids from a bounded sample split the vectors; a query looks into the nearest lists. Equal
+Lists: centroids from a bounded sample split the vectors; a query looks into the nearest lists. How many, is measured: the true
+neighbours of a bounded sample of queries are found by brute force, and as many lists are looked into as hold RECALL of them. Equal
 vectors are one entry with their smallest ids. Lists and their queries are cut in blocks, so no task gathers a list
 or its queries: it compares one block of entries with one block of queries.
 """
@@ -27,8 +28,8 @@ K = 5
 SAMPLE = 20_000
 #: Most lists; below, about one for each LIST_VECTORS vectors.
 MOST_LISTS, LIST_VECTORS = 1_024, 2_000
-#: Lists a query looks into: this share, MIN_PROBES at least.
-PROBE_SHARE, MIN_PROBES = 0.5, 12
+#: Share of true neighbours that the lists looked into must hold, measured on at most MEASURED queries; the fewest lists looked into.
+RECALL, MEASURED, MIN_PROBES = 0.98, 256, 12
 #: Entries of a list and queries that one task compares, about; queries that it compares at a time.
 ENTRY_BLOCK, QUERY_BLOCK, AT_A_TIME = 8_192, 8_192, 512
 EPSILON = 3.0
@@ -105,6 +106,45 @@ def _centroids(sample: np.ndarray, lists: int) -> np.ndarray:
     return centres
 
 
+def _truth(units: np.ndarray, query_ids: list[int], k: int):
+    """Over all entries of a partition: lists and scores of the ``k`` nearest of each query, its own row left out."""
+
+    def run(batches):
+        place = {q: i for i, q in enumerate(query_ids)}
+        score, lists = np.full((len(units), k), -np.inf), np.full((len(units), k), -1)
+        for pdf in batches:
+            if not len(pdf):
+                continue
+            found = units @ _unit(_matrix(pdf["vector"])).T
+            for j, ids in enumerate(pdf["ids"]):
+                if len(ids) == 1 and ids[0] in place:
+                    found[place[ids[0]], j] = -np.inf
+            both = np.concatenate([score, found], axis=1)
+            held = np.concatenate([lists, np.broadcast_to(pdf["list"].to_numpy(), found.shape)], axis=1)
+            top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+            score, lists = np.take_along_axis(both, top, 1), np.take_along_axis(held, top, 1)
+        q, at = np.nonzero(np.isfinite(score))
+        yield pd.DataFrame({"q": q, "list": lists[q, at], "score": score[q, at]})
+
+    return run
+
+
+def measured_probes(listed: DataFrame, queries: DataFrame, centroids: np.ndarray, k: int, recall: float, least: int) -> int:
+    """The fewest lists (nearest first, ``least`` at least) that hold ``recall`` of the true neighbours of MEASURED queries. Those
+    queries, and ``k`` lists for each, are what reaches the driver."""
+    if len(centroids) <= least:
+        return len(centroids)
+    asked = queries.orderBy(F.xxhash64("query_id", F.lit(9)), "query_id", "vector").limit(MEASURED).toPandas()
+    if not len(asked):
+        return least
+    units = _unit(_matrix(asked["vector"]))
+    near = listed.select("ids", "vector", "list").mapInPandas(_truth(units, asked["query_id"].tolist(), k), "q long, list long, score double")
+    best = Window.partitionBy("q").orderBy(F.desc("score"), "list")
+    told = near.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k).select("q", "list").toPandas()
+    place = (-(units @ centroids.T)).argsort(axis=1).argsort(axis=1)[told["q"], told["list"]]
+    return min(len(centroids), max(least, int(np.ceil(np.quantile(place, recall))) + 1)) if len(place) else least
+
+
 def _codes(centroids: np.ndarray):
     def run(batches):
         turn = rotation(centroids.shape[1])
@@ -148,7 +188,7 @@ def _search(centroids: np.ndarray, k: int):
     return run
 
 
-def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMPLE, list_vectors: int = LIST_VECTORS, probe_share: float = PROBE_SHARE, min_probes: int = MIN_PROBES, query_block: int = QUERY_BLOCK) -> DataFrame:
+def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: int = SAMPLE, list_vectors: int = LIST_VECTORS, recall: float = RECALL, min_probes: int = MIN_PROBES, query_block: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row of ``vectors`` (vec_id, vector) that ``is_query`` picks, the ``k``
     nearest other rows that the index finds, by cosine in double precision of the original vectors, ties to the smaller
     id; fewer if there are fewer candidates in the lists it looks into.
@@ -156,7 +196,7 @@ def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: i
     Vectors that are null, zero or hold a null or a non-finite component take no part, nor do rows with a null id and
     vectors of another length than the most frequent one. Rows that repeat an id and vector count once; of rows that
     share an id with different vectors, each is a candidate under that id. Other columns are ignored. The index has a list
-    for each ``list_vectors`` entries; a query looks into ``probe_share`` of them, ``min_probes`` at least.
+    for each ``list_vectors`` entries; a query looks into as many as hold ``recall`` of the true neighbours, ``min_probes`` at least.
     """
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("vector").cast("array<double>").alias("vector"), is_query.alias("is_query")).where("vec_id is not null and vector is not null and size(vector) > 0")
     finite = F.forall("vector", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -175,10 +215,10 @@ def nearest_by_codes(vectors: DataFrame, is_query: Column, k: int = K, sample: i
     fitted = entries.orderBy(F.xxhash64("same", F.lit(3)), "same").limit(sample).select("vector").toPandas()  # bounded by ``sample``
     lists = int(min(MOST_LISTS, max(1, n // list_vectors)))
     centroids = _centroids(_unit(_matrix(fitted["vector"])), lists)
-    probes = min(lists, max(min_probes, math.ceil(lists * probe_share)))
-    one, some = (F.pandas_udf(_probes(centroids, m), "array<int>") for m in (1, probes))
+    one = F.pandas_udf(_probes(centroids, 1), "array<int>")
     listed = entries.withColumn("list", one("vector")[0])
     queries = rows.where("is_query").select(F.col("vec_id").alias("query_id"), "vector")
+    some = F.pandas_udf(_probes(centroids, measured_probes(listed, queries, centroids, k, recall, min_probes)), "array<int>")
     asked = written(queries.withColumn("list", F.explode(some("vector"))), "asked")
 
     def cut(df: DataFrame, size: int) -> tuple[Column, Column]:

@@ -114,12 +114,12 @@ def fourier(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Steps and levels of the rising function nearest to ``y``: neighbours that fall are pooled until none does. A pool stands at the
-    mean of its x; between pools the function is straight."""
-    order = np.lexsort((y, x))
+    """Steps and levels of the rising function nearest to ``y``: neighbours that fall are pooled until none does, equal x from the
+    start. A pool stands at the mean of its x; between pools the function is straight."""
+    at, which, rows = np.unique(x, return_inverse=True, return_counts=True)
     pools: list[list[float]] = []  # sum of y, rows, sum of x
-    for a, b in zip(x[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([b, 1, a])
+    for a, b, n in zip(at.tolist(), np.bincount(which, weights=y).tolist(), rows.tolist(), strict=True):
+        pools.append([b, n, a * n])
         while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             last = pools.pop()
             pools[-1] = [p + q for p, q in zip(pools[-1], last, strict=True)]
