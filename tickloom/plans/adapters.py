@@ -45,8 +45,12 @@ def slow_series(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return t.groupBy(F.floor(F.col("timestamp") / 1000).alias("at")).agg(last.alias("x")).select("at", F.col("x.agg_trade_id").alias("event_id"), "x.price", "x.quantity")
 
 
+def as_blocks(slow: DataFrame, *more: str) -> DataFrame:
+    return slow.select(F.col("at").alias("block_timestamp"), F.col("event_id").alias("block_height"), F.col("price").cast("int").alias("tx_count"), (F.col("price") / 100).alias("total_fees_btc"), F.when(F.col("event_id") % 5 != 0, F.col("quantity")).alias("difficulty"), *more)
+
+
 def signup_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return slow_series(spark, sf_dir, "signup").select(F.col("at").alias("block_timestamp"), F.col("event_id").alias("block_height"), F.col("price").cast("int").alias("tx_count"), (F.col("price") / 100).alias("total_fees_btc"), F.when(F.col("event_id") % 5 != 0, F.col("quantity")).alias("difficulty"))
+    return as_blocks(slow_series(spark, sf_dir, "signup"))
 
 
 def purchase_mempool(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -435,3 +435,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_sql)
+
+
+from . import more  # noqa: E402, F401  registers its queries

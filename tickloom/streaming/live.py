@@ -61,13 +61,13 @@ class Monitor(StreamingQueryListener):
             self.failed[str(event.id)] = event.exception
 
 
-def bucket_stream(trades: DataFrame, grain: int = 1, late: str = "10 seconds") -> DataFrame:
+def bucket_stream(trades: DataFrame, grain: int = 1, late: str = "10 seconds", by: tuple[str, ...] = ()) -> DataFrame:
     """Event-time twin of the bucket operator on a stream of trades (timestamp in ms): repeated trades within the
     watermark count once, buckets close when the watermark passes. The return, which needs the bucket before, is left
     to the batch side."""
     timed = trades.withColumn("event_ts", F.timestamp_millis("timestamp")).withWatermark("event_ts", late)
     order, quote, buy = F.struct("timestamp", "agg_trade_id"), F.col("price") * F.col("quantity"), ~F.col("is_buyer_maker")
-    sums = timed.dropDuplicatesWithinWatermark(["agg_trade_id"]).groupBy(F.window("event_ts", f"{grain} seconds").alias("w")).agg(
+    sums = timed.dropDuplicatesWithinWatermark([*by, "agg_trade_id"]).groupBy(*by, F.window("event_ts", f"{grain} seconds").alias("w")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"),
         F.sum("quantity").alias("volume"), F.sum(quote).alias("quote_volume"), F.sum(F.when(buy, F.col("quantity")).otherwise(0.0)).alias("buy_volume"), F.sum(F.when(buy, 0.0).otherwise(F.col("quantity"))).alias("sell_volume"), F.count("price").alias("trade_count"),
     )
