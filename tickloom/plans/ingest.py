@@ -119,11 +119,27 @@ def ingest_metrics(spark: SparkSession, root: str, url: str, metrics: list[str],
 def ingest_mempool(spark: SparkSession, root: str, url: str, transport: str | None = None, trigger: dict | None = None) -> StreamingQuery:
     """A stream of snapshots, one a minute, to Parquet by ingest hour."""
     remote.register(spark)
-    options = {"url": url} | ({} if transport is None else {"transport": transport})
+    options = {"url": url, "log": feed_log(root, "mempool")} | ({} if transport is None else {"transport": transport})
     snapshots = spark.readStream.format("polled_json").options(**options).load()
     return run_live(spark, {"mempool": snapshots}, root, trigger)["mempool"]
 
 
+def feed_log(root: str, stream: str) -> str:
+    """The folder of a feed's received messages, beside its checkpoint."""
+    return f"{root.rstrip('/')}/state/{stream}-log"
+
+
+def ingest_feeds(spark: SparkSession, root: str, urls: dict[str, str], trigger: dict | None = None, subscribe: dict[str, str] | None = None, **options: str) -> dict[str, StreamingQuery]:
+    """A query for each stream (aggtrade, bookticker, depth5, liquidations, mempool) that a WebSocket at its address sends, to Parquet
+    by ingest hour; ``subscribe`` has what a stream sends after connecting. ``options``: those of the source."""
+    remote.register(spark)
+    sources = {}
+    for name, url in urls.items():
+        own = {"url": url, "log": feed_log(root, name), **options} | ({"subscribe": subscribe[name]} if subscribe and name in subscribe else {})
+        sources[name] = spark.readStream.format("websocket").options(**own).load()
+    return run_live(spark, sources, root, trigger)
+
+
 def fee_history(spark: SparkSession, url: str, transport: str | None = None) -> DataFrame:
     """The recent fee history that a mempool service keeps: ``position, document`` (JSON), one row an entry."""
     remote.register(spark)

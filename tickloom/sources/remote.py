@@ -1,4 +1,4 @@
-"""Remote sources as Python data sources: REST metrics, JSON-RPC blocks, polled snapshots and messages.
+"""Remote sources as Python data sources: REST metrics and documents, JSON-RPC blocks; ``feeds`` has the live ones.
 
 The transport is a function ``fetch(url, params) -> parsed JSON or None`` named by import path, so tests use a
 local one and executors import it themselves; ``http_fetch`` is the real one.
@@ -14,7 +14,9 @@ import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+
+from .feeds import PollSource, WebSocketSource
 
 ARCHIVE = "https://data.binance.vision/data"
 
@@ -142,50 +144,8 @@ class _BlockReader(DataSourceReader):
                 yield height, None, repr(e)[:200]
 
 
-class PollSource(DataSource):
-    """``spark.readStream.format("polled_json")`` with ``url``: each micro-batch asks once and gives (received_ms, message); a
-    list gives a row for each item, an error none. It serves snapshots (a trigger of 60 s) and message queues alike."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "polled_json"
-
-    def schema(self) -> str:
-        return "received_ms long, message string"
-
-    def simpleStreamReader(self, schema) -> SimpleDataSourceStreamReader:
-        return _PollReader(dict(self.options))
-
-
-class _PollReader(SimpleDataSourceStreamReader):
-    def __init__(self, options: dict) -> None:
-        self.options, self.kept, self.wait = options, {}, 1
-
-    def initialOffset(self) -> dict:
-        return {"n": 0}
-
-    def read(self, start: dict) -> tuple[Iterator[tuple], dict]:
-        try:
-            got = _transport(self.options)(self.options["url"], {"after": start["n"]})
-            self.wait = 1
-        except OSError:  # reconnect with a pause that doubles up to a minute
-            time.sleep(min(self.wait, 60) * float(self.options.get("pause", 1)))
-            self.wait, got = min(2 * self.wait, 60), None
-        items = got if isinstance(got, list) else [] if got is None else [got]
-        rows = [(int(time.time() * 1000), json.dumps(x)) for x in items]
-        end = {"n": start["n"] + len(rows)}
-        self.kept[start["n"], end["n"]] = rows
-        return iter(rows), end
-
-    def readBetweenOffsets(self, start: dict, end: dict) -> Iterator[tuple]:
-        return iter(self.kept.get((start["n"], end["n"]), []))
-
-    def commit(self, end: dict) -> None:
-        self.kept = {k: v for k, v in self.kept.items() if k[1] > end["n"]}
-
-
 def register(spark) -> None:
-    for source in (MetricSource, DocumentSource, BlockSource, PollSource):
+    for source in (MetricSource, DocumentSource, BlockSource, PollSource, WebSocketSource):
         spark.dataSource.register(source)
 
 
