@@ -1,7 +1,9 @@
 
 import io
 import json
+import pathlib
 import time
+import uuid
 import zipfile
 
 from pyspark.sql import functions as F
@@ -101,6 +103,35 @@ def test_dataset_with_symbols_months_and_resume(spark, tmp_path):
     assert [r.month for r in latest_reports(later, 2).collect()] == [202312, 202312]
 
 
+def test_keys_of_a_store_are_independent(spark, tmp_path):
+    """A symbol built later, alone, with resuming, with a name like a number: no other key's month changes or is taken for done."""
+    recipe, root = Recipe(windows=(5,), horizons={"5s": 5}), str(tmp_path)
+    rows = two_symbols(spark, 1_700_000_000_000, 120).withColumn("symbol", F.when(F.col("symbol") == "BB", "007").otherwise(F.col("symbol")))
+    write = lambda only, resume: write_dataset(build(rows.where(only), recipe, by=("symbol",)), root, min_rows=10, by=("symbol",), resume=resume)
+    assert [r.symbol for r in write("symbol = 'AA'", False).collect()] == ["AA"]
+    assert sorted(r.symbol for r in write("symbol = '007'", True).collect()) == ["007", "AA"]
+    write("symbol = 'AA'", False)
+    assert {(r.symbol, r.n_rows, r.month) for r in write("symbol = '007'", True).collect()} == {("007", 120, 202311), ("AA", 120, 202311)}
+    for name, n in (("buckets", 240), ("features", 240), ("labels", 240), ("reports", 2)):
+        assert spark.read.schema("symbol string").parquet(f"{root}/{name}").groupBy("symbol").count().count() == 2 and spark.read.parquet(f"{root}/{name}").count() == n, name
+
+
+def test_archives_of_two_symbols(spark, tmp_path):
+    root = str(tmp_path)
+    first = ingest.ingest_archives(spark, root, "spot", "aggTrades", "AB", [202401], transport="tests.test_sources:archive").collect()
+    again = ingest.ingest_archives(spark, root, "spot", "aggTrades", "XY", [202401, 202402], transport="tests.test_sources:archive").collect()
+    assert [(r.status, r.rows) for r in first] == [("success", 4)] and {(r.status, r.rows) for r in again} == {("success", 4), ("not_found", None)}
+    got = spark.read.parquet(f"{root}/raw/spot/aggTrades")
+    assert {(r.symbol, r.year, r.month, r["count"]) for r in got.groupBy("symbol", "year", "month").count().collect()} == {("AB", 2024, 1, 4), ("XY", 2024, 1, 4)}
+    assert ingest.stored_months(spark, f"{root}/raw/spot/aggTrades", "XY") == {202401} and ingest.stored_months(spark, f"{root}/raw/spot/aggTrades", "ZZ") == set()
+
+
+def test_missing_ranges(spark):
+    have = spark.createDataFrame([(h,) for h in (5, 6, 9, 99_999, 100_000, 100_000, 250_000, 300_005)], "block_height int")
+    assert ingest.missing_ranges(spark, have, 4, 250_002) == [[4, 4], [7, 8], [10, 99_998], [100_001, 249_999], [250_001, 250_002]]
+    assert ingest.missing_ranges(spark, have.limit(0), 7, 7) == [[7, 7]] and ingest.missing_ranges(spark, have, 5, 6) == []
+
+
 def archive(url):
     """A ZIP of the kind and month that the address names; February is missing, March is damaged."""
     name = url.rsplit("/", 1)[1]
@@ -129,6 +160,7 @@ def test_archives_to_typed_months(spark, tmp_path):
 
 
 def block_fetch(url, params=None):
+    (pathlib.Path(url) / f"{params['height']}-{uuid.uuid4().hex}").touch()
     if params["height"] == 12:
         raise OSError("gone")
     pay = {"size": 200, "vsize": 100, "vin": [{"prevout": {"value": "1.5"}}], "vout": [{"value": "1.25", "scriptPubKey": {"type": "pubkeyhash"}}]}
@@ -137,9 +169,11 @@ def block_fetch(url, params=None):
 
 def test_blocks_metrics_mempool_and_fee_history(spark, tmp_path):
     root = str(tmp_path)
+    (tmp_path / "asked").mkdir()
     for _ in range(2):
-        failed = ingest.ingest_blocks(spark, root, "x", 10, 14, 2, "tests.test_sources:block_fetch").collect()
+        failed = ingest.ingest_blocks(spark, root, str(tmp_path / "asked"), 10, 14, 2, "tests.test_sources:block_fetch").collect()
         assert [(r.block_height, "gone" in r.error) for r in failed] == [(12, True)]
+    assert sorted(int(f.name[:2]) for f in (tmp_path / "asked").iterdir()) == [10, 11, 12, 12, 13, 14]  # once each, the failed one again
     got = {r.block_height: (r.tx_count, r.total_fees_btc, r.seconds_since_prev_block) for r in ingest.read_blocks(spark, root).collect()}
     assert got == {10: (1, 0.25, 0), 11: (1, 0.25, 600), 13: (1, 0.25, 1200), 14: (1, 0.25, 600)}
     told = ingest.ingest_metrics(spark, root, "x", ["sopr", "none"], "tests.test_sources:local_fetch").collect()

@@ -69,25 +69,36 @@ def report_months(frames: dict[str, DataFrame], klines: DataFrame | None = None,
 
 
 def write_dataset(frames: dict[str, DataFrame], root: str, klines: DataFrame | None = None, min_rows: int = quality.MIN_ROWS, by: tuple[str, ...] = (), resume: bool = False) -> DataFrame:
-    """Writes buckets, features and labels by month (replacing the months built), and from what was written the statistics
-    (before normalising) and the report of each month, which is returned for all months. With ``resume`` months that
-    have a report are left as they are; else building again is safe, the partitions decide what is complete."""
-    spark = frames["features"].sparkSession
+    """Writes buckets, features and labels by key and month (replacing those built, no others), and from what was written the
+    statistics (before normalising) and the report of each month, which is returned for all that are stored. With ``resume`` the months
+    that have a report for a key are left as they are, for that key; else building again is safe, the partitions decide what is
+    complete. A dataset must always be written with the same keys ``by``."""
+    spark, keys = frames["features"].sparkSession, [*by, "month"]
+    kinds = T.StructType([frames["features"].schema[k] for k in by])
     if resume and path_exists(spark, f"{root}/reports"):
-        done = spark.read.parquet(f"{root}/reports").select(F.expr("year * 100 + month").cast("int").alias("month")).distinct()
-        frames = {name: f.join(F.broadcast(done), "month", "left_anti") for name, f in frames.items()}  # a row a month
+        done = from_months(_stored(spark, f"{root}/reports", kinds)).select(*keys).distinct()
+        frames = {name: f.join(done, keys, "left_anti") for name, f in frames.items()}
     stored = {}
     for name in ("buckets", "enriched", "features", "labels"):
         write_months(frames[name], f"{root}/{name}", by=by)
         stored[name] = from_months(spark.read.schema(_stored_schema(frames[name])).parquet(f"{root}/{name}"))
-    built = [r.month for r in frames["buckets"].select("month").distinct().collect()]  # one row a month
-    stored = {name: f.where(F.col("month").isin(*built)) for name, f in stored.items()}
+    built = frames["buckets"].select(*keys).distinct()
+    stored = {name: f.join(built, keys, "left_semi") for name, f in stored.items()}
     stored["series"] = stored["enriched"]
-    numeric = [f.name for f in stored["enriched"].schema if isinstance(f.dataType, T.NumericType) and f.name not in (*by, "month", "timestamp_s")]
-    stats = feature_stats(stored["enriched"], numeric, (*by, "month"), accuracy=10_000)
+    numeric = [f.name for f in stored["enriched"].schema if isinstance(f.dataType, T.NumericType) and f.name not in (*keys, "timestamp_s")]
+    stats = feature_stats(stored["enriched"], numeric, tuple(keys), accuracy=10_000)
     write_months(stats, f"{root}/stats", by=by)
     write_months(report_months(stored, klines, min_rows, by), f"{root}/reports", by=by)
-    return from_months(spark.read.parquet(f"{root}/reports"))
+    return from_months(_stored(spark, f"{root}/reports", kinds))
+
+
+def _stored(spark: SparkSession, path: str, keys: T.StructType) -> DataFrame:
+    """A stored table; the keys, folder names there, have the types they were written with."""
+    df = spark.read.parquet(path)
+    own = T.StructType([f for f in df.schema if f.name not in keys.names])
+    for key in keys:
+        own = own.add(key)
+    return spark.read.schema(own).parquet(path)
 
 
 def _stored_schema(df: DataFrame) -> T.StructType:

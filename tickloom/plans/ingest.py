@@ -6,7 +6,9 @@ Every job can be repeated: what is stored is not asked for again, and a month is
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.exprs import month_of
@@ -23,19 +25,20 @@ TIME_COLUMNS = {"aggTrades": "timestamp", "klines": "open_time", "bookTicker": "
 TASKS = {1: (("spot", "aggTrades", None), ("spot", "klines", "1m")), 2: (("futures_um", "aggTrades", None), ("futures_um", "klines", "1m"), ("futures_um", "fundingRate", None), ("futures_um", "bookTicker", None), ("futures_um", "liquidationSnapshot", None))}
 
 
-def stored_months(spark: SparkSession, path: str) -> set[int]:
-    """The months (yyyymm) that a dataset has, from its partition folders."""
-    if not path_exists(spark, path):
+def stored_months(spark: SparkSession, path: str, symbol: str | None = None) -> set[int]:
+    """The months (yyyymm) that a dataset has (of one symbol), from its partition folders."""
+    where = path if symbol is None else f"{path}/symbol={symbol}"
+    if not path_exists(spark, where):
         return set()
-    return {r.month for r in from_months(spark.read.parquet(path)).select("month").distinct().collect()}  # one row a month
+    return {r.month for r in from_months(spark.read.parquet(where)).select("month").distinct().collect()}  # one row a month
 
 
 def ingest_archives(spark: SparkSession, root: str, market: str, kind: str, symbol: str, months: list[int], interval: str | None = None, transport: str | None = None) -> DataFrame:
-    """Fetches the archives of ``months`` (yyyymm), types their rows and writes them by month: ``url, path, status, bytes,
-    rows``. Months that are stored are not fetched (status skipped); archives that are missing (not_found), damaged (0 rows) or fail
-    (error) leave their month open for the next run."""
+    """Fetches the archives of ``months`` (yyyymm), types their rows and writes them by symbol and month: ``url, path, status, bytes,
+    rows``. Months that are stored for the symbol are not fetched (status skipped); archives that are missing (not_found), damaged (0
+    rows) or fail (error) leave their month open for the next run. Only this run's archives are read."""
     path = dataset_path(root, kind, market=market, interval=interval or "")
-    have = stored_months(spark, path)
+    have = stored_months(spark, path, symbol)
     urls = {remote.monthly_url(market, kind, symbol, m // 100, m % 100, interval): m for m in months}
     landing = f"{root.rstrip('/')}/landing/{market}/{kind}/{symbol}/{interval or 'all'}"
     wanted = [u for u, m in urls.items() if m not in have]
@@ -43,15 +46,17 @@ def ingest_archives(spark: SparkSession, root: str, market: str, kind: str, symb
     if not wanted:
         return skipped
     options = {} if transport is None else {"transport": transport}
-    landed = spark.createDataFrame(remote.land_archives(spark, wanted, landing, **options).collect(), skipped.schema)  # one row an archive
-    if not path_exists(spark, landing):
-        return skipped.unionByName(landed)
-    rows = read_zipped_csv(spark, landing, kind, with_file=True)
-    typed = rows.withColumn("month", month_of(F.floor(F.col(TIME_COLUMNS[kind]) / 1000))).where(~F.col("month").isin(*have) if have else F.lit(True))
-    write_months(typed.drop("file"), path)
+    landed = remote.land_archives(spark, wanted, landing, **options).collect()  # one row an archive
+    told = spark.createDataFrame(landed, skipped.schema)
+    files = [f"{landing}/{r.path.rsplit('/', 1)[1]}" for r in landed if r.status in ("success", "skipped")]
+    if not files:
+        return skipped.unionByName(told)
+    rows = read_zipped_csv(spark, files, kind, with_file=True)
+    typed = rows.withColumns({"month": month_of(F.floor(F.col(TIME_COLUMNS[kind]) / 1000)), "symbol": F.lit(symbol)}).where(~F.col("month").isin(*have) if have else F.lit(True))
+    write_months(typed.drop("file"), path, by=("symbol",))
     counts = rows.groupBy(F.col("file").alias("__file")).agg(F.count(F.lit(1)).alias("__n"))
     name = F.regexp_extract("path", r"[^/]+$", 0)
-    told = landed.join(F.broadcast(counts), name == F.col("__file"), "left").withColumn("rows", F.when(F.col("status").isin("success", "skipped"), F.coalesce("__n", F.lit(0)))).drop("__file", "__n")
+    told = told.join(counts, name == F.col("__file"), "left").withColumn("rows", F.when(F.col("status").isin("success", "skipped"), F.coalesce("__n", F.lit(0)))).drop("__file", "__n")
     return skipped.unionByName(told)
 
 
@@ -67,37 +72,43 @@ def ingest_all(spark: SparkSession, root: str, symbol: str, months: list[int], p
 
 def ingest_blocks(spark: SparkSession, root: str, url: str, first: int, last: int, span: int = 500, transport: str | None = None) -> DataFrame:
     """Fetches the blocks ``first`` .. ``last`` that are not stored, and writes their records by range of heights. Returns the
-    heights that could not be had (``block_height, error``), which the next run asks for again."""
+    heights that could not be had (``block_height, error``), which the next run asks for again, and no others."""
     remote.register(spark)
     path = dataset_path(root, "blocks")
-    options = {"url": url, "first": str(first), "last": str(last), "span": str(span)} | ({} if transport is None else {"transport": transport})
-    have = None
-    if path_exists(spark, path):
-        have = spark.read.parquet(path).select("block_height").where(F.col("block_height").between(first, last))
-        options["first"] = str(_first_open(have, first))
+    have = spark.read.parquet(path).select("block_height") if path_exists(spark, path) else spark.createDataFrame([], "block_height int")
+    open_ranges = missing_ranges(spark, have, first, last)
+    none = spark.createDataFrame([], "block_height long, error string")
+    if not open_ranges:
+        return none
+    options = {"url": url, "ranges": json.dumps(open_ranges), "span": str(span)} | ({} if transport is None else {"transport": transport})
     fetched = spark.read.format("rpc_blocks").options(**options).load()
     landing = f"{root.rstrip('/')}/landing/blocks/{first}-{last}"
     fetched.write.mode("overwrite").parquet(landing)
     fetched = spark.read.parquet(landing)
     schema = ", ".join(f"{name} {kind}" for name, kind in (x.split(" ", 1) for x in BLOCK_DOCUMENT.split(", ")))
     good = fetched.where("error is null").select(F.col("block_height").alias("__at"), F.from_json("document", schema).alias("d")).select("__at", "d.*").withColumn("block_height", F.coalesce("block_height", "__at")).drop("__at")
-    fresh = block_records(good)
-    if have is not None:
-        fresh = fresh.join(have, "block_height", "left_anti")
+    fresh = block_records(good).join(have, "block_height", "left_anti")
     fresh.withColumn("heights", F.floor(F.col("block_height") / 10_000).cast("int")).repartition("heights").sortWithinPartitions("block_height").write.mode("append").partitionBy("heights").parquet(path)
     return fetched.where("error is not null").select("block_height", "error")
 
 
-def _first_open(have: DataFrame, first: int) -> int:
-    """The first height that is not stored: all before it are not asked for again."""
-    gap = have.select("block_height").distinct().withColumn("span", F.floor(F.col("block_height") / 10_000))
-    full = gap.groupBy("span").agg(F.count(F.lit(1)).alias("n"), F.min("block_height").alias("lo"), F.max("block_height").alias("hi")).orderBy("span").collect()  # one row for 10,000 heights
-    at = first
-    for r in full:
-        if r.lo != at or r.hi - r.lo + 1 != r.n:
-            break
-        at = r.hi + 1
-    return at
+def missing_ranges(spark: SparkSession, have: DataFrame, first: int, last: int) -> list[list[int]]:
+    """Runs of heights ``[from, to]`` of ``first`` .. ``last`` that ``have`` (block_height) has not: gaps between neighbours, found in
+    stretches of 100,000 heights, each of which knows its own ends."""
+    size = 100_000
+    spans = spark.range(first // size, last // size + 1).select(F.col("id").alias("span"))
+    ends = spans.select("span", F.greatest(F.col("span") * size, F.lit(first)).alias("lo"), F.least(F.col("span") * size + size - 1, F.lit(last)).alias("hi"))
+    held = have.where(F.col("block_height").between(first, last)).select(F.col("block_height").cast("long").alias("h")).distinct().withColumn("span", F.floor(F.col("h") / size))
+    marks = held.select("span", "h").unionByName(ends.select("span", (F.col("lo") - 1).alias("h"))).unionByName(ends.select("span", (F.col("hi") + 1).alias("h")))
+    gaps = marks.withColumn("next", F.lead("h").over(Window.partitionBy("span").orderBy("h"))).where("next > h + 1")
+    found = gaps.select((F.col("h") + 1).alias("a"), (F.col("next") - 1).alias("b")).orderBy("a").collect()  # one row a hole
+    out: list[list[int]] = []
+    for r in found:
+        if out and out[-1][1] + 1 == r.a:
+            out[-1][1] = r.b
+        else:
+            out.append([r.a, r.b])
+    return out
 
 
 def read_blocks(spark: SparkSession, root: str) -> DataFrame:

@@ -24,7 +24,7 @@ def read_csv(spark: SparkSession, path: str, kind: str, mode: str = "PERMISSIVE"
     return nan_to_null(rows.where(F.col(first).isNotNull()).drop("ignore"))
 
 
-def read_zipped_csv(spark: SparkSession, path: str, kind: str, with_file: bool = False) -> DataFrame:
+def read_zipped_csv(spark: SparkSession, path: str | list[str], kind: str, with_file: bool = False) -> DataFrame:
     """The first ``.csv`` member of each ZIP file, one file a task: a ZIP can't be split. Damaged files give no rows.
     ``with_file`` adds the ZIP file's name in ``file``."""
     schema = StructType.fromDDL(CSV[kind])

@@ -114,7 +114,7 @@ class _DocumentReader(DataSourceReader):
 
 class BlockSource(DataSource):
     """``format("rpc_blocks")`` with ``url, first, last, span``: block documents as JSON text, one partition for each ``span``
-    heights. Heights that can't be had are skipped, with the error in ``error``."""
+    heights; ``ranges``, a JSON list of [first, last], in place of one range. Heights that can't be had are skipped, with the error in ``error``."""
 
     @classmethod
     def name(cls) -> str:
@@ -133,7 +133,8 @@ class _BlockReader(DataSourceReader):
 
     def partitions(self) -> list[InputPartition]:
         first, last, span = (int(self.options.get(k, d)) for k, d in (("first", 0), ("last", 0), ("span", 500)))
-        return [_One((a, min(a + span - 1, last))) for a in range(first, last + 1, span)]
+        ranges = json.loads(self.options["ranges"]) if "ranges" in self.options else [[first, last]]
+        return [_One((a, min(a + span - 1, hi))) for lo, hi in ranges for a in range(lo, hi + 1, span)]
 
     def read(self, partition) -> Iterator[tuple]:
         fetch = _transport(self.options)

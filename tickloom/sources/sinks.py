@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def write_months(df: DataFrame, path: str, partitions: tuple[str, ...] = ("year", "month"), mode: str = "overwrite", compression: str = "snappy", by: tuple[str, ...] = ()) -> None:
-    """Parquet partitioned by year and month. ``overwrite`` replaces only the partitions that ``df`` has, ``ignore`` does
-    nothing if the dataset exists, ``append`` adds files. ``month`` as yyyymm is split in year and month. A month with keys of
-    ``by`` is dealt by them, so it is written by several tasks."""
+    """Parquet partitioned by the keys of ``by``, year and month. ``overwrite`` replaces only the partitions that ``df`` has, so one
+    key's month never touches another's; ``ignore`` does nothing if the dataset exists, ``append`` adds files. ``month`` as yyyymm is
+    split in year and month."""
     if "year" in partitions and "year" not in df.columns:
         df = df.withColumns({"year": F.floor(F.col("month") / 100).cast("int"), "month": (F.col("month") % 100).cast("int")})
+    folders = [*by, *(p for p in partitions if p not in by)]
     order = [c for c in ("timestamp_s", "timestamp", "block_height") if c in df.columns]
-    df.repartition(*partitions, *by).sortWithinPartitions(*partitions, *by, *order).write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+    df.repartition(*folders).sortWithinPartitions(*folders, *order).write.mode(mode).option("compression", compression).option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
 
 
 def from_months(df: DataFrame) -> DataFrame:
