@@ -6,10 +6,17 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.exprs import month_of
+from ..operators.bags import grouped_totals, reconcile, stratified_sample
+from ..operators.frames import range_frames
+from ..operators.intervals import interval_join
+from ..operators.ranks import rank_rows
+from ..operators.sessions import sessions, sliding
+from ..operators.sketches import DISTINCT_ERROR, RANK_ERROR, load_sketches, merged_statistics, month_sketches, store_sketches
 from ..sources.shared import shared_folder
 from ..streaming.stateful import asof_stream, fill_gaps_stream, rocksdb
 from . import oracle as q
-from .adapters import as_blocks, as_trades, micros, table
+from .adapters import as_blocks, as_trades, micros, seconds, table, trades
 from .catalog import HOUR, oracle_sql, query, shown
 
 #: A row so far ahead of a stream that it ends it.
@@ -78,3 +85,116 @@ def stream_asof_blocks(spark, sf_dir):
     spark.read.schema(events.schema).parquet(f"{folder}/events/part=3").write.mode("append").parquet(f"{folder}/events/part=3")
     ran(joined, f"{folder}/asof", f"{folder}/joined")
     return shown(spark.read.parquet(f"{folder}/joined"))
+
+
+_MS = 60_000
+
+
+@query(f"WITH {q.TRADES} SELECT b.agg_trade_id AS block_height, t.agg_trade_id, t.tms - b.tms AS offset_ms, t.price, t.quantity FROM trades b JOIN trades t ON t.tms BETWEEN b.tms - {_MS} AND b.tms WHERE b.event_type = 'signup'")
+def interval_join_trades(spark, sf_dir):
+    """All trades of the minute before each block."""
+    all_trades = trades(spark, sf_dir)
+    blocks = all_trades.where("event_type = 'signup'").select(F.col("agg_trade_id").alias("block_height"), F.col("timestamp").alias("at"))
+    found = interval_join(blocks, all_trades.select("agg_trade_id", "timestamp", "price", "quantity"), "at", "timestamp", _MS)
+    return shown(found.select("block_height", "agg_trade_id", (F.col("timestamp") - F.col("at")).alias("offset_ms"), "price", "quantity"))
+
+
+_FRAMES, _FRAME_KINDS = (60_000, 3_600_000, 86_400_000), {"volume": ("sum", "quantity"), "n": ("count", "price"), "low": ("min", "price"), "high": ("max", "price")}
+
+
+@query(f"WITH {q.TRADES} SELECT DISTINCT event_type, tms AS timestamp, " + ", ".join(f"CAST({kind}({column}) OVER (PARTITION BY event_type ORDER BY tms RANGE BETWEEN {w} PRECEDING AND CURRENT ROW) AS {'BIGINT' if kind == 'count' else 'DOUBLE'}) AS {n}_{w}" for w in _FRAMES for n, (kind, column) in _FRAME_KINDS.items()) + " FROM trades")
+def range_frames_trades(spark, sf_dir):
+    """Volume, count and price range over a minute, an hour and a day before each trade of a kind."""
+    return shown(range_frames(trades(spark, sf_dir), "timestamp", list(_FRAMES), _FRAME_KINDS, ("event_type",)))
+
+
+_RANKED = "OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice)"
+_NUMBERED = "OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_orderkey, l_linenumber)"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice, row_number() {_NUMBERED} AS row_number, rank() {_RANKED} AS rank, dense_rank() {_RANKED} AS dense_rank, round(percent_rank() {_RANKED}, 9) AS percent_rank, round(cume_dist() {_RANKED}, 9) AS cume_dist, CAST(ntile(100) {_NUMBERED} AS INTEGER) AS tile, nth_value(l_extendedprice, 10) OVER (PARTITION BY l_returnflag ORDER BY l_extendedprice, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS nth_value FROM lineitem")
+def ranks_lineitem(spark, sf_dir):
+    """All ranks of every line's price among those of its return flag, three groups of a table."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
+    ranked = rank_rows(lines, "l_extendedprice", ["l_orderkey", "l_linenumber"], ("l_returnflag",), tiles=100, nth=10)
+    return ranked.withColumns({c: F.round(c, 9) for c in ("percent_rank", "cume_dist")})
+
+
+_QUANTILES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query("SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(count(DISTINCT month(l_shipdate)) AS BIGINT) AS months, count(*) AS n_rows, min(l_extendedprice) AS low, max(l_extendedprice) AS high, true AS quantiles_within, true AS distinct_within FROM lineitem GROUP BY 1")
+def sketched_years(spark, sf_dir):
+    """Quantiles of the price and the number of parts of each year, from sketches stored by month; the bounds are checked against all rows."""
+    lines, path = table(spark, sf_dir, "lineitem"), f"{shared_folder(spark)}/sketches-{uuid.uuid4().hex}"
+    dated = lines.withColumn("month", month_of(seconds(lines, "l_shipdate")))
+    store_sketches(month_sketches(dated, ["l_extendedprice"], ["l_partkey"]), path)
+    stored = load_sketches(spark, path).withColumn("year", F.floor(F.col("month") / 100).cast("int"))
+    told = merged_statistics(stored, ("year",), (0.0, *_QUANTILES, 1.0))
+    prices = told.where("feature = 'l_extendedprice'").select(F.col("year").alias("y"), F.transform("quantiles", lambda x: x["value"]).alias("v"))
+    parts = told.where("feature = 'l_partkey'").select(F.col("year").alias("y"), F.col("distinct").alias("parts"))
+    facts = F.broadcast(prices.join(parts, "y"))  # a row a year
+    rows = dated.withColumn("year", F.floor(F.col("month") / 100).cast("int")).join(facts, F.col("year") == F.col("y"))
+    n = F.count(F.lit(1))
+    # the ranks that the values have among all rows: from those below to those not above
+    near = [(F.count_if(F.col("l_extendedprice") < F.col("v")[i + 1]) / n <= x + RANK_ERROR) & (F.count_if(F.col("l_extendedprice") <= F.col("v")[i + 1]) / n >= x - RANK_ERROR) for i, x in enumerate(_QUANTILES)]
+    exact = F.count_distinct("l_partkey")
+    within = near[0]
+    for x in near[1:]:
+        within = within & x
+    return rows.groupBy("year").agg(F.count_distinct("month").alias("months"), n.alias("n_rows"), F.first("v")[0].alias("low"), F.first("v")[len(_QUANTILES) + 1].alias("high"), within.alias("quantiles_within"), (F.abs(F.first("parts") - exact) <= DISTINCT_ERROR * exact + 1).alias("distinct_within"))
+
+
+@query("""WITH e AS (SELECT user_id, ts, value, CASE WHEN ts - lag(ts) OVER w < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
+SELECT user_id, epoch_us(min(ts)) AS started_us, epoch_us(max(ts)) + 21600000000 AS ended_us, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM s GROUP BY user_id, session""")
+def sessions_by_user(spark, sf_dir):
+    """A user's events less than six hours apart."""
+    events = table(spark, sf_dir, "events")
+    found = sessions(events, "ts", "6 hours", ("user_id",), {"n": F.count(F.lit(1)), "cents": F.sum(F.round(F.col("value") * 100).cast("long"))})
+    return found.select("user_id", micros(found, "started").alias("started_us"), micros(found, "ended").alias("ended_us"), "n", "cents")
+
+
+@query("""SELECT event_type, (epoch_us(ts) // 900000000 - k) * 900000000 AS started_us, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events, (SELECT unnest([0, 1, 2, 3]) AS k) GROUP BY 1, 2""")
+def sliding_hours(spark, sf_dir):
+    """Windows of an hour, one every quarter of an hour."""
+    events = table(spark, sf_dir, "events")
+    found = sliding(events, "ts", "1 hour", "15 minutes", ("event_type",), {"n": F.count(F.lit(1)), "cents": F.sum(F.round(F.col("value") * 100).cast("long"))})
+    return found.select("event_type", micros(found, "started").alias("started_us"), "n", "cents")
+
+
+@query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderpriority, o_orderstatus, grouping_id(year(o_orderdate), o_orderpriority, o_orderstatus) AS grouping_id, count(*) AS n, count(DISTINCT o_custkey) AS customers, CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) AS cents FROM orders GROUP BY GROUPING SETS ((year(o_orderdate), o_orderpriority), (o_orderpriority, o_orderstatus), (year(o_orderdate)), ())")
+def totals_by_sets(spark, sf_dir):
+    """Orders, different customers and prices by several sets of keys at once."""
+    o = table(spark, sf_dir, "orders")
+    dated = o.withColumn("year", F.year("o_orderdate"))
+    totals = {"n": F.count(F.lit(1)), "customers": F.count_distinct("o_custkey"), "cents": F.sum(F.round(F.col("o_totalprice") * 100).cast("long"))}
+    return grouped_totals(dated, [("year", "o_orderpriority"), ("o_orderpriority", "o_orderstatus"), ("year",), ()], ["year", "o_orderpriority", "o_orderstatus"], totals)
+
+
+_LIVE = "SELECT event_id, event_type, CASE WHEN event_id % 50 = 3 THEN user_id + 1 ELSE user_id END AS user_id, CASE WHEN event_id % 40 = 1 THEN NULL ELSE cents END AS cents FROM a WHERE event_id % 30 <> 7 UNION ALL SELECT event_id, event_type, user_id, cents FROM a WHERE event_id % 25 = 9"
+
+
+@query(f"""WITH a AS (SELECT event_id, event_type, user_id, CAST(round(value * 100) AS BIGINT) AS cents FROM events), b AS ({_LIVE}),
+u AS (SELECT *, 1 AS x, 0 AS y FROM a UNION ALL SELECT *, 0, 1 FROM b), c AS (SELECT event_id, event_type, user_id, cents, sum(x) AS x, sum(y) AS y FROM u GROUP BY ALL)
+SELECT event_id, CAST(sum(x) AS BIGINT) AS n_a, CAST(sum(y) AS BIGINT) AS n_b, CAST(sum(least(x, y)) AS BIGINT) AS same, CAST(sum(greatest(x - y, 0)) AS BIGINT) AS missing, CAST(sum(greatest(y - x, 0)) AS BIGINT) AS extra,
+ concat_ws(',', CASE WHEN list_sort(list(event_type) FILTER (x > y)) IS DISTINCT FROM list_sort(list(event_type) FILTER (y > x)) THEN 'event_type' END, CASE WHEN list_sort(list(user_id) FILTER (x > y)) IS DISTINCT FROM list_sort(list(user_id) FILTER (y > x)) THEN 'user_id' END, CASE WHEN list_sort(list(cents) FILTER (x > y)) IS DISTINCT FROM list_sort(list(cents) FILTER (y > x)) THEN 'cents' END) AS differing
+FROM c GROUP BY event_id""")
+def reconcile_trades(spark, sf_dir):
+    """An archive of trades against a live copy that lacks some, repeats some and has other values or none in some."""
+    events = table(spark, sf_dir, "events")
+    archive = events.select("event_id", "event_type", "user_id", F.round(F.col("value") * 100).cast("long").alias("cents"))
+    i = F.col("event_id")
+    live = archive.where(i % 30 != 7).withColumns({"user_id": F.when(i % 50 == 3, F.col("user_id") + 1).otherwise(F.col("user_id")), "cents": F.when(i % 40 != 1, F.col("cents"))})
+    return reconcile(archive, live.unionByName(archive.where(i % 25 == 9)), ["event_id"])
+
+
+@query("SELECT event_type, CAST(least(count(*), 100) AS BIGINT) AS taken, CAST(count(*) AS DOUBLE) AS weights, true AS smallest FROM events GROUP BY 1")
+def sample_by_type(spark, sf_dir):
+    """100 events of each type; no event that was left out has a smaller hash."""
+    events = table(spark, sf_dir, "events")
+    taken = stratified_sample(events, ["event_type"], ["event_id"], 100)
+    key = F.xxhash64("event_id", F.lit(42))
+    worst = taken.groupBy(F.col("event_type").alias("t")).agg(F.count(F.lit(1)).alias("taken"), F.round(F.sum("weight"), 6).alias("weights"), F.max(key).alias("worst"))
+    below = events.join(F.broadcast(worst), F.col("event_type") == F.col("t"))  # a row a type
+    return below.groupBy("event_type").agg(F.first("taken").alias("taken"), F.first("weights").alias("weights"), (F.count_if(key <= F.col("worst")) == F.first("taken")).alias("smallest"))
