@@ -217,8 +217,9 @@ def _across(docs: DataFrame, percent: int, n: int) -> DataFrame:
     counts = np.zeros(SLOTS, np.int64)
     counts[counted.column("slot").to_numpy()] = counted.column("k").to_numpy()
     heads = written(docs.mapInArrow(_prefixes(n, percent, counts), "token long, id long, n long, c long, " + "".join(f"{b} long, " for b in _BITS) + "place int, short boolean"), "prefixes")
-    by_component = heads.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"))
-    mixed_tokens = by_component.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count(F.lit(1)).alias("cs")).where("cs > 1").select("token", "most")
+    by_component = heads.groupBy("token", "c").agg(F.count(F.lit(1)).alias("k"), F.bool_or("short").alias("short"))
+    # a shingle that no set has among its very first makes no pair: a template's come later than a set's own, if those are enough to rule a link out
+    mixed_tokens = by_component.groupBy("token").agg(F.max_by("c", F.struct("k", "c")).alias("most"), F.count(F.lit(1)).alias("cs"), F.bool_or("short").alias("short")).where("cs > 1 and short").select("token", "most")
     met = written(heads.join(mixed_tokens, "token").withColumn("in_most", F.expr("c = most")).drop("most"), "met")
     x, y = (met.select("token", *(F.col(c).alias(f"{c}_{s}") for c in ("id", "n", "c", *_BITS, "place", "short", "in_most"))) for s in "xy")
     x = x.where("short_x")
