@@ -148,13 +148,30 @@ def _joined(own: np.ndarray, start: np.ndarray, n: np.ndarray, held: np.ndarray)
     return heads, np.add.reduceat(n, heads) if len(heads) else n
 
 
+#: Rows that a task remembers as packed; then it begins anew, which costs no more than sending some rows again.
+REMEMBERED_ROWS = 500_000
+
+
+def _once(batch: pa.RecordBatch, rows: set[tuple]) -> pa.RecordBatch:
+    """The batch without rows whose document and text are in ``rows`` already, to which its others are added."""
+    pairs = list(zip(batch.column("doc").to_pylist(), batch.column("version").to_pylist(), strict=True))
+    fresh = np.zeros(len(pairs), bool)
+    for i, pair in enumerate(pairs):
+        fresh[i] = pair not in rows
+        rows.add(pair)
+    if len(rows) > REMEMBERED_ROWS:
+        rows.clear()
+    return batch if fresh.all() else batch.filter(pa.array(fresh))
+
+
 def _pack(n_buckets: int, hot: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[bytes, tuple] = {}
+        rows: set[tuple] = set()
         known = 0
         held, docs, versions, n_docs, size = [], [], [], 0, 0
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(_once(batch, rows), "text"):
                 words = words_of(part.column("text"))
                 hashes = words.hashes()
                 first, n, low = _dealt(*_spans(words, hashes), hashes, hot)
