@@ -81,14 +81,25 @@ def uncovered(found: Column, base: Column, least: int) -> Column:
 
 
 def masked(text: Column, found: Column, mask: str) -> Column:
-    """``text`` with each stretch covered by spans replaced by ``mask``."""
+    """``text`` with each stretch covered by spans replaced by ``mask``.
+
+    Spans are taken in groups: a group's stretch is cut from the text once, and its spans from that, so the cost grows with the text
+    and the spans, not with their product."""
     ordered = F.array_sort(F.transform(found, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))
+    none = F.array().cast("array<string>")
 
     def step(state: Column, s: Column) -> Column:
         fresh = s["start"] >= state["at"]
-        piece = F.when(fresh, F.concat(F.substring(text, state["at"] + 1, s["start"] - state["at"]), F.lit(mask))).otherwise(F.lit(""))
-        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], F.array(piece)).alias("out"))
+        piece = F.when(fresh, F.concat(F.substring(state["part"], state["at"] - state["from"] + 1, s["start"] - state["at"]), F.lit(mask))).otherwise(F.lit(""))
+        return F.struct(F.greatest(state["at"], s["end"]).alias("at"), state["from"].alias("from"), state["part"].alias("part"), F.concat(state["out"], F.array(piece)).alias("out"))
+
+    def group(state: Column, g: Column) -> Column:
+        own = F.slice(state["all"], g * GROUP + 1, GROUP)
+        last = F.greatest(F.array_max(F.transform(own, lambda s: s["end"])), state["at"])
+        zero = F.struct(state["at"].alias("at"), state["at"].alias("from"), F.substring(text, state["at"] + 1, last - state["at"]).alias("part"), none.alias("out"))
+        inner = F.aggregate(own, zero, step, lambda x: F.struct(x["at"].alias("at"), F.array_join(x["out"], "").alias("out")))
+        return F.struct(inner["at"].alias("at"), state["all"].alias("all"), F.concat(state["out"], F.array(inner["out"])).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    whole = F.aggregate(ordered, zero, step, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
+    groups = F.sequence(F.lit(0), F.floor((F.size(found) - 1) / GROUP).cast("int"))
+    whole = F.aggregate(groups, F.struct(F.lit(0).alias("at"), ordered.alias("all"), none.alias("out")), group, lambda s: F.concat(F.array_join(s["out"], ""), F.substring(text, s["at"] + 1, F.length(text))))
     return F.when(F.size(found) > 0, whole).otherwise(text)
