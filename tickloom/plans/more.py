@@ -18,6 +18,7 @@ from ..streaming.stateful import asof_stream, fill_gaps_stream, rocksdb
 from . import oracle as q
 from .adapters import as_blocks, as_trades, micros, seconds, table, trades
 from .catalog import HOUR, oracle_sql, query, shown
+from .sql import register as register_sql
 
 #: A row so far ahead of a stream that it ends it.
 CLOCK_S = 4_000_000_000
@@ -198,3 +199,24 @@ def sample_by_type(spark, sf_dir):
     worst = taken.groupBy(F.col("event_type").alias("t")).agg(F.count(F.lit(1)).alias("taken"), F.round(F.sum("weight"), 6).alias("weights"), F.max(key).alias("worst"))
     below = events.join(F.broadcast(worst), F.col("event_type") == F.col("t"))  # a row a type
     return below.groupBy("event_type").agg(F.first("taken").alias("taken"), F.first("weights").alias("weights"), (F.count_if(key <= F.col("worst")) == F.first("taken")).alias("smallest"))
+
+
+@query(oracle_sql()["gap_fill_3600s"])
+def sql_dense_hours(spark, sf_dir):
+    """``gap_fill_3600s`` as a query of SQL table functions."""
+    register_sql(spark, trades(spark, sf_dir))
+    return shown(spark.sql(f"SELECT * FROM dense({HOUR})"))
+
+
+@query(f"WITH {q.dense(HOUR)} SELECT timestamp_s, open, high, low, close, round(vwap, 6) AS vwap FROM dense")
+def sql_fill_series(spark, sf_dir):
+    """The prices of the dense series from a table function over any table."""
+    register_sql(spark, trades(spark, sf_dir))
+    return spark.sql(f"WITH b AS (SELECT month, timestamp_s, open, high, low, close, vwap FROM ohlcv({HOUR})) SELECT timestamp_s, open, high, low, close, round(vwap, 6) AS vwap FROM fill_series(TABLE(b) PARTITION BY month ORDER BY (timestamp_s), 'timestamp_s', {HOUR})")
+
+
+@query(f"WITH {q.TRADES} SELECT p.agg_trade_id, p.user_id, s.agg_trade_id AS signup, s.price FROM trades p ASOF LEFT JOIN (SELECT * FROM trades WHERE event_type = 'signup') s ON p.user_id = s.user_id AND p.tms * 1000000 + p.agg_trade_id >= s.tms * 1000000 + s.agg_trade_id WHERE p.event_type = 'purchase'")
+def sql_last_signup(spark, sf_dir):
+    """Each purchase with the user's last sign-up before it."""
+    register_sql(spark, trades(spark, sf_dir))
+    return spark.sql("WITH u AS (SELECT user_id, timestamp, agg_trade_id, price, event_type = 'purchase' AS bought FROM trades WHERE event_type IN ('purchase', 'signup')) SELECT agg_trade_id, user_id, last_agg_trade_id AS signup, last_price AS price FROM last_before(TABLE(u) PARTITION BY user_id ORDER BY (timestamp, agg_trade_id), 'bought')")
