@@ -8,7 +8,7 @@ from pyspark.sql import Window, functions as F
 
 from tickloom.functions import exprs
 from tickloom.operators import rolling
-from tickloom.operators.asof import asof_join
+from tickloom.operators.asof import Slow, asof_join, asof_joins
 from tickloom.operators.blocks import BLOCK_DOCUMENT, block_records, with_block_gaps
 from tickloom.operators.bucket import bucket_trades, fill_gaps, process_trades
 from tickloom.operators.labels import HORIZONS, make_labels
@@ -154,3 +154,28 @@ def test_kline_status(spark):
 def test_windows_are_partitioned(spark):
     plan = rolling_features(process_trades(spark.createDataFrame([(1, 1, 1.0, 1.0, True)], TRADES)), (30, 300))._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and Window is not None
+
+
+def test_as_of_joins_of_several_series_in_one_pass(spark):
+    """Each series as alone: ties, NULL fields, rows before a month, a key without rows, a series without any."""
+    left = spark.createDataFrame([(s, 1_580_000_000 + 700_000 * i, float(i)) for s in ("AA", "BB", "CC") for i in range(12)], "symbol string, timestamp_s long, x double").withColumn("month", exprs.month_of(F.col("timestamp_s")))
+    one = spark.createDataFrame([("AA", 1_579_000_000, 1, "a"), ("AA", 1_583_500_000, 2, "b"), ("AA", 1_583_500_000, 3, None), ("BB", 1_582_100_000, 4, "d"), ("BB", None, 5, "e")], "symbol string, at long, tie long, name string")
+    two = spark.createDataFrame([("AA", 1_580_700_000, 0.5), ("BB", 1_570_000_000, 1.5), ("BB", 1_585_600_001, 2.5)], "symbol string, t long, v double")
+    none = two.where("false").withColumnRenamed("v", "nothing")
+    by = ("symbol",)
+    got = asof_joins(left, [Slow(one, "at", ["name", "tie"], "tie"), Slow(two, "t", ["v"]), Slow(none, "t", ["nothing"])], by)
+    want = asof_join(asof_join(asof_join(left, one, "at", ["name", "tie"], "tie", by), two, "t", ["v"], None, by), none, "t", ["nothing"], None, by)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert got.where("name is null and tie = 3").count() > 0 and got.select("month").distinct().count() > 3 and asof_joins(left, []) is left
+
+
+def test_labels_do_not_depend_on_chunks(spark, monkeypatch):
+    rng = random.Random(6)
+    series = spark.createDataFrame([(1_700_000_000 + i, 202311, 50 + rng.random()) for i in range(400)], "timestamp_s long, month int, close double")
+    horizons = {"a": 3, "b": 7, "c": 21}
+    whole = {r.timestamp_s: tuple(r) for r in make_labels(series, horizons).collect()}
+    monkeypatch.setattr(rolling, "CHUNK_ROWS", 10)
+    cut = {r.timestamp_s: tuple(r) for r in make_labels(series, horizons).collect()}
+    assert len(cut) == 400 and cut.keys() == whole.keys()
+    for t, row in whole.items():
+        assert [x is None for x in row] == [x is None for x in cut[t]] and all(a == pytest.approx(b, abs=1e-12) for a, b in zip(row, cut[t], strict=True) if a is not None)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.exprs import month_of
@@ -39,6 +42,49 @@ def asof_join(left: DataFrame, right: DataFrame, right_on: str, columns: list[st
     return found.select("__left.*", hit.alias("__hit")).select(*left.columns, *(F.col(f"__hit.{c}").alias(c) for c in columns))
 
 
+@dataclass(frozen=True)
+class Slow:
+    """A slow series of an as-of join: its rows, their time (epoch seconds), the columns to take, and what decides among equal times."""
+
+    rows: DataFrame
+    on: str
+    columns: list[str]
+    tie: str | None = None
+
+
+def asof_joins(left: DataFrame, series: list[Slow], by: tuple[str, ...] = ()) -> DataFrame:
+    """``left`` with the columns of all ``series``, each as ``asof_join`` (backward) gives them, in one pass: the union of all is dealt
+    and sorted once, however many series there are. Of equal times of a series one row is left before the union."""
+    if not series:
+        return left
+    keys, names = [*by, "month"], [f"__r{i}" for i in range(len(series))]
+    slow = []
+    for s in series:
+        at = F.col(s.on).cast("long")
+        row = F.max_by(F.struct(*s.columns), F.col(s.tie)) if s.tie else F.any_value(F.struct(*s.columns))
+        slow.append(s.rows.where(F.col(s.on).isNotNull()).groupBy(*by, at.alias("__t")).agg(row.alias("__row")).withColumn("month", month_of(F.col("__t"))))
+    kinds = [df.schema["__row"].dataType for df in slow]
+
+    def wide(df: DataFrame, i: int) -> DataFrame:
+        """The rows of series i with the places of the others empty."""
+        return df.select(*keys, "__t", *(F.col("__row").alias(n) if k == i else F.lit(None).cast(kinds[k]).alias(n) for k, n in enumerate(names)))
+
+    rights = reduce(DataFrame.unionByName, (wide(df, i) for i, df in enumerate(slow)))
+    # the last rows before a month are carried into it: one row a month and series
+    ends = reduce(DataFrame.unionByName, (wide(df.groupBy(*keys).agg(F.max("__t").alias("__t"), F.max_by("__row", "__t").alias("__row")), i) for i, df in enumerate(slow)))
+    none = [F.lit(None).cast(k).alias(n) for k, n in zip(kinds, names, strict=True)]
+    months = left.select(*keys).distinct().select(*keys, F.lit(None).cast("long").alias("__t"), *none).unionByName(ends)
+    months = months.groupBy(*keys).agg(*(F.first(n, ignorenulls=True).alias(n) for n in names))
+    before = Window.partitionBy(*(by or [F.lit(0)])).orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
+    carried = months.select(*keys, F.lit(None).cast("long").alias("__t"), *(F.last(n, ignorenulls=True).over(before).alias(n) for n in names))
+    lefts = left.select(*keys, F.col("timestamp_s").cast("long").alias("__t"), *none, F.lit(1).alias("__side"), F.struct(*left.columns).alias("__left"))
+    others = rights.unionByName(carried).select("*", F.lit(0).alias("__side"), F.lit(None).cast(lefts.schema["__left"].dataType).alias("__left"))
+    w = Window.partitionBy(*keys).orderBy(F.asc_nulls_first("__t"), "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = lefts.unionByName(others).select("__side", "__left", *(F.last(n, ignorenulls=True).over(w).alias(n) for n in names)).where("__side = 1")
+    taken = [F.col(f"{n}.{c}").alias(c) for n, s in zip(names, series, strict=True) for c in s.columns]
+    return found.select("__left.*", *names).select(*left.columns, *taken)
+
+
 def _nearest(left: DataFrame, right: DataFrame, right_on: str, columns: list[str], tie: str | None, by: tuple[str, ...], lookback: int | None) -> DataFrame:
     slow = right.withColumn("__time", F.col(right_on).cast("long"))
     wanted = ["__time", *columns]

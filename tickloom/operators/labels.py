@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.exprs import correlation, ratio
 from .bucket import series_window
-from .rolling import lengthened, variance
+from .rolling import chunked, lengthened, variance
 
 HORIZONS = {"30s": 30, "1m": 60, "3m": 180, "5m": 300}
 
@@ -16,23 +16,24 @@ def make_labels(series: DataFrame, horizons: dict[str, int] | None = None, by: t
     the returns of rows t+1 .. t+h, NULL unless all are there; direction = 1.0 if the later close is higher, else
     0.0 (also where there is none). A return is (close - previous close) / close, 0 for the first row.
 
-    ``series`` must hold raw prices."""
+    ``series`` must hold raw prices. A month is cut in chunks, each with the rows behind it that its horizons reach."""
     horizons = horizons or HORIZONS
     if "close" not in series.columns:
         raise ValueError("labels need the column close")
-    w = series_window(by)
-    r = F.coalesce((F.col("close") - F.lag("close").over(w)) / F.greatest(F.col("close"), F.lit(1e-10)), F.lit(0.0))
+    r = F.coalesce((F.col("close") - F.lag("close").over(series_window(by))) / F.greatest(F.col("close"), F.lit(1e-10)), F.lit(0.0))
     raw = {"__s": F.col("__r"), "__q": F.col("__r") * F.col("__r")}
-    out = series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r).withColumns(raw)
+    keys = (*by, "__chunk")
+    w = series_window(keys)
+    out = chunked(series.select(*by, "month", "timestamp_s", "close").withColumn("__r", r), max(horizons.values()), by, ahead=True).withColumns(raw)
     last = 1
     for n, h in sorted(horizons.items(), key=lambda x: x[1]):
         if h % last:  # no multiple of the horizon before: from single rows again
             out, last = out.withColumns(raw), 1
-        out, last = lengthened(out, last, h // last, {"__s": "sum", "__q": "sum"}, by), h  # of the last h rows: h rows ahead, of the next
+        out, last = lengthened(out, last, h // last, {"__s": "sum", "__q": "sum"}, keys), h  # of the last h rows: h rows ahead, of the next
         out = out.withColumns({f"__{x}": F.lead(c, h).over(w) for x, c in (("later", "close"), ("sh", "__s"), ("qh", "__q"))})
         later, s, q = F.col("__later"), F.col("__sh"), F.col("__qh")
         out = out.withColumns({f"mu_{n}": F.ln(ratio(later, F.col("close"))), f"sigma_{n}": F.sqrt(variance(F.when(s.isNotNull(), h), s, q, q, 0)), f"direction_{n}": F.coalesce(later > F.col("close"), F.lit(False)).cast("float")})
-    return out.select(*by, "month", "timestamp_s", *(f"{kind}_{n}" for n in horizons for kind in ("mu", "sigma", "direction")))
+    return out.where("__own").select(*by, "month", "timestamp_s", *(f"{kind}_{n}" for n in horizons for kind in ("mu", "sigma", "direction")))
 
 
 def leakage(features: DataFrame, labels: DataFrame, columns: list[str], label: str = "mu_30s", rows: int | None = None, seed: int = 42, by: tuple[str, ...] = (), report: tuple[str, ...] = ()) -> DataFrame:

@@ -78,15 +78,16 @@ def lengthened(df: DataFrame, unit: int, times: int, kinds: dict[str, str], by:
     return df.drop(*(f"__unit_{name}" for name in kinds))
 
 
-def chunked(series: DataFrame, reach: int, by: tuple[str, ...] = ()) -> DataFrame:
-    """``series`` with ``__chunk`` and ``__own``: months in chunks, and before each chunk, not its own, the ``reach`` rows that
-    lead up to it."""
+def chunked(series: DataFrame, reach: int, by: tuple[str, ...] = (), ahead: bool = False) -> DataFrame:
+    """``series`` with ``__chunk`` and ``__own``: months in chunks, and before each chunk (``ahead``: behind it), not its own, the ``reach``
+    rows that lead up to it (that follow it)."""
     size = max(CHUNK_ROWS, 8 * reach)
     at = F.row_number().over(series_window(by)) - 1
     numbered = series.withColumn("__at", at)
     home = F.floor(F.col("__at") / size).cast("int")
-    led = F.when(F.col("__at") % size >= size - reach, F.array(home, home + 1)).otherwise(F.array(home))
-    return numbered.withColumn("__home", home).withColumn("__chunk", F.explode(led)).withColumn("__own", F.expr("__chunk = __home")).drop("__at", "__home")
+    within = F.col("__at") % size
+    led = F.when((within < reach) & (home > 0), F.array(home - 1, home)) if ahead else F.when(within >= size - reach, F.array(home, home + 1))
+    return numbered.withColumn("__home", home).withColumn("__chunk", F.explode(led.otherwise(F.array(home)))).withColumn("__own", F.expr("__chunk = __home")).drop("__at", "__home")
 
 
 def rolling_features(series: DataFrame, windows: tuple[int, ...] = WINDOWS, by: tuple[str, ...] = ()) -> DataFrame:

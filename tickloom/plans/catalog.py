@@ -166,27 +166,27 @@ def normalize_defaults(spark, sf_dir):
     return shown(normalize_features(series))
 
 
-def _by_hour(df: DataFrame, columns: list[str]) -> DataFrame:
+def by_hour(df: DataFrame, columns: list[str]) -> DataFrame:
     """Sums over all rows of each hour, to 3 digits: a series of one second has 2.6 million rows a month."""
     return df.groupBy(exprs.floor_to(F.col("timestamp_s"), HOUR).alias("hour")).agg(F.count(F.lit(1)).alias("n"), *((F.round(F.sum(F.col(c).cast("double")), 3) + 0.0).alias(c) for c in columns))
 
 
-def _sql_by_hour(table: str, columns: list[str]) -> str:
+def sql_by_hour(table: str, columns: list[str]) -> str:
     return f"SELECT timestamp_s // {HOUR} * {HOUR} AS hour, count(*) AS n, {', '.join(f'round(sum(CAST({c} AS DOUBLE)), 3) + 0.0 AS {c}' for c in columns)} FROM {table} GROUP BY 1"
 
 
 _SECONDS = [f"{k}_{w}s" for w in rolling.WINDOWS for k in ("volume_sum", "quote_volume_sum", "buy_ratio", "volatility", "vwap", "trade_count", "volume_imbalance", "return", "range")]
 
 
-@query(f"WITH {q.dense(1)}, {q.rolling(rolling.WINDOWS)} {_sql_by_hour('rolled', _SECONDS)}")
+@query(f"WITH {q.dense(1)}, {q.rolling(rolling.WINDOWS)} {sql_by_hour('rolled', _SECONDS)}")
 def rolling_1s_by_hour(spark, sf_dir):
     """All nine features over all five default windows of the series of one second."""
-    return _by_hour(rolling_features(process_trades(trades(spark, sf_dir), 1)), _SECONDS)
+    return by_hour(rolling_features(process_trades(trades(spark, sf_dir), 1)), _SECONDS)
 
 
-@query(f"WITH {q.dense(1)}, z AS (SELECT timestamp_s, {q.zscore('close', FAST)} AS close, {q.zscore('volume', FAST)} AS volume FROM dense) {_sql_by_hour('z', ['close', 'volume'])}")
+@query(f"WITH {q.dense(1)}, z AS (SELECT timestamp_s, {q.zscore('close', FAST)} AS close, {q.zscore('volume', FAST)} AS volume FROM dense) {sql_by_hour('z', ['close', 'volume'])}")
 def zscore_1s_by_hour(spark, sf_dir):
-    return _by_hour(normalize_features(process_trades(trades(spark, sf_dir), 1).select("timestamp_s", "month", "close", "volume")), ["close", "volume"])
+    return by_hour(normalize_features(process_trades(trades(spark, sf_dir), 1).select("timestamp_s", "month", "close", "volume")), ["close", "volume"])
 
 
 _LABELS = [f"{k}_{n}" for n in HORIZONS for k in ("mu", "sigma", "direction")]
@@ -197,9 +197,9 @@ def labels_all(spark, sf_dir):
     return shown(make_labels(hourly(spark, sf_dir)))
 
 
-@query(f"WITH {q.dense(1)}, {q.labels(HORIZONS)} {_sql_by_hour('labels', _LABELS)}")
+@query(f"WITH {q.dense(1)}, {q.labels(HORIZONS)} {sql_by_hour('labels', _LABELS)}")
 def labels_1s_by_hour(spark, sf_dir):
-    return _by_hour(make_labels(process_trades(trades(spark, sf_dir), 1)), _LABELS)
+    return by_hour(make_labels(process_trades(trades(spark, sf_dir), 1)), _LABELS)
 
 
 @query(f"WITH {q.buckets(1)} SELECT timestamp_s // 60 * 60 AS minute, last(close ORDER BY timestamp_s) AS close, sum(volume) AS volume FROM buckets GROUP BY 1")

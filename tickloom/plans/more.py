@@ -10,14 +10,17 @@ from ..functions.exprs import month_of
 from ..operators.bags import grouped_totals, reconcile, stratified_sample
 from ..operators.frames import range_frames
 from ..operators.intervals import interval_join
+from ..operators.labels import HORIZONS
+from ..operators.normalize import FAST, SLOW
 from ..operators.ranks import rank_rows
 from ..operators.sessions import sessions, sliding
 from ..operators.sketches import DISTINCT_ERROR, RANK_ERROR, load_sketches, merged_statistics, month_sketches, store_sketches
 from ..sources.shared import shared_folder
 from ..streaming.stateful import asof_stream, fill_gaps_stream, rocksdb
 from . import oracle as q
-from .adapters import as_blocks, as_trades, micros, seconds, table, trades
-from .catalog import HOUR, oracle_sql, query, shown
+from .adapters import as_blocks, as_trades, click_funding, micros, purchase_mempool, seconds, signup_blocks, table, trades
+from .catalog import HOUR, by_hour, oracle_sql, query, shown, sql_by_hour
+from .dataset import Recipe, build
 from .sql import register as register_sql
 
 #: A row so far ahead of a stream that it ends it.
@@ -220,3 +223,21 @@ def sql_last_signup(spark, sf_dir):
     """Each purchase with the user's last sign-up before it."""
     register_sql(spark, trades(spark, sf_dir))
     return spark.sql("WITH u AS (SELECT user_id, timestamp, agg_trade_id, price, event_type = 'purchase' AS bought FROM trades WHERE event_type IN ('purchase', 'signup')) SELECT agg_trade_id, user_id, last_agg_trade_id AS signup, last_price AS price FROM last_before(TABLE(u) PARTITION BY user_id ORDER BY (timestamp, agg_trade_id), 'bought')")
+
+
+_Z = {"volume_sum_60s": FAST, "vwap_3600s": FAST, "block_difficulty": FAST, "basis": FAST, "gn_sopr": SLOW}
+_FULL = [*_Z, "buy_ratio", "is_weekend", "mu_1m", "sigma_5m"]
+
+
+@query(f"""WITH {q.dense(1)}, {q.rolling((60, 3600))}, {q.labels(HORIZONS)}, {q.slow('signup')}, {q.slow('click')},
+g AS (SELECT tms // 86400000 * 86400 AS at, CAST(count(*) FILTER (event_type = 'purchase') AS DOUBLE) AS v FROM trades GROUP BY 1),
+m AS (SELECT r.*, CASE WHEN s.event_id % 5 <> 0 THEN s.quantity END AS bd, coalesce((f.price - r.close) / nullif(r.close, 0), 0) AS basis, g.v AS sopr FROM rolled r ASOF LEFT JOIN signups s ON r.timestamp_s >= s.at ASOF LEFT JOIN clicks f ON r.timestamp_s >= f.at ASOF LEFT JOIN g ON r.timestamp_s >= g.at),
+filled AS (SELECT *, last_value(bd IGNORE NULLS) OVER ({q.W}) AS block_difficulty, last_value(sopr IGNORE NULLS) OVER ({q.W}) AS gn_sopr FROM m),
+z AS (SELECT month, timestamp_s, buy_ratio, CAST((timestamp_s // 86400 + 3) % 7 >= 5 AS DOUBLE) AS is_weekend, {', '.join(f'{q.zscore(c, w)} AS {c}' for c, w in _Z.items())} FROM filled),
+matrix AS (SELECT z.*, mu_1m, sigma_5m FROM z JOIN labels USING (month, timestamp_s))
+{sql_by_hour('matrix', _FULL)}""")
+def feature_matrix_1s_by_hour(spark, sf_dir):
+    """The whole build at a grain of one second: five windows, blocks, mempool, funding and daily metrics, normalised, with labels."""
+    days = trades(spark, sf_dir).groupBy((F.floor(F.col("timestamp") / 86_400_000) * 86_400).alias("timestamp")).agg(F.count_if(F.col("event_type") == "purchase").cast("double").alias("value")).withColumn("metric", F.lit("sopr"))
+    frames = build(trades(spark, sf_dir), Recipe(priority=2), signup_blocks(spark, sf_dir), purchase_mempool(spark, sf_dir), click_funding(spark, sf_dir), days)
+    return by_hour(frames["features"].join(frames["labels"], ["month", "timestamp_s"]), _FULL)
