@@ -6,8 +6,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.exprs import month_of
+from ..functions.exprs import AMOUNT_CLASSES, month_of
 from ..operators.bags import grouped_totals, reconcile, stratified_sample
+from ..operators.blocks import block_records
 from ..operators.frames import range_frames
 from ..operators.intervals import interval_join
 from ..operators.labels import HORIZONS
@@ -241,3 +242,40 @@ def feature_matrix_1s_by_hour(spark, sf_dir):
     days = trades(spark, sf_dir).groupBy((F.floor(F.col("timestamp") / 86_400_000) * 86_400).alias("timestamp")).agg(F.count_if(F.col("event_type") == "purchase").cast("double").alias("value")).withColumn("metric", F.lit("sopr"))
     frames = build(trades(spark, sf_dir), Recipe(priority=2), signup_blocks(spark, sf_dir), purchase_mempool(spark, sf_dir), click_funding(spark, sf_dir), days)
     return by_hour(frames["features"].join(frames["labels"], ["month", "timestamp_s"]), _FULL)
+
+
+_CLASS_COLUMNS = [f"{kind}_{name}btc" for name, _ in AMOUNT_CLASSES for kind in ("tx_count", "volume")]
+_COUNT_COLUMNS = ["tx_input_count_mean", "tx_input_count_median", "tx_output_count_mean", "tx_output_count_median", "utxo_created_count", "utxo_spent_count", "utxo_net_change", "coinbase_outputs_count"]
+
+
+def _classes_sql() -> str:
+    low, out = 0, []
+    for name, to in AMOUNT_CLASSES:
+        inside = f"sats >= {low}" + ("" if to == float("inf") else f" AND sats < {round(to * 100_000_000)}")
+        out += [f"CAST(count(*) FILTER ({inside}) AS INTEGER) AS tx_count_{name}btc", f"round(CAST(CAST(coalesce(sum(sats) FILTER ({inside}), 0) / 1e8 AS FLOAT) AS DOUBLE), 6) AS volume_{name}btc"]
+        low = 0 if to == float("inf") else round(to * 100_000_000)
+    return ", ".join(out)
+
+
+@query(f"""WITH t AS (SELECT l_orderkey AS h, CAST(round(l_extendedprice * 100) AS BIGINT) // 100 * 2 * CAST(10 ** (l_linenumber - 1) AS BIGINT) AS sats, 1 + l_linenumber % 3 AS i, 1 + l_suppkey % 2 AS o FROM lineitem),
+c AS (SELECT h, CAST(i AS DOUBLE) AS i, CAST(o AS DOUBLE) AS o FROM t UNION ALL SELECT DISTINCT h, 1.0, 2.0 FROM t),
+n AS (SELECT h, avg(i) AS im, median(i) AS ip, avg(o) AS om, median(o) AS op, CAST(sum(o) AS INTEGER) AS made, CAST(sum(i) - 1 AS INTEGER) AS spent FROM c GROUP BY h),
+a AS (SELECT h, {_classes_sql()} FROM t GROUP BY h)
+SELECT CAST(h AS INTEGER) AS block_height, {', '.join(_CLASS_COLUMNS)}, {', '.join(f'round(CAST(CAST({x} AS FLOAT) AS DOUBLE), 6) AS tx_{y}' for x, y in (('im', 'input_count_mean'), ('ip', 'input_count_median'), ('om', 'output_count_mean'), ('op', 'output_count_median')))},
+ made AS utxo_created_count, spent AS utxo_spent_count, made - spent AS utxo_net_change, CAST(2 AS SMALLINT) AS coinbase_outputs_count FROM a JOIN n USING (h)""")
+def block_counts(spark, sf_dir):
+    """Inputs, outputs and all amount classes of blocks whose transactions have one to three inputs and one or two outputs."""
+    lines = table(spark, sf_dir, "lineitem")
+    sats = F.floor(F.round(F.col("l_extendedprice") * 100).cast("long") / 100) * 2 * F.pow(F.lit(10.0), F.col("l_linenumber") - 1).cast("long")
+    coins = (sats.cast("decimal(20,0)") / F.lit(100_000_000).cast("decimal(10,0)")).cast("decimal(20,8)")
+    free, witness = F.lit(0).cast("decimal(20,8)"), F.array().cast("array<string>")
+    vin = lambda value, coinbase: F.struct(coinbase.cast("string").alias("coinbase"), witness.alias("txinwitness"), F.struct(value.alias("value")).alias("prevout"))
+    vout = lambda value: F.struct(value.alias("value"), F.struct(F.lit("pubkeyhash").alias("type")).alias("scriptPubKey"))
+    none = F.lit(None)
+    tx = lambda inputs, outputs: F.struct(F.lit(100).alias("size"), F.lit(100).alias("vsize"), inputs.alias("vin"), outputs.alias("vout"))
+    paid = tx(F.concat(F.array(vin(coins, none)), F.array_repeat(vin(free, none), F.col("l_linenumber") % 3)), F.concat(F.array(vout(coins)), F.array_repeat(vout(free), (F.col("l_suppkey") % 2).cast("int"))))
+    first = tx(F.array(vin(none.cast("decimal(20,8)"), F.lit("00"))), F.array(vout(F.lit(6.25).cast("decimal(20,8)")), vout(free)))
+    blocks = lines.groupBy(F.col("l_orderkey").alias("block_height")).agg(F.collect_list(paid).alias("paid"))  # at most seven lines an order
+    whole = [F.lit("h").alias("hash"), F.lit(0).cast("long").alias("time"), *(F.lit(1).alias(c) for c in ("version", "size", "weight", "strippedsize")), F.lit(1.0).alias("difficulty"), F.lit("1a").alias("bits"), F.lit(1).cast("long").alias("nonce")]
+    documents = blocks.select("block_height", *whole, F.concat(F.array(first), "paid").alias("tx"))
+    return shown(block_records(documents), ["block_height", *_CLASS_COLUMNS, *_COUNT_COLUMNS])
