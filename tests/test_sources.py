@@ -12,8 +12,9 @@ from tickloom.functions.live import parse_aggtrade, parse_depth5, parse_liquidat
 from tickloom.operators.bucket import bucket_trades
 from tickloom.operators.quality import inventory, latest_reports
 from tickloom.plans import ingest
-from tickloom.plans.dataset import Recipe, build, missing_months, months_between, write_dataset
+from tickloom.plans.dataset import Recipe, build, build_dataset, missing_months, months_between, write_dataset
 from tickloom.sources import readers, remote, sinks
+from tickloom.streaming import live
 from tickloom.streaming.live import Monitor, bucket_stream, run_live, throughput
 
 TRADES = "timestamp long, agg_trade_id long, price double, quantity double, is_buyer_maker boolean"
@@ -132,6 +133,28 @@ def test_missing_ranges(spark):
     assert ingest.missing_ranges(spark, have.limit(0), 7, 7) == [[7, 7]] and ingest.missing_ranges(spark, have, 5, 6) == []
 
 
+def test_dataset_from_stored_tables_is_the_same(spark, tmp_path):
+    rows, told = two_symbols(spark, 1_701_388_700_000, 150), []  # two months
+    blocks = spark.createDataFrame([(s, 1_701_388_650 + 40 * i, i, i % 5) for s in ("AA", "BB") for i in range(6)], "symbol string, block_timestamp long, block_height int, tx_count int")
+    recipe, one, two = Recipe(windows=(5,), horizons={"5s": 5}), f"{tmp_path}/one", f"{tmp_path}/two"
+    want = write_dataset(build(rows, recipe, blocks, by=("symbol",)), one, min_rows=10, by=("symbol",))
+    got = build_dataset(rows, recipe, two, blocks, min_rows=10, by=("symbol",), progress=told.append)
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    for name in ("buckets", "features", "labels"):
+        a, b = (spark.read.parquet(f"{root}/{name}") for root in (one, two))
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect())), name
+    assert told == ["buckets", "enriched", "features", "labels"]
+    again = build_dataset(rows.where("symbol = 'AA'").unionByName(rows.withColumn("symbol", F.lit("CC"))), recipe, two, min_rows=10, by=("symbol",), resume=True)
+    assert {(r.symbol, r.month, r.n_rows) for r in again.collect()} == {(s, m, n) for s in ("AA", "BB", "CC") for m, n in ((202311, 100), (202312, 50))}
+    assert spark.read.parquet(f"{two}/features").where("symbol = 'AA' and block_tx_count is not null").count() > 0  # built with blocks, and left as it was
+
+
+def test_waiting_for_streams(spark, tmp_path):
+    counts, stream = [], spark.readStream.format("rate").option("rowsPerSecond", 5).load().select(F.to_json(F.struct(F.col("value").alias("a"))).alias("message"))
+    live.wait(run_live(spark, {"aggtrade": stream}, str(tmp_path), {"processingTime": "200 milliseconds"}), 0.2, counts.append, lambda: sum(c["aggtrade"] for c in counts) > 5)
+    assert spark.read.parquet(f"{tmp_path}/raw/live/aggtrade").count() > 3 and not spark.streams.active
+
+
 def archive(url):
     """A ZIP of the kind and month that the address names; February is missing, March is damaged."""
     name = url.rsplit("/", 1)[1]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions.exprs import month_of
 from ..operators import quality
 from ..operators.bucket import bucket_trades, fill_gaps
 from ..operators.features import build_features
@@ -13,6 +16,7 @@ from ..operators.labels import HORIZONS, make_labels, no_leakage
 from ..operators.normalize import FAST, SLOW, feature_stats, normalize_features
 from ..operators.rolling import WINDOWS, rolling_features
 from ..sources.readers import path_exists
+from ..sources.shared import shared_folder
 from ..sources.sinks import from_months, write_months
 
 
@@ -83,13 +87,44 @@ def write_dataset(frames: dict[str, DataFrame], root: str, klines: DataFrame | N
         write_months(frames[name], f"{root}/{name}", by=by)
         stored[name] = from_months(spark.read.schema(_stored_schema(frames[name])).parquet(f"{root}/{name}"))
     built = frames["buckets"].select(*keys).distinct()
-    stored = {name: f.join(built, keys, "left_semi") for name, f in stored.items()}
-    stored["series"] = stored["enriched"]
+    return _reported({name: f.join(built, keys, "left_semi") for name, f in stored.items()}, root, klines, min_rows, by)
+
+
+def _reported(stored: dict[str, DataFrame], root: str, klines: DataFrame | None, min_rows: int, by: tuple[str, ...]) -> DataFrame:
+    """Writes statistics and reports of the months built, and returns the reports of all."""
+    spark, keys = stored["features"].sparkSession, [*by, "month"]
+    stored = stored | {"series": stored["enriched"]}
     numeric = [f.name for f in stored["enriched"].schema if isinstance(f.dataType, T.NumericType) and f.name not in (*keys, "timestamp_s")]
-    stats = feature_stats(stored["enriched"], numeric, tuple(keys), accuracy=10_000)
-    write_months(stats, f"{root}/stats", by=by)
+    write_months(feature_stats(stored["enriched"], numeric, tuple(keys), accuracy=10_000), f"{root}/stats", by=by)
     write_months(report_months(stored, klines, min_rows, by), f"{root}/reports", by=by)
-    return from_months(_stored(spark, f"{root}/reports", kinds))
+    return from_months(_stored(spark, f"{root}/reports", T.StructType([stored["features"].schema[k] for k in by])))
+
+
+def build_dataset(trades: DataFrame, recipe: Recipe, root: str, blocks: DataFrame | None = None, mempool: DataFrame | None = None, funding: DataFrame | None = None, metrics: DataFrame | None = None, klines: DataFrame | None = None, min_rows: int = quality.MIN_ROWS, by: tuple[str, ...] = (), resume: bool = False, progress: Callable[[str], None] | None = None) -> DataFrame:
+    """What ``write_dataset`` of ``build`` writes and returns, each table made from the one stored before it, so nothing is
+    computed twice and a lost executor costs no more than a stage. With ``resume`` the trades of months that have a report are
+    not read further than their time. ``progress`` is called with the name of each table when it is stored."""
+    spark, keys = trades.sparkSession, [*by, "month"]
+    told = progress or (lambda name: None)
+    dated = trades.withColumn("month", month_of(F.floor(F.col("timestamp") / 1000)))
+    if resume and path_exists(spark, f"{root}/reports"):
+        done = from_months(_stored(spark, f"{root}/reports", T.StructType([trades.schema[k] for k in by]))).select(*keys).distinct()
+        dated = dated.join(done, keys, "left_anti")
+    listed = f"{shared_folder(spark)}/built-{uuid.uuid4().hex}"
+    dated.select(*keys).distinct().write.parquet(listed)  # a row a month and key
+    built = spark.read.schema(dated.select(*keys).schema).parquet(listed)
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        write_months(df, f"{root}/{name}", by=by)
+        told(name)
+        return from_months(spark.read.schema(_stored_schema(df)).parquet(f"{root}/{name}")).join(built, keys, "left_semi")
+
+    buckets = stored("buckets", bucket_trades(dated.drop("month"), recipe.grain, by))
+    more = (mempool, funding, metrics) if recipe.priority >= 2 else (None, None, None)
+    enriched = stored("enriched", build_features(rolling_features(fill_gaps(buckets, recipe.grain, by), recipe.windows, by), blocks, *more, by=by))
+    features = stored("features", normalize_features(enriched, recipe.fast, recipe.slow, by, recipe.compat) if recipe.normalize else enriched)
+    labels = stored("labels", make_labels(features if recipe.compat else enriched, recipe.horizons, by))
+    return _reported({"buckets": buckets, "enriched": enriched, "features": features, "labels": labels}, root, klines, min_rows, by)
 
 
 def _stored(spark: SparkSession, path: str, keys: T.StructType) -> DataFrame:

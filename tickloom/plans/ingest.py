@@ -7,6 +7,7 @@ Every job can be repeated: what is stored is not asked for again, and a month is
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -60,13 +61,15 @@ def ingest_archives(spark: SparkSession, root: str, market: str, kind: str, symb
     return skipped.unionByName(told)
 
 
-def ingest_all(spark: SparkSession, root: str, symbol: str, months: list[int], priority: int = 1, transport: str | None = None) -> DataFrame:
-    """All archive kinds up to a priority: the statuses with ``market`` and ``kind``."""
-    out = None
-    for p in range(1, priority + 1):
-        for market, kind, interval in TASKS[p]:
-            part = ingest_archives(spark, root, market, kind, symbol, months, interval, transport).withColumns({"market": F.lit(market), "kind": F.lit(kind)})
-            out = part if out is None else out.unionByName(part)
+def ingest_all(spark: SparkSession, root: str, symbol: str, months: list[int], priority: int = 1, transport: str | None = None, progress: Callable[[int, int, str], None] | None = None) -> DataFrame:
+    """All archive kinds up to a priority: the statuses with ``market`` and ``kind``. ``progress`` is called with the number of the kind that is
+    next, of how many, and its name."""
+    out, tasks = None, [t for p in range(1, priority + 1) for t in TASKS[p]]
+    for i, (market, kind, interval) in enumerate(tasks):
+        if progress is not None:
+            progress(i, len(tasks), f"{market} {kind}")
+        part = ingest_archives(spark, root, market, kind, symbol, months, interval, transport).withColumns({"market": F.lit(market), "kind": F.lit(kind)})
+        out = part if out is None else out.unionByName(part)
     return out
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
@@ -39,6 +42,26 @@ def throughput(queries: dict[str, StreamingQuery]) -> dict[str, int]:
     return {name: sum(p["numInputRows"] for p in q.recentProgress) for name, q in queries.items()}
 
 
+def wait(queries: dict[str, StreamingQuery], every: float = 300.0, report: Callable[[dict[str, int]], None] | None = None, until: Callable[[], bool] = lambda: False) -> None:
+    """Blocks until one of ``queries`` ends or ``until`` is true, and then stops them all, each with what its last batch has
+    written; an error of one is raised. ``report`` gets the throughput every ``every`` seconds."""
+    began = told = time.monotonic()
+    try:
+        while all(q.isActive for q in queries.values()) and not until():
+            next(iter(queries.values())).awaitTermination(min(1.0, every))
+            if report is not None and time.monotonic() - told >= every:
+                told = time.monotonic()
+                report(throughput(queries))
+    finally:
+        for q in queries.values():
+            q.stop()
+    for q in queries.values():
+        if q.exception() is not None:
+            raise q.exception()
+    if report is not None and told == began:
+        report(throughput(queries))
+
+
 class Monitor(StreamingQueryListener):
     """Rows taken by each stream and the streams that failed, as Spark reports them; add it with
     ``spark.streams.addListener`` and read it whenever a status is wanted."""
