@@ -3,11 +3,12 @@
 import random
 import time
 
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.llm import neardup, substring_dedup
+from tickloom.llm import mixing, neardup, substring_dedup
 from tickloom.llm.spans import masked
 
 
@@ -82,3 +83,20 @@ def test_masking_takes_time_by_the_text(spark):
     began = time.time()
     size, left = rows.select(F.length(masked(F.col("text"), F.col("found"), "#")), F.length("text")).first()
     assert left - size == hits * 7 and time.time() - began < 60
+
+
+def test_stretches_of_a_schedule_are_the_schedule():
+    """Also where sources end early, and where one goes on alone for long."""
+    rng = random.Random(8)
+    for _ in range(60):
+        keys = [f"s{i}" for i in range(rng.randrange(1, 6))]
+        parts = {s: rng.choice([1, 2, 3, 5, 10, 40]) for s in keys}
+        blocks = {s: rng.choice([1, 7, 60, 200]) for s in keys}
+        n = {s: 10 * b - rng.randrange(0, 10) for s, b in blocks.items()}
+        length = mixing.period(parts)
+        many = max(-(-b * sum(parts.values()) // (parts[s] * length)) for s, b in blocks.items())
+        whole = list(mixing.pfair(blocks, parts))
+        assert whole == [x for k in range(many) for x in mixing.pfair(blocks, parts, k * length, (k + 1) * length)]
+        made = pd.concat(list(mixing._schedule(blocks, parts, n, 10)(iter([pd.DataFrame({"id": range(many)})]))))
+        sizes = [min(10, n[s] - 10 * j) for s, j, *_ in whole]
+        assert made.slot.tolist() == list(range(len(whole))) and made.begins.tolist() == [sum(sizes[:i]) for i in range(len(whole))] and list(zip(made.source_key, made.block, strict=True)) == [x[:2] for x in whole]

@@ -7,15 +7,18 @@ weights add up to one, every block meets its deadline, so at any time a source h
 block more or less than its weight's share. When a source has no more blocks its slots fall to the others: time
 jumps over slots in which nothing is released. No document is dropped or repeated.
 
-The schedule has one row for each block and is made by one task that streams it, holding one entry for each
-source; documents get their place by their block's place and their number in the block.
+A block lies within its own window of time, whatever the other sources have. At a time when every source's share is a whole
+number of blocks, those blocks are done and no later one is released; such times come every ``period`` slots, PARTS at most, about. So the
+stretches between them are scheduled by many tasks, each from counts that are known beforehand; a task holds one entry for each source.
+Documents get their place by their block's place and their number in the block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import chain, islice
+from math import gcd
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -33,12 +36,20 @@ LEFT_OVER = 0.01
 SENT_ROWS = 10_000
 
 
-def pfair(blocks: dict[str, int], parts: dict[str, int]) -> Iterable[tuple[str, int, int, int, int]]:
+def period(parts: dict[str, int]) -> int:
+    """Slots after which each source's share is a whole number of blocks."""
+    return sum(parts.values()) // gcd(*parts.values())
+
+
+def pfair(blocks: dict[str, int], parts: dict[str, int], start: int = 0, stop: int | None = None) -> Iterable[tuple[str, int, int, int, int]]:
     """(source, block, time, release, deadline) in the order of slots. Weights are whole ``parts``; ties go to the earlier
-    source name. Each block costs a step of a heap of the sources."""
+    source name. Each block costs a step of a heap of the sources. ``start`` and ``stop``: only this stretch of time, both multiples
+    of ``period``."""
     total = sum(parts[s] for s, n in blocks.items() if n)
-    waiting, ready = [(0, s, 0) for s in sorted(blocks) if blocks[s]], []
-    t = 0
+    ends = {s: n if stop is None else min(n, stop * parts[s] // total) for s, n in blocks.items()}
+    begins = {s: min(n, start * parts[s] // total) for s, n in blocks.items()}
+    waiting, ready = sorted((begins[s] * total // parts[s], s, begins[s]) for s in blocks if begins[s] < ends[s]), []
+    t = start
     while waiting or ready:
         if not ready and waiting[0][0] > t:
             t = waiting[0][0]
@@ -48,24 +59,31 @@ def pfair(blocks: dict[str, int], parts: dict[str, int]) -> Iterable[tuple[str,
         deadline, s, j, release = heappop(ready)
         yield s, j, t, release, deadline
         t += 1
-        if j + 1 < blocks[s]:
+        if j + 1 < ends[s]:
             heappush(waiting, ((j + 1) * total // parts[s], s, j + 1))
 
 
-def _schedule(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    held = list(batches)  # one row for each source
-    if not held:
-        return
-    sources = pd.concat(held)
-    keys = sources["source_key"].tolist()
-    blocks, parts, n, rows = (dict(zip(keys, sources[c].tolist(), strict=True)) for c in ("blocks", "parts", "n", "block_rows"))
-    slots, slot, begins = pfair(blocks, parts), 0, 0
-    while part := list(islice(slots, SENT_ROWS)):
-        out = pd.DataFrame(part, columns=["source_key", "block", "time", "release", "deadline"])
-        size = [min(rows[s], n[s] - b * rows[s]) for s, b in zip(out["source_key"], out["block"], strict=True)]
-        ends = begins + pd.Series(size).cumsum()
-        yield out.assign(slot=range(slot, slot + len(part)), begins=ends - size)
-        slot, begins = slot + len(part), int(ends.iloc[-1])
+def _nothing(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    yield from ()
+
+
+def _schedule(blocks: dict[str, int], parts: dict[str, int], n: dict[str, int], block_rows: int):
+    """Slots of the stretches whose numbers a task gets."""
+    length, total = period(parts), sum(parts.values())
+
+    def slots(stretch: int) -> Iterator[tuple]:
+        done = {s: min(b, stretch * length * parts[s] // total) for s, b in blocks.items()}
+        slot, rows = sum(done.values()), sum(min(n[s], d * block_rows) for s, d in done.items())
+        for s, j, *times in pfair(blocks, parts, stretch * length, (stretch + 1) * length):
+            yield s, j, *times, slot, rows
+            slot, rows = slot + 1, rows + min(block_rows, n[s] - j * block_rows)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        made = chain.from_iterable(slots(i) for batch in batches for i in batch["id"].tolist())
+        while part := list(islice(made, SENT_ROWS)):
+            yield pd.DataFrame(part, columns=["source_key", "block", "time", "release", "deadline", "slot", "begins"])
+
+    return run
 
 
 def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, temperature: float = 0.5, carry: list[str] | None = None) -> DataFrame:
@@ -93,8 +111,12 @@ def mix_sources(docs: DataFrame, weights: dict[str, float] | None = None, block_
     left = F.greatest(F.lit(LEFT_OVER), 1 - F.coalesce(F.sum("given").over(every), F.lit(0.0)))
     weighed = counts.withColumn("given", given).withColumn("one", F.lit(1)).withColumn("w", F.coalesce("given", power / F.sum(power).over(every) * left))
     shares = weighed.withColumn("share", F.col("w") / F.sum("w").over(every))
-    sources = written(shares.select("source_key", "n", "share", F.greatest(F.lit(1), F.round(F.col("share") * PARTS)).cast("long").alias("parts"), F.lit(block_rows).cast("long").alias("block_rows"), F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")), "mix-sources")
-    plan = sources.coalesce(1).mapInPandas(_schedule, "source_key string, block long, time long, release long, deadline long, slot long, begins long")
+    sources = written(shares.select("source_key", "n", "share", F.greatest(F.lit(1), F.round(F.col("share") * PARTS)).cast("long").alias("parts"), F.ceil(F.col("n") / block_rows).cast("long").alias("blocks")), "mix-sources")
+    held = sources.collect()  # one row for each source
+    blocks, parts, n = ({r.source_key: r[c] for r in held} for c in ("blocks", "parts", "n"))
+    length = period(parts) if held else 1
+    stretches = max((-(-b * sum(parts.values()) // (parts[s] * length)) for s, b in blocks.items()), default=0)
+    plan = docs.sparkSession.range(stretches).mapInPandas(_schedule(blocks, parts, n, block_rows) if held else _nothing, "source_key string, block long, time long, release long, deadline long, slot long, begins long")
     plan = written(plan.join(sources.select("source_key", "share"), "source_key"), "mix-plan")
     placed = numbered(rows, "__source_key", [F.xxhash64("__id", F.lit("mix")), F.col("__id")], n_rows, "mix_rank")
     placed = placed.withColumn("mix_block", F.floor(F.col("mix_rank") / block_rows)).join(plan, (F.col("__source_key") == F.col("source_key")) & (F.col("mix_block") == F.col("block")))
