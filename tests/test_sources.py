@@ -6,6 +6,7 @@ import time
 import uuid
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions.live import parse_aggtrade, parse_depth5, parse_liquidation
@@ -230,6 +231,18 @@ def test_json_and_metrics_of_the_last_file(spark, tmp_path):
     assert [r.value for r in readers.read_metrics(spark, str(tmp_path / "*.parquet")).collect()] == [1.0]
 
 
+def test_unreadable_files_are_skipped_if_asked(spark, tmp_path):
+    spark.createDataFrame([(202401, 1), (202402, 2)], "month int, x int").repartition(1).transform(lambda d: sinks.write_months(d, str(tmp_path / "m")) or d)
+    (tmp_path / "m/year=2024/month=1/part-broken.parquet").write_bytes(b"PAR1 broken")
+    with pytest.raises(Exception, match="(?i)broken|footer|parquet"):
+        readers.read_months(spark, str(tmp_path / "m"), schema="x int, year int, month int").collect()
+    spark.conf.set("spark.sql.files.ignoreCorruptFiles", "true")
+    try:
+        assert sorted(r.x for r in readers.read_months(spark, str(tmp_path / "m"), schema="x int, year int, month int").collect()) == [1, 2]
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreCorruptFiles")
+
+
 def test_months(spark):
     wanted = months_between(spark, "2023-11-17", "2024-02-01")
     assert sorted(r.month for r in missing_months(wanted, wanted.where("month = 202312")).collect()) == [202311, 202401, 202402]

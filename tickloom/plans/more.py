@@ -46,9 +46,15 @@ def in_parts(events: DataFrame, folder: str, parts: int, late_s: int) -> None:
 
 
 def ran(stream: DataFrame, folder: str, out: str) -> None:
-    """Takes what the stream has now and stops."""
-    with rocksdb(stream.sparkSession):
-        run = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", folder).trigger(availableNow=True).start(out)
+    """Takes what the stream has now and stops. State is kept in no more partitions than twice the cores."""
+    spark, key = stream.sparkSession, "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, min(int(before), 2 * spark.sparkContext.defaultParallelism))
+    try:
+        with rocksdb(spark):
+            run = stream.writeStream.outputMode("append").format("parquet").option("checkpointLocation", folder).trigger(availableNow=True).start(out)
+    finally:
+        spark.conf.set(key, before)
     run.awaitTermination()
 
 

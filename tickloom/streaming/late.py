@@ -25,14 +25,14 @@ class _Judge:
     def __call__(self, batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         known = f"{self.root}/times"
-        newest = spark.read.parquet(known).where(F.col("batch") < number).agg(F.max("newest")).first()[0] if path_exists(spark, known) else None
-        bound = F.lit(newest).cast("timestamp") - F.expr(f"interval {self.delay}")
+        newest = spark.read.parquet(known).where(F.col("batch") < number).agg(F.max("newest_us")).first()[0] if path_exists(spark, known) else None
+        bound = F.timestamp_micros(F.lit(newest).cast("long")) - F.expr(f"interval {self.delay}")
         late = F.col(self.time).isNull() | (F.lit(newest is not None) & F.coalesce(F.col(self.time) <= bound, F.lit(False)))
         held = batch.persist()
         try:
             for name, rows in (("on_time", held.where(~late)), ("late", held.where(late))):
                 rows.write.mode("overwrite").parquet(f"{self.root}/{name}/batch={number}")
-            held.agg(F.max(F.col(self.time).cast("timestamp")).alias("newest")).write.mode("overwrite").parquet(f"{known}/batch={number}")
+            held.agg(F.max(F.unix_micros(F.col(self.time).cast("timestamp"))).alias("newest_us")).write.mode("overwrite").parquet(f"{known}/batch={number}")
         finally:
             held.unpersist()
 
