@@ -18,7 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from ..functions.exprs import month_of
 from ..operators.bucket import FILLED
 from .live import bucket_stream
 
