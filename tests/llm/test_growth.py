@@ -29,7 +29,6 @@ def templated(n, seed=1):
 
 def test_pairs_of_templated_documents_follow_the_documents(spark, monkeypatch):
     kept, counts = neardup.written, []
-    monkeypatch.setattr(neardup, "SIDE", neardup.SIDE)
 
     def watched(df, name):
         out = kept(df, name)
