@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window, functions as F
 
 import corpus_pipeline
 from tickloom.llm import mixing
@@ -65,6 +66,19 @@ def test_quality_rules_reject_what_the_base_rules_reject_and_keep_clean_document
             assert kept[i].text == t
 
 
+def test_quality_rules_learn_from_every_trusted_document(spark, tmp_path):
+    """Of 51,000 trusted documents the 300 with the largest hash of their id are on a subject of their own, as is an unlabelled one."""
+    n = 51_000
+    ids = spark.range(n).withColumn("rank", F.row_number().over(Window.orderBy(F.xxhash64("id"), "id")))
+    text = lambda word: F.array_join(F.transform(F.sequence(F.lit(1), F.lit(12)), lambda k: F.concat(F.lit(word), k.cast("string"))), " ")
+    docs = ids.select(F.col("id").alias("doc_id"), F.when(F.col("rank") > n - 300, text("rare")).otherwise(text("usual")).alias("text"))
+    junk = spark.range(n, n + 2000).select("id", text("junk")).union(spark.range(n + 2000, n + 2001).select("id", text("rare")))
+    whole = docs.union(junk).select("*", F.lit("en").alias("lang"), F.lit("hot").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    spark.range(n).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_rules(spark, whole, str(tmp_path)).groupBy(F.substring("text", 1, 4)).count().collect()
+    assert {tuple(r) for r in kept} == {("usua", n - 300), ("rare", 301)}
+
+
 def test_near_dedup_keeps_one_of_each_group(states):
     before, after = states[1], states[2]
     sets = {}

@@ -1,11 +1,13 @@
 """Text operators against brute force, with nulls, empty and long texts, ties, repeats, clashing columns and empty tables."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -145,6 +147,33 @@ def test_quality_counts_and_held_out_accuracy(spark):
     assert (got[2].quality_n_dup_lines, got[2].quality_n_repeat_words, got[2].quality_word_chars) == (1, 12, 14)
 
 
+def test_quality_model_counts_every_trusted_document(spark):
+    """52,000 trusted documents, toxic, unlabelled and failing ones and one with two rows: the ratios and the threshold by their definitions."""
+    n = 55_000
+    rng = random.Random(11)
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(rng.choice(words) for _ in range(11 if i % 50 else 4)) for i in range(n)]
+    docs = pd.DataFrame({"doc_id": [*range(n - 1), 0], "text": texts})
+    labels = pd.DataFrame({"doc_id": range(n - 2000), "quality": 1, "toxic": [int(i % 53 == 1) for i in range(n - 2000)]})
+    model = quality.fit_quality(spark.createDataFrame(docs), spark.createDataFrame(labels))
+    grams = [np.sort(quality._grams(quality.words_of(pa.array([t])))[0]) for t in texts]
+    good = [k for k, i in enumerate(docs.doc_id) if i < n - 2000 and i % 53 != 1]
+    assert len(good) > 51_000
+    raw = np.bincount(np.concatenate(grams), minlength=quality.BUCKETS) + 0.5
+    target = np.bincount(np.concatenate([grams[k] for k in good]), minlength=quality.BUCKETS)
+    share = raw / raw.sum()
+    assert np.allclose(model.ratio, np.log((target / target.sum() + 0.5 * share) / (1.5 * share)), atol=1e-12)
+    halves = [r[0] for r in spark.createDataFrame(docs).select(F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2))).collect()]
+    other = []
+    for h in (1, 0):
+        t = np.bincount(np.concatenate([grams[k] for k in good if halves[k] == h]), minlength=quality.BUCKETS)
+        other.append(np.log((t / t.sum() + 0.5 * share) / (1.5 * share)))
+    scores = [other[halves[k]][grams[k]].mean() for k in good if len(texts[k].split()) >= 10]
+    assert abs(model.threshold - (np.quantile(scores, 0.001) - 0.02)) < 1e-9
+    alone = quality.fit_quality(spark.createDataFrame(docs), spark.createDataFrame(labels.iloc[2:3]))
+    assert alone.threshold == -math.inf and alone.ratio.any()
+
+
 def test_sharding_is_balanced_whole_and_splits_hot_groups(spark):
     rows = [(i, "copy " * 20) for i in range(700)] + [(i, "text%d " % i * (1 + i % 40)) for i in range(700, 2100)]
     got = sharding.shard_by_vector_packing(spark.createDataFrame(rows, "doc_id long, text string")).toPandas()

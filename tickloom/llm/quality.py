@@ -16,12 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import small_batches
+from .storage import placed, small_batches, written
 from .textkernel import IS_SPACE, Words, flat, range_hashes, slices, window_hashes, words_of
 
 BUCKETS = 1 << 14
-#: Most labelled rows that set the target multinomial and the threshold, those with the smallest hash.
-LABELLED = 50_000
 #: Share of trusted documents that may fall below the threshold, and the slack below it.
 BELOW, SLACK = 0.001, 0.02
 #: Added to each bucket's raw count; weight of the raw multinomial in the target's, which bounds every ratio from below.
@@ -50,15 +48,24 @@ def _grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+    held = np.zeros(BUCKETS, np.int64)
     for batch in batches:
         for part in slices(batch, "text"):
-            bucket, doc = _grams(words_of(part.column("text")))
-            trusted = part.column("trusted").to_numpy(zero_copy_only=False)[doc].astype(bool)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            target += np.bincount(bucket[trusted], minlength=BUCKETS)
-    used = np.flatnonzero(raw)
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(raw[used]), pa.array(target[used])], names=["bucket", "raw", "target"])
+            held += np.bincount(_grams(words_of(part.column("text")))[0], minlength=BUCKETS)
+    used = np.flatnonzero(held)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(held[used])], names=["bucket", "n"])
+
+
+def _counted(texts: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in all of ``texts``."""
+    out = np.zeros(BUCKETS)
+    for bucket, n in texts.mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect():  # BUCKETS rows at most
+        out[bucket] = n
+    return out
+
+
+def _ratio(target: np.ndarray, share: np.ndarray) -> np.ndarray:
+    return np.log((target / target.sum() + PRIOR * share) / ((1 + PRIOR) * share))
 
 
 def _repeats(keys: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,32 +128,43 @@ def _judge(model: QualityModel, passed_on: list[str]):
     return run
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> QualityModel:
-    """Counts over all rows of ``docs`` and the threshold.
+def _quantile(scores: DataFrame, at: float) -> float | None:
+    """The exact quantile ``at`` of the column ``quality_score``, between two neighbours in proportion; None without rows.
 
-    ``labels`` (doc_id, quality, toxic) names the trusted documents: quality 1 and not toxic; at most
-    ``labelled`` of them, with the smallest hash of their id, are used, so their ids can be sent to all
-    tasks. One half of them gives the target multinomial, the other the threshold, so a score that a document owes
-    to its own n-grams does not move the threshold. Without any trusted document every ratio is 0 and nothing falls
-    below the threshold.
+    All scores are sorted over range partitions; equal ones are spread over several by a number of the row.
+    """
+    spread = written(scores.select(F.col("quality_score").alias("score")), "scores").withColumn("row", F.monotonically_increasing_id())
+    ordered = written(spread.orderBy("score", "row").select("score"), "sorted")
+    place = at * (ordered.count() - 1)
+    near = placed(ordered, "place").where(F.col("place").between(math.floor(place), math.floor(place) + 1))
+    held = [r.score for r in near.orderBy("place").collect()]  # two rows at most
+    if not held:
+        return None
+    return held[0] + (place - math.floor(place)) * (held[-1] - held[0])
+
+
+def fit_quality(docs: DataFrame, labels: DataFrame) -> QualityModel:
+    """Counts over all rows of ``docs``, and the threshold by all trusted ones.
+
+    ``labels`` (doc_id, quality, toxic) names the trusted documents: quality 1 and not toxic. Every one of them counts in
+    the target multinomial and in the threshold. For the threshold they are dealt to two halves by a hash of their id and each is
+    scored by the counts of the other half, so a score that a document owes to its own n-grams does not move it. Ids are
+    joined by a shuffle, as they grow with the input. Without any trusted document every ratio is 0; without one in either half
+    nothing falls below the threshold.
     """
     good = labels.where("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    good = F.broadcast(good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(labelled).withColumn("trusted", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)) == 0))
-    marked = small_batches(docs).select("doc_id", "text").join(good, "doc_id", "left").select("text", F.coalesce("trusted", F.lit(False)).alias("trusted"))
-    counts = marked.mapInArrow(_count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect()
-    raw, target = np.full(BUCKETS, SMOOTHING), np.zeros(BUCKETS)
-    for bucket, r, t in counts:  # one row for each of the BUCKETS buckets at most
-        raw[bucket] += r
-        target[bucket] += t
+    half = F.pmod(F.xxhash64("doc_id", F.lit(2)), F.lit(2)).cast("int").alias("half")
+    trusted = written(small_batches(docs).select("doc_id", "text").join(good.hint("merge"), "doc_id", "left_semi").select(half, "text"), "trusted")
+    halves = [trusted.where(F.col("half") == h) for h in (0, 1)]
+    raw, targets = _counted(docs.select("text")) + SMOOTHING, [_counted(rows.select("text")) for rows in halves]
+    target, share = sum(targets), raw / raw.sum()
     if not target.sum():
         return QualityModel(np.zeros(BUCKETS), -math.inf)
-    share = raw / raw.sum()
-    ratio = np.log((target / target.sum() + PRIOR * share) / ((1 + PRIOR) * share))
-    model = QualityModel(ratio, -math.inf)
-    trusted = docs.select("doc_id", "text").join(good.where("not trusted").select("doc_id"), "doc_id", "left_semi")
-    scored = trusted.mapInArrow(_judge(model, ["doc_id"]), _verdict("doc_id long")).where("not quality_base_failed")
-    low = scored.agg(F.percentile("quality_score", F.lit(BELOW))).first()[0]  # exact, so it repeats; of ``labelled`` rows at most
-    return QualityModel(ratio, -math.inf if low is None else float(low) - SLACK)
+    low = None
+    if all(t.sum() for t in targets):
+        scored = [rows.mapInArrow(_judge(QualityModel(_ratio(other, share), -math.inf), ["half"]), _verdict("half int")) for rows, other in zip(halves, reversed(targets), strict=True)]
+        low = _quantile(scored[0].union(scored[1]).where("not quality_base_failed"), BELOW)
+    return QualityModel(_ratio(target, share), -math.inf if low is None else low - SLACK)
 
 
 def _verdict(first: str) -> str:
