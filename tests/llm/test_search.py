@@ -5,6 +5,7 @@ import os
 import random
 import re
 import string
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -95,6 +96,23 @@ def test_search_by_parties_and_salts(spark, monkeypatch):
     assert {tuple(r) for r in got.collect()} == brute_search(docs, items, 7)
 
 
+def test_a_shard_is_made_in_little_memory():
+    """16 MB of texts, of frequent and rare words: numpy's memory at its highest, beside the texts."""
+    rng = np.random.default_rng(2)
+    words = np.array([f"word{i}" for i in range(60_000)])
+    texts = [" ".join(words[(60_000 * rng.random(300) ** 4).astype(int)]) for _ in range(6_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6_000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    tracemalloc.start()
+    shard = lexical._Shard()
+    for part in lexical.slices(batch, "text"):
+        shard.add(part)
+    n = sum(sum(b.column("n").to_pylist()) for b in shard.rows(0) if b.column("term")[0].as_py())
+    highest = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == sum(len(set(t.split())) for t in texts)
+    assert shard.bytes > 14 << 20 and highest < 220 << 20, highest
+
+
 def test_packed_integers():
     values = np.array([0, 1, 127, 128, 16383, 16384, 2**31, 2**62])
     data, offsets = lexical.packed(values)

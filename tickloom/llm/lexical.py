@@ -68,12 +68,22 @@ def _taken(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.n
     return buf[np.arange(offsets[-1]) + np.repeat(start - offsets[:-1], length)], offsets
 
 
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Whether each row differs from the one before; the first does."""
+    out = np.zeros(len(columns[0]), bool)
+    out[:1] = True
+    for c in columns:
+        out[1:] |= c[1:] != c[:-1]
+    return out
+
+
 class _Shard:
-    """Terms of the documents that a task has read since its last shard."""
+    """Postings of the documents that a task has read since its last shard. Each part of a batch is counted where it is added: what
+    stays are its distinct terms and (term, document, occurrences) in 32 bits each, not every word."""
 
     def __init__(self) -> None:
-        self.ids, self.null, self.sizes, self.words = [], [], [], []
-        self.docs = self.bytes = 0
+        self.ids, self.null, self.sizes, self.terms, self.postings, self.texts = [], [], [], [], [], []
+        self.docs = self.bytes = self.held = self.told = 0
 
     def add(self, part: pa.RecordBatch) -> None:
         ids = part.column("doc_id")
@@ -81,7 +91,19 @@ class _Shard:
         self.null.append(ids.is_null().to_numpy(zero_copy_only=False))
         w = words_of(part.column("text"), lower=True, breaks=BREAKS)
         self.sizes.append(np.diff(w.first))
-        self.words.append((w.buf, w.start + self.bytes, w.end - w.start, w.doc + self.docs, w.hashes(), range_hashes(w.buf, w.start, w.end, _OTHER_BASE)))
+        if len(w.start):
+            one, two = w.hashes(), range_hashes(w.buf, w.start, w.end, _OTHER_BASE)
+            order = np.lexsort((w.doc, two, one))
+            first = _changes(one[order], two[order])
+            term = np.cumsum(first) - 1
+            posting = np.flatnonzero(first | _changes(w.doc[order]))
+            word = order[first]
+            text, ends = _taken(w.buf, w.start[word], w.end[word] - w.start[word])
+            self.terms.append((one[word], two[word], ends[:-1] + self.held, np.diff(ends)))
+            self.postings.append(tuple(x.astype(np.int32) for x in (term[posting] + self.told, w.doc[order][posting] + self.docs, np.diff(posting, append=len(order)))))
+            self.texts.append(text)
+            self.held += len(text)
+            self.told += len(word)
         self.docs += part.num_rows
         self.bytes += len(w.buf)
 
@@ -93,38 +115,43 @@ class _Shard:
         shown = pa.array(ids[by_id], pa.int64(), mask=null[by_id])
         whole = lambda x, kind: pa.array([x], kind)
         yield pa.RecordBatch.from_arrays([whole(shard, pa.int64()), whole("", pa.string()), whole(0, pa.int32()), whole(int((sizes > 0).sum()), pa.int64()), whole(int(sizes.sum()), pa.int64()), whole(None, pa.binary()), whole(shown.to_pylist(), pa.list_(pa.int64())), whole(sizes[by_id].tolist(), pa.list_(pa.int64()))], names=_names(_INDEX))
-        buf, start, length, doc, one, two = (np.concatenate(x) for x in zip(*self.words, strict=True))
-        if not len(one):
+        if not self.terms:
             return
-        doc = place[doc]
-        order = np.lexsort((doc, one))
-        same = one[order][1:] == one[order][:-1]
-        if (same & (two[order][1:] != two[order][:-1])).any():  # terms that share a hash, told apart by the other
-            order = np.lexsort((doc, two, one))
-            same = (one[order][1:] == one[order][:-1]) & (two[order][1:] == two[order][:-1])
-        fresh = np.concatenate([[True], ~same])
-        doc = doc[order]
-        posting = np.flatnonzero(fresh | np.concatenate([[True], doc[1:] != doc[:-1]]))
-        often = np.diff(np.concatenate([posting, [len(doc)]]))
-        doc = doc[posting]
-        begins = np.flatnonzero(fresh[posting])  # of each term's postings
+        one, two, start, length = (np.concatenate(x) for x in zip(*self.terms, strict=True))
+        buf = np.concatenate(self.texts)
+        by_hash = np.lexsort((two, one))  # terms that share a hash are told apart by the other
+        fresh = _changes(one[by_hash], two[by_hash])
+        number = np.empty(len(one), np.int32)  # of each part's terms in the shard
+        number[by_hash] = np.cumsum(fresh) - 1
+        word = by_hash[fresh]
+        start, length = start[word], length[word]
+        term, doc, often = (np.concatenate(x) for x in zip(*self.postings, strict=True))
+        self.terms = self.texts = self.postings = None  # a shard is sent once
+        term, doc = number[term], place[doc].astype(np.int32)
+        order = np.lexsort((doc, term))  # a document lies in one part, so each pair is there once
+        term, doc, often = term[order], doc[order], often[order]
+        del order, one, two, by_hash
+        begins = np.flatnonzero(_changes(term))  # of each term's postings
+        del term
         count = np.diff(np.concatenate([begins, [len(doc)]]))
-        within = np.arange(len(doc)) - np.repeat(begins, count)
-        block = np.flatnonzero(within % BLOCK == 0)
-        gaps = np.concatenate([[0], np.diff(doc)])
-        gaps[block] = 0
-        data, at = packed(np.stack([gaps, often], axis=1).ravel())
-        cuts = np.concatenate([at[2 * block], at[-1:]])
-        term_of = np.searchsorted(begins, block, "right") - 1
-        word = order[posting[begins[term_of]]]
-        text, ends = _taken(buf, start[word], length[word])
-        n = np.diff(np.concatenate([block, [len(doc)]]))
-        fill = lambda kind: pa.nulls(len(block), kind)
-        terms = pa.Array.from_buffers(pa.string(), len(block), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(text)])
-        blobs = pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data)])
-        whole_shard = pa.RecordBatch.from_arrays([pa.array(np.full(len(block), shard)), terms, pa.array(doc[block].astype(np.int32)), pa.array(n), fill(pa.int64()), blobs, fill(pa.list_(pa.int64())), fill(pa.list_(pa.int64()))], names=_names(_INDEX))
-        for begin in range(0, len(block), 10_000):
-            yield whole_shard.slice(begin, 10_000)
+        block = np.flatnonzero((np.arange(len(doc)) - np.repeat(begins, count)) % BLOCK == 0)
+        bounds = np.append(block, len(doc))
+        for at in range(0, len(block), 10_000):  # packed as they are sent
+            cut = bounds[at : at + 10_001]
+            yield _packed_blocks(shard, doc[cut[0] : cut[-1]], often[cut[0] : cut[-1]], cut - cut[0], buf, start, length, np.searchsorted(begins, cut[:-1], "right") - 1)
+
+
+def _packed_blocks(shard: int, doc: np.ndarray, often: np.ndarray, cut: np.ndarray, buf: np.ndarray, start: np.ndarray, length: np.ndarray, term: np.ndarray) -> pa.RecordBatch:
+    """A row for each block of postings, which begin at ``cut``; its term is ``buf[start:start + length]`` of number ``term``."""
+    block, n = cut[:-1], np.diff(cut)
+    gaps = np.diff(doc, prepend=0)
+    gaps[block] = 0
+    data, at = packed(np.stack([gaps, often], axis=1).ravel())
+    text, ends = _taken(buf, start[term], length[term])
+    fill = lambda kind: pa.nulls(len(block), kind)
+    terms = pa.Array.from_buffers(pa.string(), len(block), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(text)])
+    blobs = pa.Array.from_buffers(pa.binary(), len(block), [None, pa.py_buffer(at[2 * cut].astype(np.int32)), pa.py_buffer(data)])
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(block), shard)), terms, pa.array(doc[block].astype(np.int32)), pa.array(n), fill(pa.int64()), blobs, fill(pa.list_(pa.int64())), fill(pa.list_(pa.int64()))], names=_names(_INDEX))
 
 
 def _names(ddl: str) -> list[str]:
