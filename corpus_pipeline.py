@@ -42,7 +42,7 @@ def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id, position, n_tokens, ids, decoded_sha256``: position (0, 1, ... over all rows) is the place in the mixture,
     that is in the files of ``docs``. The rows themselves come in any order."""
     path = tokenizer_path()
-    coded = pieces.decode(pieces.encode(placed(docs, "position"), path, ("position",)), path, ("position",))
+    coded = pieces.encode_and_decode(placed(docs, "position"), path, ("position",))
     return coded.select("doc_id", "position", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 

@@ -147,3 +147,14 @@ def test_stages_take_null_and_repeated_ids_and_empty_tables(spark, folder):
             state = written(stage(spark, state, folder), name.replace(" ", "-"))
         got = state.collect()
         assert sorted((r.doc_id for r in got), key=lambda i: i or 0) == want and sorted(r.position for r in got) == list(range(len(want)))
+
+
+def test_token_ids_take_one_python_process_a_task(spark, tmp_path):
+    texts = ["", None, "one two", "\u2581 \u00e9t\u00e9  \n", "word " * 400]
+    path = corpus_pipeline.tokenizer_path()
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = corpus_pipeline.token_ids(spark, docs, "")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    both = corpus_pipeline.pieces.decode(corpus_pipeline.pieces.encode(docs, path), path).select("doc_id", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256))
+    assert sorted(map(tuple, got.drop("position").collect())) == sorted(map(tuple, both.collect())) and got.count() == len(texts)

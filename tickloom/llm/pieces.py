@@ -263,3 +263,12 @@ def encode(docs: DataFrame, model_path: str, carry: tuple[str, ...] = ()) -> Dat
 def decode(encoded: DataFrame, model_path: str, carry: tuple[str, ...] = ()) -> DataFrame:
     """``encoded`` with ``decoded``, the text of the ids; null or empty ids give an empty text."""
     return small_batches(encoded).select("doc_id", *carry, "n_tokens", "ids").mapInArrow(_decode(model_path, carry), f"doc_id long, {_carried(encoded, carry)}n_tokens long, ids binary, decoded string")
+
+
+def encode_and_decode(docs: DataFrame, model_path: str, carry: tuple[str, ...] = ()) -> DataFrame:
+    """What ``decode`` makes of ``encode``, by one Python process a task in place of two: each one holds the model."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _decode(model_path, carry)(_encode(model_path, carry)(batches))
+
+    return small_batches(docs).select("doc_id", *carry, "text").mapInArrow(run, f"doc_id long, {_carried(docs, carry)}n_tokens long, ids binary, decoded string")
